@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import exact_dedup, packing, resharding, secret_scan, sql, token_counts
+from . import decontaminate, exact_dedup, language_id, lm_score, packing, resharding, secret_scan, sql, token_counts, toxicity
 
 
 def _docs(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -15,10 +15,26 @@ def op1_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scan.secret_scan(_docs(spark, sf_dir))
 
 
+def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.toxicity(_docs(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
+
+
 def op3_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_dedup(_docs(spark, sf_dir))
 
 
+def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language_id.language_id(_docs(spark, sf_dir))
+
+
+def op5_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.decontaminate(_docs(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
+def op6_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm_score.lm_score(_docs(spark, sf_dir))
+
+
 def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.token_counts(_docs(spark, sf_dir))
 
@@ -31,5 +47,5 @@ def op10_resharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return resharding.reshard(_docs(spark, sf_dir))
 
 
-QUERIES = {f.__name__: f for f in (op1_secret_scan, op3_exact_dedup, op8_token_counts, op9_packing, op10_resharding)}
+QUERIES = {f.__name__: f for f in (op1_secret_scan, op2_toxicity, op3_exact_dedup, op4_language_id, op5_decontaminate, op6_lm_score, op8_token_counts, op9_packing, op10_resharding)}
 ORACLE_SQL = {"op1_secret_scan": sql.SECRET_SCAN, "op3_exact_dedup": sql.EXACT_DEDUP}
