@@ -1,7 +1,58 @@
-"""Placeholder until the stages exist."""
-STAGES: list = []
+"""The corpus pipeline: language ID, exact dedup, near-dedup, benchmark decontamination, packing.
+
+Each stage reads what its predecessor kept and applies one operator's decisions; all but the last return the columns of documents.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+
+from evigraph.llm import decontaminate, exact_dedup, language_id, near_dedup, packing
+from evigraph.llm.common import materialize
+
+#: SQL expresses neither the field, the samples, the alignment nor the tokenizer; tests hold run() against brute force.
 ORACLE_SQL = None
 
 
-def run(spark, sf_dir):
-    return spark.read.parquet(f"{sf_dir}/documents.parquet")
+def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without a recognisable language go."""
+    return language_id.keep_known(docs)
+
+
+def without_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of equal texts one stays."""
+    return exact_dedup.keep_one(docs)
+
+
+def without_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of each near-duplicate class one document stays."""
+    return near_dedup.keep_one(docs)
+
+
+def without_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold a benchmark passage go."""
+    return decontaminate.clean(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
+def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The pieces of packed sequences."""
+    return packing.pack(docs)
+
+
+STAGES = [
+    ("language_id", known_language),
+    ("exact_dedup", without_copies),
+    ("near_dedup", without_near_copies),
+    ("decontaminate", without_benchmark),
+    ("packing", packed),
+]
+
+
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All stages over documents; what a stage keeps is written before the next reads it."""
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    for k, (_, stage) in enumerate(STAGES):
+        docs = stage(spark, docs, sf_dir)
+        if k + 1 < len(STAGES):
+            docs = materialize(docs)
+    return docs

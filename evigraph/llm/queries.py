@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontaminate, exact_dedup, language_id, lm_score, packing, resharding, secret_scan, sql, token_counts, toxicity
+from . import decontaminate, exact_dedup, language_id, lm_score, near_dedup, packing, resharding, secret_scan, sql, token_counts, toxicity
 
 
 def _docs(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -35,6 +35,10 @@ def op6_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lm_score.lm_score(_docs(spark, sf_dir))
 
 
+def op7_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dedup.near_dedup(_docs(spark, sf_dir))
+
+
 def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.token_counts(_docs(spark, sf_dir))
 
@@ -47,5 +51,5 @@ def op10_resharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return resharding.reshard(_docs(spark, sf_dir))
 
 
-QUERIES = {f.__name__: f for f in (op1_secret_scan, op2_toxicity, op3_exact_dedup, op4_language_id, op5_decontaminate, op6_lm_score, op8_token_counts, op9_packing, op10_resharding)}
+QUERIES = {f.__name__: f for f in (op1_secret_scan, op2_toxicity, op3_exact_dedup, op4_language_id, op5_decontaminate, op6_lm_score, op7_near_dedup, op8_token_counts, op9_packing, op10_resharding)}
 ORACLE_SQL = {"op1_secret_scan": sql.SECRET_SCAN, "op3_exact_dedup": sql.EXACT_DEDUP}

@@ -37,8 +37,8 @@ def _bytes_of_marks() -> dict[str, int]:
     return {chr(b): b for b in plain} | {chr(256 + i): b for i, b in enumerate(rest)}
 
 
-def slices(column) -> Iterator[tuple[int, int]]:
-    """(start, length) of slices of a string array, each of about SLICE_BYTES."""
+def slices(column, most: int = SLICE_BYTES) -> Iterator[tuple[int, int]]:
+    """(start, length) of slices of a string array, each of about `most` bytes, or one text if it is longer."""
     import numpy as np
     import pyarrow.compute as pc
 
@@ -46,7 +46,7 @@ def slices(column) -> Iterator[tuple[int, int]]:
     ends, start = np.cumsum(sizes), 0
     while start < len(sizes):
         before = ends[start - 1] if start else 0
-        stop = max(start + 1, int(np.searchsorted(ends, before + SLICE_BYTES, side="right")))
+        stop = max(start + 1, int(np.searchsorted(ends, before + most, side="right")))
         yield start, stop - start
         start = stop
 
