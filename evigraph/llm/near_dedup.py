@@ -5,9 +5,9 @@ kept within [1, 1 + IDF] so that frequent copies stay close. Document frequencie
 mean load of a slot), the only corpus statistic each task gets.
 
 Each text has SAMPLES consistent weighted samples (a shingle and a step of its weight); equal samples have the probability of the weighted Jaccard similarity.
-Texts that share BAND samples of a band meet in a bucket. Equal texts are one node from the start. In a bucket only a spanning forest of likely links is
-proposed: buckets over BLOCK nodes are dealt out as pairs of blocks, so neither one task nor a link list grows with the square of a group. Every proposed link is
-verified on whole texts; where one fails, its bucket is asked again without it, until no bucket can link two parts it holds. So the parts are those of all likely
+Texts that share BAND samples of a band meet in a bucket. Equal texts are one node from the start. Buckets over BLOCK nodes are dealt out as pairs of blocks, so
+no task holds a whole group. In a cell likely links are verified on whole texts, surest first, but only between nodes that no verified link joins yet: what
+comes out is a spanning forest, never a list that grows with the square of a group. So the parts are those of all likely
 links, though most are never listed. A link counts as likely if LIKELY of the samples agree: at a similarity of 0.8 one in some thousand links has fewer, or
 shares no band. Parts are joined by alternating large and small stars on the cluster, with the lineage cut at each turn.
 
@@ -28,8 +28,8 @@ from .tokens import slices
 WORDS = 5
 SIMILARITY = 0.8
 SAMPLES, BAND = 30, 3
-LIKELY, SURE = 15, 24
-BLOCK = 2048
+LIKELY, SURE = 17, 24
+BLOCK = 1024
 IDF = 0.2
 SLOTS_BITS = 20
 CHUNK_BITS = 14
@@ -236,72 +236,65 @@ def _sign(idf, key: str):
     return run
 
 
-def _forest(batches):
-    """Links of a spanning forest of each cell (rows lie sorted by cell). side 0 and 1: the two blocks of a pair; apart: known part; barred: links that failed."""
-    import numpy as np
-    import pyarrow as pa
+def _links(idf, key: str, least: float):
+    """Verified links of each cell (rows lie sorted by cell: key, i, j): every two nodes that likely links of the cell join are joined by links found."""
 
-    links: list[tuple[bytes, bytes]] = []
-
-    def cell(rows):
-        if len(rows) < 2:
-            return
-        nodes = [r[1] for r in rows]
-        barred = {r[1]: set(r[4]) for r in rows if r[4]}
-        marks = np.frombuffer(b"".join(r[2] for r in rows), np.uint32).reshape(len(rows), SAMPLES)
-        number: dict[bytes, int] = {}
-        part = np.array([number.setdefault(r[3] or r[1], len(number)) for r in rows])
-        for least in (SURE, LIKELY):
-            for i in range(len(rows) - 1):
-                other = np.flatnonzero(part[i + 1 :] != part[i]) + i + 1
-                if not len(other):
-                    if not (part != part[0]).any():
-                        return
-                    continue
-                near = other[(marks[other] == marks[i]).sum(axis=1) >= least]
-                for j in near.tolist():
-                    if part[j] != part[i] and nodes[j] not in barred.get(nodes[i], ()):
-                        links.append((nodes[i], nodes[j]))
-                        part[part == part[j]] = part[i]
-
-    def out():
-        got = pa.RecordBatch.from_arrays([pa.array([x[0] for x in links], pa.binary()), pa.array([x[1] for x in links], pa.binary())], ["a", "b"])
-        links.clear()
-        return got
-
-    at, rows = None, []
-    for batch in batches:
-        key, i, j, node, marks, apart, barred = (batch.column(x).to_pylist() for x in range(7))
-        for x in zip(zip(key, i, j, strict=True), node, marks, apart, barred, strict=True):
-            if x[0] != at:
-                cell(rows)
-                at, rows = x[0], []
-                if len(links) > 50_000:
-                    yield out()
-            rows.append(x)
-    cell(rows)
-    if links:
-        yield out()
-
-
-def _verify(idf, key: str):
     def run(batches):
         import numpy as np
         import pyarrow as pa
 
         shingler, _ = _tool(idf, key)
+        links: list[tuple[bytes, bytes, float]] = []
+
+        def cell(band, nodes, marks, texts):
+            if len(nodes) < 2:
+                return
+            m = np.frombuffer(b"".join(marks), np.uint32).reshape(len(nodes), SAMPLES)
+            bags: list[tuple] = []
+
+            def bag(i):
+                if not bags:
+                    bags.extend((h, shingler.weights(h, c).astype(float)) for h, c in shingler.shingles(pa.array(texts, pa.string())))
+                return bags[i]
+
+            part, tried = np.arange(len(nodes)), set()
+            for bound in (SURE, LIKELY):
+                for i in range(len(nodes) - 1):
+                    other = np.flatnonzero(part[i + 1 :] != part[i]) + i + 1
+                    if not len(other):
+                        if not (part != part[0]).any():
+                            return
+                        continue
+                    same = m[other] == m[i]
+                    near = same.sum(axis=1) >= bound
+                    if band:  # who shares an earlier band meets there
+                        near &= ~same[:, : BAND * band].reshape(-1, band, BAND).all(axis=2).any(axis=1)
+                    for j in other[near].tolist():
+                        if part[j] != part[i] and (i, j) not in tried:
+                            tried.add((i, j))
+                            if (x := similarity(bag(i), bag(j))) >= least:
+                                links.append((nodes[i], nodes[j], x))
+                                part[part == part[j]] = part[i]
+
+        def out():
+            got = [pa.array([x[k] for x in links], kind) for k, kind in enumerate((pa.binary(), pa.binary(), pa.float64()))]
+            links.clear()
+            return pa.RecordBatch.from_arrays(got, ["a", "b", "similarity"])
+
+        at, rows = (0, 0, 0, 0), ([], [], [])
         for batch in batches:
-            out = []
-            texts = {}
-            a, b, ta, tb = (batch.column(i).to_pylist() for i in range(4))
-            for i in range(0, len(a), 200):
-                texts = {**dict(zip(a[i : i + 200], ta[i : i + 200], strict=True)), **dict(zip(b[i : i + 200], tb[i : i + 200], strict=True))}
-                got = {}
-                for name, (h, c) in zip(texts, shingler.shingles(pa.array(list(texts.values()), pa.string())), strict=True):
-                    got[name] = (h, shingler.weights(h, c).astype(float))
-                for x, y in zip(a[i : i + 200], b[i : i + 200], strict=True):
-                    out.append(similarity(got[x], got[y]))
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(np.array(out, float))], ["a", "b", "similarity"])
+            *place, node, marks, text = (batch.column(x).to_pylist() for x in range(7))
+            for where, *row in zip(zip(*place, strict=True), node, marks, text, strict=True):
+                if where != at:
+                    cell(at[0], *rows)
+                    at, rows = where, ([], [], [])
+                    if len(links) > 50_000:
+                        yield out()
+                for column, x in zip(rows, row, strict=True):
+                    column.append(x)
+        cell(at[0], *rows)
+        if links:
+            yield out()
 
     return run
 
@@ -310,8 +303,12 @@ def similarity(x, y) -> float:
     """Weighted Jaccard similarity of (sorted hashes, weights)."""
     import numpy as np
 
-    _, i, j = np.intersect1d(x[0], y[0], assume_unique=True, return_indices=True)
-    both = np.minimum(x[1][i], y[1][j]).sum()
+    if len(x[0]) > len(y[0]):
+        x, y = y, x
+    if not len(x[0]):
+        return 0.0
+    at = np.minimum(np.searchsorted(y[0], x[0]), len(y[0]) - 1)
+    both = np.where(y[0][at] == x[0], np.minimum(x[1], y[1][at]), 0.0).sum()
     whole = x[1].sum() + y[1].sum() - both
     return float(both / whole) if whole else 0.0
 
@@ -349,50 +346,25 @@ def signatures(docs: DataFrame):
 
 def verified_links(docs: DataFrame, signed: DataFrame, idf, key: str, least: float = SIMILARITY) -> DataFrame:
     """(a, b, similarity): verified links that join every two nodes which likely links join."""
-    spark = docs.sparkSession
-    nodes = materialize(signed.groupBy("node").agg(F.first("marks").alias("marks"), F.first("bands").alias("bands"), F.min("doc_id").alias("doc_id")))
-    bucket = nodes.select("node", F.explode("bands").alias("key"))
-    full = bucket.groupBy("key").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
-    member = materialize(bucket.join(full, "key").join(nodes.select("node", "marks"), "node"))
-    texts_of = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.unhex(F.md5(text_or_empty())).alias("node"), F.col("text").cast("string").alias("text"))
-    found = None
-    asked = member.withColumn("apart", F.lit(None).cast("binary")).withColumn("barred", F.array().cast("array<binary>"))
-    failed = None
-    while True:
-        g = F.ceil(F.col("n") / BLOCK).cast("int")
-        own = F.pmod(F.xxhash64("node"), g).cast("int")
-        cells = asked.withColumn("g", g).withColumn("own", own).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("g") - 1)))
-        cells = cells.select("key", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "node", "marks", "apart", "barred")
-        laid = cells.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j", "node")
-        links = laid.mapInArrow(_forest, "a binary, b binary").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-        links = materialize(links)
-        wanted = links.select(F.col("a").alias("node")).unionByName(links.select(F.col("b").alias("node"))).distinct()
-        chosen = nodes.select("node", "doc_id").join(wanted, "node")  # one document of each node
-        texts = materialize(
-            texts_of.join(chosen.withColumnRenamed("doc_id", "d"), "node").filter(F.col("doc_id").eqNullSafe(F.col("d"))).groupBy("node").agg(F.first("text").alias("text"))
-        )
-        pairs = links.join(texts.select(F.col("node").alias("a"), F.col("text").alias("ta")), "a").join(texts.select(F.col("node").alias("b"), F.col("text").alias("tb")), "b").select("a", "b", "ta", "tb")
-        checked = materialize(pairs.mapInArrow(_verify(idf, key), "a binary, b binary, similarity double"))
-        good = checked.filter(F.col("similarity") >= least)
-        found = good if found is None else materialize(found.unionByName(good))
-        bad = checked.filter(F.col("similarity") < least).select("a", "b")
-        failed = bad if failed is None else materialize(failed.unionByName(bad))
-        if bad.isEmpty():
-            return found
-        # ask again only the buckets that hold both ends of a link that failed
-        either = failed.unionByName(failed.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        barred = either.groupBy("a").agg(F.collect_set("b").alias("barred")).withColumnRenamed("a", "node")
-        ends = member.select("key", "node").join(bad.select(F.col("a").alias("node"), F.col("b").alias("mate")), "node")
-        again = ends.join(member.select("key", F.col("node").alias("mate")), ["key", "mate"], "left_semi").select("key").distinct()
-        parts = components(found).withColumnRenamed("label", "apart")
-        asked = materialize(member.join(again, "key", "left_semi").join(parts, "node", "left").join(barred, "node", "left").select("key", "n", "node", "marks", "apart", F.coalesce("barred", F.array().cast("array<binary>")).alias("barred")))
+    nodes = signed.groupBy("node").agg(F.first("marks").alias("marks"), F.first("bands").alias("bands"), F.min("doc_id").alias("doc_id"))
+    bucket = materialize(nodes.select("node", "doc_id", "marks", F.posexplode("bands").alias("band", "key")))
+    full = bucket.groupBy("band", "key").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
+    member = materialize(bucket.join(full, ["band", "key"]))
+    chosen = member.select("node", "doc_id").distinct()  # one document of each node that shares a bucket
+    text = docs.select(F.col("doc_id").cast("long").alias("_id"), F.unhex(F.md5(text_or_empty())).alias("node"), F.col("text").cast("string").alias("text"))
+    texts = text.join(chosen, "node").filter(F.col("_id").eqNullSafe(F.col("doc_id"))).groupBy("node").agg(F.first("text").alias("text"))
+    g = F.ceil(F.col("n") / BLOCK).cast("int")
+    own = F.pmod(F.xxhash64("node"), F.col("g")).cast("int")
+    cells = member.join(texts, "node").withColumn("g", g).withColumn("own", own).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("g") - 1)))
+    cells = cells.select("band", "key", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "node", "marks", "text")
+    laid = cells.repartition("band", "key", "i", "j").sortWithinPartitions("band", "key", "i", "j", "node")
+    return laid.mapInArrow(_links(idf, key, least), "a binary, b binary, similarity double")
 
 
 def classes(docs: DataFrame, least: float = SIMILARITY) -> DataFrame:
     """(doc_id, node, label) for each row: label is the least node of its class."""
     signed, idf, key = signatures(docs)
-    links = verified_links(docs, signed, idf, key, least)
-    labels = materialize(components(links))
+    labels = components(verified_links(docs, signed, idf, key, least))
     return signed.select("doc_id", "node").join(labels, "node", "left").select("doc_id", "node", F.coalesce("label", "node").alias("label"))
 
 
