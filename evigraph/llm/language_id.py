@@ -30,7 +30,7 @@ ENDS = (".", "!", "?", ";", ":", "\n")
 WORD_OR_END = re.compile(r"[^\W\d_]+|[.!?;:\n]")
 CACHE_WORDS = 300_000
 #: A document is rejected by the pipeline's stage below this score.
-LEAST_SCORE = 0.4
+LEAST_SCORE = 0.3
 
 
 def word_features(words: list[str]):
