@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import ship
+from .common import materialize, ship
 from .tokens import default_path, encoder, slices
 
 BLOCK = 1024
@@ -78,4 +78,4 @@ def quantile(sums: DataFrame, q: float) -> int | None:
 
 
 def token_counts(docs: DataFrame, path: str | None = None) -> DataFrame:
-    return suffix_sums(histogram(docs, path))
+    return suffix_sums(materialize(histogram(docs, path)))  # read three times below: texts are encoded once
