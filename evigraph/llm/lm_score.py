@@ -3,8 +3,9 @@
 The trie holds how often each byte followed each context of up to ORDER bytes in the training texts, with a mark for the end of a text. A byte's
 probability is its count over the context's total plus its number of distinct followers; an unseen byte escapes to the next shorter context, where the
 symbols of the longer one are excluded (method C), down to a uniform choice. All of a corpus's contexts are counted, in numpy by batch and then by key;
-a lower order is the sum of the higher one. The trie has at most as many nodes as 256^(order+1); if more than MOST_NODES occur, the order is lowered for all
-texts alike (order 2 always fits), so the copy each task gets is bounded.
+a lower order is the sum of the higher one. Every text is scored at ORDER, whatever the size. Up to MOST_NODES nodes, each task gets the whole trie. Beyond, it
+gets the MOST_NODES most frequent nodes with their probabilities; what a text has besides is counted by node, looked up once a distinct node, in groups by the
+last two symbols of the context (all that a longer context needs is in its group, the rest in a trie of lower order), and joined back. So no copy grows with the input.
 
 The base score is an add-one unigram over words. Word counts are exact: counted by task and then by word. The HEAD_WORDS most frequent words are
 given to every task (a fixed bound); what a document has besides is joined with the table of counts by word, counts first, so no word, however frequent in a few
@@ -19,7 +20,7 @@ from __future__ import annotations
 import math
 import uuid
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import crc_mod, materialize, ship
@@ -103,14 +104,16 @@ def _count(batches):
 
 
 class Trie:
-    """Counts of (context, symbol) at each order, as sorted arrays, with what escapes and exclusion need."""
+    """Counts of (context, symbol) at each order, as sorted arrays, with what escapes and exclusion need. With `short`, its levels serve the orders it has."""
 
-    def __init__(self, codes, counts, order: int):
+    def __init__(self, codes, counts, order: int, short: Trie | None = None):
         import numpy as np
 
         self.order, self.levels = order, []
         codes, counts = np.asarray(codes, np.uint64), np.asarray(counts, np.int64)
-        for k in range(order, -1, -1):
+        by = np.argsort(codes, kind="stable")
+        codes, counts = codes[by], counts[by]
+        for k in range(order, short.order if short else -1, -1):
             if k < order:
                 codes, at = np.unique(codes & np.uint64((1 << 9 * (k + 1)) - 1), return_inverse=True)
                 counts = np.bincount(at, weights=counts, minlength=len(codes)).astype(np.int64)
@@ -119,7 +122,9 @@ class Trie:
             total = np.add.reduceat(counts, first) if len(codes) else np.zeros(0, np.int64)
             distinct = np.diff([*first, len(codes)]) if len(codes) else np.zeros(0, np.int64)
             self.levels.append({"codes": codes, "counts": counts, "ctx": ctx, "first": first, "total": total, "distinct": distinct})
-        for i, (high, low) in enumerate(zip(self.levels, self.levels[1:], strict=False)):
+        own = len(self.levels)
+        self.levels += short.levels if short else []
+        for i, (high, low) in enumerate(zip(self.levels[:own], self.levels[1:], strict=False)):
             # what a context's own symbols make up of its suffix context
             k = self.order - i - 1
             at = np.searchsorted(low["codes"], high["codes"] & np.uint64((1 << 9 * (k + 1)) - 1))
@@ -180,6 +185,28 @@ def text_log10(trie: Trie, blobs: list[bytes]):
     return np.bincount((key & np.uint64((1 << 14) - 1)).astype(np.int64), weights=value, minlength=len(blobs))
 
 
+class Head:
+    """The most frequent nodes, sorted, with log10 of their probabilities: a seen symbol is never excluded at the longest context."""
+
+    def __init__(self, codes, log10):
+        self.codes, self.log10 = codes, log10
+
+    def texts(self, blobs: list[bytes]):
+        """(log10 of what is known, for each text its other codes and how often each occurs)."""
+        import numpy as np
+
+        codes, owner = symbol_codes(blobs)
+        by = np.lexsort((codes, owner))
+        codes, owner = codes[by], owner[by]
+        first = np.flatnonzero(np.concatenate([[True], (codes[1:] != codes[:-1]) | (owner[1:] != owner[:-1])]))
+        n = np.diff([*first, len(codes)])
+        codes, owner = codes[first], owner[first]
+        at, hit = Trie._find(self.codes, codes)
+        score = np.bincount(owner[hit], weights=self.log10[at[hit]] * n[hit], minlength=len(blobs))
+        cuts = np.cumsum(np.bincount(owner[~hit], minlength=len(blobs)))[:-1]
+        return score, np.split(codes[~hit].astype(np.int64), cuts), np.split(n[~hit].astype(np.int64), cuts)
+
+
 _tries: dict[str, tuple] = {}
 
 
@@ -192,14 +219,18 @@ def _score(shared, key: str):
 
         if key not in _tries:
             _tries.clear()
-            codes, counts, order, words, freq = shared.value
-            _tries[key] = (Trie(codes, counts, order), dict(zip(words, freq.tolist(), strict=True)))
+            nodes, words, freq = shared.value
+            _tries[key] = (Head(*nodes) if len(nodes) == 2 else Trie(*nodes), dict(zip(words, freq.tolist(), strict=True)))
         trie, head = _tries[key]
         for batch in batches:
             ids, held = batch.column(0), batch.column(1)
             for part in _slices(batch.column(2).to_pylist()):
                 blobs = [b for _, b in part]
-                score = np.concatenate([text_log10(trie, blobs[i : i + 16000]) for i in range(0, len(blobs), 16000)])
+                if isinstance(trie, Head):
+                    score, rare, rare_n = trie.texts(blobs)
+                else:
+                    score = np.concatenate([text_log10(trie, blobs[i : i + 16000]) for i in range(0, len(blobs), 16000)])
+                    rare = rare_n = [[]] * len(blobs)
                 n_tokens, known, logs, tails, tail_n = [], [], [], [], []
                 for b in blobs:
                     words = b.lower().split()
@@ -224,17 +255,21 @@ def _score(shared, key: str):
                         pa.array(n_tokens, pa.int64()),
                         pa.array(known, pa.int64()),
                         pa.array(logs, pa.float64()),
-                        pa.array(score),
+                        pa.array(score, pa.float64()),
                         pa.array(tails, pa.list_(pa.binary())),
                         pa.array(tail_n, pa.list_(pa.int64())),
+                        pa.array(rare, pa.list_(pa.int64())),
+                        pa.array(rare_n, pa.list_(pa.int64())),
                     ],
-                    ["doc_id", "held_out", "n_tokens", "head_known", "head_logs", "score", "tail", "tail_n"],
+                    ["doc_id", "held_out", "n_tokens", "head_known", "head_logs", "score", "tail", "tail_n", "rare", "rare_n"],
                 )
 
     return run
 
 
-SCORED = "doc_id long, held_out boolean, n_tokens long, head_known long, head_logs double, score double, tail array<binary>, tail_n array<long>"
+SCORED = "doc_id long, held_out boolean, n_tokens long, head_known long, head_logs double, score double, tail array<binary>, tail_n array<long>, rare array<long>, rare_n array<long>"
+#: The last two symbols of a code's context.
+NEAR = f"code >> 9 & {(1 << 18) - 1}"
 
 
 def counts(docs: DataFrame) -> DataFrame:
@@ -258,6 +293,50 @@ def contexts(table: DataFrame, order: int = ORDER, most: int = MOST_NODES):
     return codes[by], n[by].astype(np.int64), order
 
 
+def frequent(level: DataFrame, most: int):
+    """(codes, log10 probabilities) of the nodes that are as frequent as the `most` most frequent ones; of equally frequent ones all or none."""
+    import numpy as np
+
+    sizes = level.groupBy("n").count().toArrow()
+    n, nodes = sizes.column("n").to_numpy(), sizes.column("count").to_numpy()
+    by = np.argsort(-n)
+    fits = n[by][np.cumsum(nodes[by]) <= most]
+    if not len(fits):
+        return np.zeros(0, np.uint64), np.zeros(0)
+    context = Window.partitionBy(F.expr("code >> 9"))  # 257 rows at most
+    whole = level.withColumn("whole", F.sum("n").over(context) + F.count(F.lit(1)).over(context))
+    got = whole.filter(F.col("n") >= int(fits[-1])).toArrow()
+    codes = got.column("code").to_numpy().astype(np.uint64)
+    by = np.argsort(codes)
+    return codes[by], np.log10(got.column("n").to_numpy() / got.column("whole").to_numpy())[by]
+
+
+_short: dict[str, Trie] = {}
+
+
+def _look_up(shared, key: str):
+    def run(asked, known):
+        import pyarrow as pa
+
+        if not asked.num_rows:
+            return pa.table({"code": pa.array([], pa.int64()), "value": pa.array([], pa.float64())})
+        if key not in _short:
+            _short.clear()
+            _short[key] = Trie(*shared.value)
+        trie = Trie(known.column("code").to_numpy(), known.column("n").to_numpy(), ORDER, _short[key])
+        codes = asked.column("code").to_numpy()
+        return pa.table({"code": pa.array(codes), "value": pa.array(trie.log10(codes.astype("uint64")))})
+
+    return run
+
+
+def looked_up(asked: DataFrame, level: DataFrame, most: int) -> DataFrame:
+    """(code, value): log10 probability at ORDER of each code asked for. A group holds the training's nodes with the same last two symbols of the context."""
+    shared = asked.sparkSession.sparkContext.broadcast(contexts(level, most=most))
+    ours, theirs = asked.withColumn("near", F.expr(NEAR)), level.withColumn("near", F.expr(NEAR))
+    return ours.groupBy("near").cogroup(theirs.groupBy("near")).applyInArrow(_look_up(shared, uuid.uuid4().hex), "code long, value double")
+
+
 def lm_score(docs: DataFrame) -> DataFrame:
     """One row per document: doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score."""
     import numpy as np
@@ -270,15 +349,22 @@ def lm_score(docs: DataFrame) -> DataFrame:
     under = math.log10(n_train + vocabulary + 1)
     head = words.orderBy(F.desc("c"), "word").limit(HEAD_WORDS).toArrow()
     logs = np.log10(head.column("c").to_numpy() + 1.0) - under
-    codes, n, order = contexts(table)
-    shared = spark.sparkContext.broadcast((codes, n, order, head.column("word").to_pylist(), logs))
+    level = table.filter("code is not null").select("code", "n")
+    whole = level.count() <= MOST_NODES
+    nodes = contexts(table) if whole else frequent(level, MOST_NODES)
+    shared = spark.sparkContext.broadcast((nodes, head.column("word").to_pylist(), logs))
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), (crc_mod("doc_id", 7) == 2).alias("held_out"), F.col("text").cast("string"))
     scored = materialize(rows.mapInArrow(_score(shared, uuid.uuid4().hex), SCORED).withColumn("row", F.monotonically_increasing_id()))
     tail = scored.filter(F.size("tail") > 0).select("row", F.explode(F.arrays_zip("tail", "tail_n")).alias("t")).select("row", F.col("t.tail").alias("word"), F.col("t.tail_n").alias("k"))
     found = tail.join(words, "word", "left")  # split where a word of held-out texts is frequent
     c = F.coalesce("c", F.lit(0))
     sums = found.groupBy("row").agg(F.sum(F.when(c > 0, F.col("k")).otherwise(0)).alias("known"), F.sum(F.col("k") * (F.log10(c + 1.0) - F.lit(under))).alias("logs"))
-    out = scored.drop("tail", "tail_n").join(sums, "row", "left")
+    out = scored.drop("tail", "tail_n", "rare", "rare_n").join(sums, "row", "left")
+    if not whole:
+        rare = scored.filter(F.size("rare") > 0).select("row", F.explode(F.arrays_zip("rare", "rare_n")).alias("t")).select("row", F.col("t.rare").alias("code"), F.col("t.rare_n").alias("k"))
+        values = looked_up(rare.select("code").distinct(), level, MOST_NODES)
+        rest = rare.join(values, "code").groupBy("row").agg(F.sum(F.col("k") * F.col("value")).alias("rest"))
+        out = out.join(rest, "row", "left").withColumn("score", F.col("score") + F.coalesce("rest", F.lit(0.0)))
     return out.select(
         "doc_id", "held_out", "n_tokens",
         (F.col("head_known") + F.coalesce("known", F.lit(0))).alias("n_known"),

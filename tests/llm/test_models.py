@@ -206,3 +206,15 @@ def test_lm_orders_and_empty(docs):
     codes, n, order = lm_score.contexts(table, most=10)
     assert order == 2 and n.sum() == table.filter("code is not null").selectExpr("sum(n)").first()[0]
     table.unpersist()
+
+
+@pytest.mark.parametrize("most", [0, 40, 2_000])
+def test_lm_order_at_any_size(docs, rows, monkeypatch, most):
+    monkeypatch.setattr(lm_score, "MOST_NODES", most)
+    got = defaultdict(list)
+    for r in lm_score.lm_score(docs.filter("doc_id is null or doc_id != 904")).collect():
+        got[r.doc_id].append(r)
+    texts = [(i, (t or "").encode()) for i, t, *_ in rows if i != 904]
+    train = [b for i, b in texts if held(i, 7) != 2]
+    for i, b in texts[::20] + texts[-6:]:
+        assert math.isclose(got[i][0].score, ppm_brute(train, b, lm_score.ORDER), rel_tol=1e-9)
