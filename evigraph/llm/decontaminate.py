@@ -6,7 +6,7 @@ region of m characters with at most k edits shares at least m + 1 - q - k*q q-gr
 most); bands that reach that bound are kept and verified by banded alignment with k edits. Letters are compared in lower case with runs of white space as one space.
 
 The benchmark is the stated query set: its index goes to every task, behind a check of its size; a larger benchmark is scanned in blocks of that size, so none is
-left out. Documents are never shuffled. A null or empty text is clean; an item without letters or digits never matches; repeated rows each give a row;
+left out. With one block documents are never shuffled; with more, their rows are numbered, written once and joined with what was found by number. A null or empty text is clean; an item without letters or digits never matches; repeated rows each give a row;
 an empty benchmark leaves all documents clean; an empty table gives an empty result.
 """
 
@@ -18,7 +18,7 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import ship
+from .common import materialize, row_key, ship
 
 Q = 12
 REGION, STRIDE = 80, 40
@@ -195,17 +195,20 @@ def _flagged(docs: DataFrame, benchmark: DataFrame, key) -> DataFrame:
     spark = docs.sparkSession
     ship(spark)
     rows = docs.select(*key, F.col("text").alias("_text"))
+    names = rows.columns[:-1]
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema.fields[:-1]) + ", " + SCHEMA
-    parts = []
-    for block in blocks(benchmark):
-        items = spark.sparkContext.broadcast(block)
-        parts.append(rows.mapInArrow(_scan(items, uuid.uuid4().hex), schema))
-    if len(parts) == 1:
-        return parts[0]
-    names = [f.name for f in rows.schema.fields[:-1]]
-    every = reduce(DataFrame.unionByName, parts)
-    merged = every.groupBy(*names).agg(F.array_sort(F.array_distinct(F.flatten(F.collect_list("item_ids")))).alias("item_ids"), F.sum("n_regions").alias("n_regions"), F.min("best_edits").alias("best_edits"))
-    return merged
+    every = [spark.sparkContext.broadcast(block) for block in blocks(benchmark)]
+    if len(every) == 1:
+        return rows.mapInArrow(_scan(every[0], uuid.uuid4().hex), schema)
+    # equal rows stay apart: each has a number, fixed by writing it; what the blocks find is put together by that number
+    rows = materialize(rows.withColumn("_number", row_key()))
+    numbered = rows.select("_number", "_text")
+    found = [numbered.mapInArrow(_scan(items, uuid.uuid4().hex), "_number long, " + SCHEMA).filter("n_regions > 0") for items in every]
+    merged = reduce(DataFrame.unionByName, found).groupBy("_number").agg(
+        F.array_sort(F.array_distinct(F.flatten(F.collect_list("item_ids")))).alias("item_ids"), F.sum("n_regions").alias("n_regions"), F.min("best_edits").alias("best_edits")
+    )
+    out = rows.drop("_text").join(merged, "_number", "left")
+    return out.select(*names, F.coalesce("item_ids", F.array().cast("array<long>")).alias("item_ids"), F.coalesce("n_regions", F.lit(0).cast("long")).alias("n_regions"), "best_edits")
 
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame) -> DataFrame:

@@ -218,3 +218,18 @@ def test_lm_order_at_any_size(docs, rows, monkeypatch, most):
     train = [b for i, b in texts if held(i, 7) != 2]
     for i, b in texts[::20] + texts[-6:]:
         assert math.isclose(got[i][0].score, ppm_brute(train, b, lm_score.ORDER), rel_tol=1e-9)
+
+
+def test_decontaminate_in_blocks(spark, monkeypatch):
+    rng = random.Random(12)
+    items = [(i, invented(rng, "en", 30)) for i in range(4)]
+    a, b, c = (invented(rng, "en", 30) for _ in range(3))
+    texts = [(None, a), (None, f"{b} {items[0][1]} {items[3][1]}"), (7, c), (7, c), (7, f"{c} {items[2][1]}"), (7, f"{c} {items[2][1]}"), (8, None)]
+    docs = spark.createDataFrame(texts, "doc_id long, text string").repartition(2)
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    monkeypatch.setattr(decontaminate, "BLOCK_CHARS", 200)
+    assert len(decontaminate.blocks(bench)) == 4
+    got = Counter((r.doc_id, r.contaminated, tuple(r.item_ids), r.best_edits) for r in decontaminate.decontaminate(docs, bench).collect())
+    assert got == Counter([(None, False, (), None), (None, True, (0, 3), 0), (7, False, (), None), (7, False, (), None), (7, True, (2,), 0), (7, True, (2,), 0), (8, False, (), None)])
+    kept = Counter((r.doc_id, r.text) for r in decontaminate.clean(docs, bench).collect())
+    assert kept == Counter([(None, a), (7, c), (7, c), (8, None)])
