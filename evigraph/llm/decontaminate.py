@@ -1,7 +1,8 @@
 """Benchmark decontamination: q-gram lemma filtering and banded alignment.
 
-Benchmark items are cut into overlapping regions (whole items if they are short). A document is scanned once: every q-gram is looked up in the
-benchmark's q-grams, and each hit falls on a diagonal (place in the document less place in the region) and so in two overlapping bands. An occurrence of a
+Benchmark items are cut into overlapping regions (whole items if they are short), so densely that a passage of 51 characters holds a region wherever it starts.
+A document is scanned once: every q-gram is looked up in the
+benchmark's q-grams, and each hit falls on a diagonal (place in the document less place in the item) and so in two overlapping bands. An occurrence of a
 region of m characters with at most k edits shares at least m + 1 - q - k*q q-grams within one band (the q-gram lemma, k edits break k*q at
 most); bands that reach that bound are kept and verified by banded alignment with k edits. Letters are compared in lower case with runs of white space as one space.
 
@@ -21,7 +22,8 @@ from pyspark.sql import functions as F
 from .common import materialize, row_key, ship
 
 Q = 12
-REGION, STRIDE = 80, 40
+#: A passage of REGION + STRIDE - 1 = 51 characters is found wherever in its item it starts.
+REGION, STRIDE = 48, 4
 #: Edits allowed, as a share of a region's characters.
 EDIT_SHARE = 0.05
 #: Characters of the benchmark that one index holds (about 30 bytes of index each); more make more indexes.
@@ -39,58 +41,81 @@ def budget(m: int, q: int = Q, share: float = EDIT_SHARE) -> tuple[int, int]:
     return k, m + 1 - q - k * q
 
 
-def banded_edits(pattern: str, text: str, k: int) -> int | None:
-    """Least edits, up to k, that turn pattern into some substring of text (text holds little more than the pattern)."""
-    if pattern in text:
-        return 0
-    n = len(text)
-    width = n - len(pattern) + k  # diagonals from -k to the text's surplus
-    before = {j: 0 for j in range(0, min(n, width) + 1)}
-    for i, ch in enumerate(pattern, 1):
-        row: dict[int, int] = {}
-        for j in range(max(0, i - k), min(n, i + width) + 1):
-            best = before.get(j, k + 1) + 1
-            if j:
-                best = min(best, before.get(j - 1, k + 1) + (text[j - 1] != ch), row.get(j - 1, k + 1) + 1)
-            if best <= k:
-                row[j] = best
-        if not row:
-            return None
-        before = row
-    return min(before.values(), default=None)
+def banded_edits(patterns, windows, k: int):
+    """Least edits that turn each pattern (rows of m code points) into some substring of its window (m + 6k + 2: the diagonals of a band, k more on each side)."""
+    import numpy as np
+
+    m = patterns.shape[1]
+    wide = windows.shape[1] - m + 1
+    step = np.arange(wide, dtype=np.int16)
+    row = np.zeros((len(patterns), wide), np.int16)
+    for i in range(m):
+        new = row + (windows[:, i : i + wide] != patterns[:, i : i + 1])
+        new[:, :-1] = np.minimum(new[:, :-1], row[:, 1:] + 1)
+        row = np.minimum.accumulate(new - step, axis=1) + step
+    return row.min(axis=1)
+
+
+class Regions:
+    """(item, part, edits allowed, q-grams that must be shared) of every region, cut from the items' texts when asked for."""
+
+    def __init__(self, items: list[tuple[int, str]], q: int, share: float):
+        import numpy as np
+
+        self.items, self.q, self.share = items, q, share
+        self.m = np.array([min(len(t), REGION) for _, t in items], dtype=np.int64)
+        self.last = np.array([len(t) for _, t in items], dtype=np.int64) - self.m
+        self.n = -(-self.last // STRIDE) + 1
+        self.first = np.cumsum(self.n) - self.n
+        budgets = [budget(m, q, share) for m in range(REGION + 1)]
+        self.allowed = np.array([k for k, _ in budgets], dtype=np.int64)[self.m]
+        self.least = np.array([least for _, least in budgets], dtype=np.int64)[self.m]
+
+    def __len__(self) -> int:
+        return int(self.n.sum())
+
+    def owner(self, r):
+        import numpy as np
+
+        return np.searchsorted(self.first, r, side="right") - 1
+
+    def start(self, r):
+        import numpy as np
+
+        i = self.owner(r)
+        return np.minimum((r - self.first[i]) * STRIDE, self.last[i])
+
+    def __getitem__(self, r: int):
+        if not 0 <= r < len(self):
+            raise IndexError(r)
+        i, at = int(self.owner(r)), int(self.start(r))
+        item, text = self.items[i]
+        return item, text[at : at + REGION], int(self.allowed[i]), int(self.least[i])
 
 
 class Index:
-    """q-grams of the regions, as sorted 32-bit hashes with their (region, place) lists."""
+    """q-grams of the items, as sorted 32-bit hashes with their (item, place) lists; regions are laid over the hits."""
 
     def __init__(self, items: list[tuple[int, str]], q: int = Q, share: float = EDIT_SHARE):
         import numpy as np
 
-        self.q, self.regions, grams, owner, place = q, [], [], [], []
+        self.q, kept = q, []
         for item, text in items:
             t = _normal(text)
-            if not any(c.isalnum() for c in t):
-                continue
-            last = max(0, len(t) - REGION)
-            for at in sorted({*range(0, last, STRIDE), last}):
-                part = t[at : at + REGION]
-                k, least = budget(len(part), q, share)
-                h = self.hashes(part) if len(part) >= q else np.zeros(0, np.uint32)
-                grams.append(h)
-                owner.append(np.full(len(h), len(self.regions)))
-                place.append(np.arange(len(h)))
-                self.regions.append((item, part, k, least))
-        self.short = [(r, part) for r, (_, part, _, _) in enumerate(self.regions) if len(part) < q]  # found as they are
+            if any(c.isalnum() for c in t):
+                kept.append((item, t))
+        self.regions = Regions(kept, q, share)
+        self.short = [(int(self.regions.first[i]), t) for i, (_, t) in enumerate(kept) if len(t) < q]  # found as they are
+        grams = [self.hashes(t) for _, t in kept]
         g = np.concatenate(grams) if grams else np.zeros(0, np.uint32)
         by = np.argsort(g, kind="stable")
         self.grams, self.first, self.count = np.unique(g[by], return_index=True, return_counts=True)
-        self.owner = (np.concatenate(owner) if owner else np.zeros(0, int))[by].astype(np.int32)
-        self.place = (np.concatenate(place) if place else np.zeros(0, int))[by].astype(np.int32)
+        self.owner = np.repeat(np.arange(len(grams)), [len(x) for x in grams])[by].astype(np.int32) if grams else np.zeros(0, np.int32)
+        self.place = np.concatenate([np.arange(len(x)) for x in grams])[by].astype(np.int32) if grams else np.zeros(0, np.int32)
         self.marks = np.zeros(1 << 22, dtype=bool)
         self.marks[self.grams >> np.uint32(10)] = True
-        self.allowed = np.array([r[2] for r in self.regions] or [0], dtype=np.int64)
-        self.fewest = min((r[3] for r in self.regions if len(r[1]) >= q), default=1)
-        self.least = np.array([r[3] for r in self.regions] or [0], dtype=np.int64)
+        self.fewest = min(self.regions.least[self.regions.m >= q].tolist(), default=1)
+        self.longest = max((len(t) for _, t in kept), default=0)
 
     def hashes(self, text: str):
         """A 32-bit hash of every q-gram of code points, by doubling. Grams that only share a hash add to counts, which verification sorts out."""
@@ -131,27 +156,51 @@ class Index:
             return found
         n = self.count[near]
         pick = np.repeat(self.first[near] - (np.cumsum(n) - n), n) + np.arange(n.sum())
-        region, at = self.owner[pick].astype(np.int64), np.repeat(at, n)
-        place = self.place[pick]
-        diagonal = at - place + REGION
-        k = self.allowed[region] + 1
-        band = diagonal // k
+        item, place, at = self.owner[pick].astype(np.int64), self.place[pick].astype(np.int64), np.repeat(at, n)
+        laid = self.regions
+        band = (at - place + self.longest) // (laid.allowed[item] + 1)
         # each hit counts in its band and in the one before: bands overlap by half
-        one = ((region << 32 | band + 1) << 7) | place  # a place in a region is below 128
-        pairs = np.unique(np.concatenate([one, one - 128])) >> 7  # a q-gram of the region counts once
-        keys, shared = np.unique(pairs, return_counts=True)
-        owner = keys >> 32
-        for key, r in zip(keys[shared >= self.least[owner]].tolist(), owner[shared >= self.least[owner]].tolist(), strict=True):
-            if found.get(r) == 0:
-                continue
-            _, part, most, _ = self.regions[r]
-            start = ((key & 0xFFFFFFFF) - 1) * (most + 1) - REGION
-            lo, hi = max(0, start - most), start + 2 * (most + 1) + len(part) + most
-            edits = banded_edits(part, text[lo : max(0, hi)], most)
-            if edits is not None:
-                found[r] = min(found.get(r, edits), edits)
+        key = item << 33 | band + 1
+        keys, group = np.unique(np.concatenate([key, key - 1]), return_inverse=True)
+        span = self.longest + 1
+        hits = np.unique(group * span + np.concatenate([place, place]))  # a q-gram of the item counts once
+        group, place = hits // span, hits % span
+        full = (np.bincount(group, minlength=len(keys)) >= laid.least[keys >> 33])[group]
+        group, place = group[full], place[full]
+        if not len(group):
+            return found
+        # the regions that hold each q-gram: from the first that ends after it to the last that starts before it
+        item = keys[group] >> 33
+        lo = np.minimum(np.maximum(-(-(place - laid.m[item] + self.q) // STRIDE), 0), laid.n[item] - 1)
+        hi = np.where(place >= laid.last[item], laid.n[item] - 1, place // STRIDE)
+        n = np.maximum(hi - lo + 1, 0)
+        region = np.repeat(laid.first[item] + lo - (np.cumsum(n) - n), n) + np.arange(n.sum())
+        every = len(laid)
+        pairs, shared = np.unique(np.repeat(group, n) * every + region, return_counts=True)
+        item = keys[pairs // every] >> 33
+        pairs, item = pairs[shared >= laid.least[item]], item[shared >= laid.least[item]]
+        region = pairs % every
+        k, m = laid.allowed[item], laid.m[item]
+        begin = ((keys[pairs // every] & 0x1FFFFFFFF) - 1) * (k + 1) - self.longest + laid.start(region)  # of the band, in the text
+        points = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), dtype="<u4")
+        for size in np.unique(m).tolist():
+            mine = np.flatnonzero(m == size)
+            most = int(k[mine[0]])
+            wide = size + 6 * most + 2
+            for some in np.array_split(mine, -(-len(mine) // 4096)):
+                patterns = np.stack([self._points(i, s, size) for i, s in zip(item[some].tolist(), laid.start(region[some]).tolist(), strict=True)])
+                x = (begin[some] - 2 * most)[:, None] + np.arange(wide)
+                windows = np.where((x >= 0) & (x < len(points)), points[np.clip(x, 0, len(points) - 1)], np.uint32(0xFFFFFFFF))
+                edits = banded_edits(patterns, windows, most)
+                for r, e in zip(region[some][edits <= most].tolist(), edits[edits <= most].tolist(), strict=True):
+                    found[r] = min(found.get(r, e), e)
         return found
 
+    def _points(self, i: int, start: int, size: int):
+        import numpy as np
+
+        return np.frombuffer(self.regions.items[i][1][start : start + size].encode("utf-32-le", "surrogatepass"), dtype="<u4")
+
 
 _indexes: dict[str, Index] = {}
 

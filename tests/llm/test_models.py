@@ -233,3 +233,16 @@ def test_decontaminate_in_blocks(spark, monkeypatch):
     assert got == Counter([(None, False, (), None), (None, True, (0, 3), 0), (7, False, (), None), (7, False, (), None), (7, True, (2,), 0), (7, True, (2,), 0), (8, False, (), None)])
     kept = Counter((r.doc_id, r.text) for r in decontaminate.clean(docs, bench).collect())
     assert kept == Counter([(None, a), (7, c), (7, c), (8, None)])
+
+
+def test_decontaminate_at_any_alignment():
+    rng = random.Random(13)
+    item = decontaminate._normal(invented(rng, "en", 60))
+    index = decontaminate.Index([(5, item)])
+    assert len(item) > 250
+    for at in range(len(item) - 51 + 1):
+        assert 0 in index.search(f"{'zq ' * 30}{item[at : at + 51]}{' xj' * 30}").values()
+    assert not index.search(f"{'zq ' * 30}{item[40:70]}{' xj' * 30}")
+    cut = list(item[100:160])
+    cut[20], cut[40] = "#", "#"
+    assert index.search("zq " * 30 + "".join(cut) + " xj" * 30)
