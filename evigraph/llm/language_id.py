@@ -4,6 +4,10 @@ A word's features are its character n-grams of one to four letters with marks fo
 a lexicon entry; all are hashed. Transitions are learned from sequences in which clauses of different languages follow each other. Forward-backward gives
 each word's language; a document's prediction is the language of the most expected words, its score their share. A chain is a clause of up to CHAIN words.
 
+The shares of the languages sum to 1, so they say nothing about a text in none of them. The stage of the pipeline therefore asks for evidence: the share of a
+text's four-letter pieces of words that occur in the learned texts of any language (so mixed texts stay). What learned languages reach is measured on
+documents of the sample whose pieces were left out; a text well below that, more so the fewer words it has, goes.
+
 Learned from text and non-null lang of rows that are not held out, by default over at most SAMPLE rows (a documented bound of the training sample, in order of a hash
 of their ids). Whole texts are labelled in one pass without a shuffle. A null text or one without a letter is `und` with score 0; with nothing to learn
 from, all are `und`; repeated rows each give a row; an empty table gives an empty result.
@@ -31,6 +35,12 @@ WORD_OR_END = re.compile(r"[^\W\d_]+|[.!?;:\n]")
 CACHE_WORDS = 300_000
 #: A document is rejected by the pipeline's stage below this score.
 LEAST_SCORE = 0.3
+#: Pieces of words are marked in a table of 2^PIECE_BITS.
+PIECE, PIECE_BITS = 4, 22
+#: The evidence asked for lies SLACK under the LOW_SHARE quantile of left-out documents, and for n words SPREADS deviations of the mean of n words lower.
+FOLDS, LOW_SHARE, SLACK, SPREADS = 4, 0.005, 0.03, 2.0
+#: Words a document must have to be counted for the quantile.
+CALIBRATE_WORDS = 20
 
 
 def word_features(words: list[str]):
@@ -64,6 +74,55 @@ def word_features(words: list[str]):
     return ids[by], np.cumsum(counts) - counts
 
 
+def pieces(words: list[str]):
+    """(numbers, counts): the hashed pieces of all words in turn, and how many each has; a word of one letter is one piece."""
+    import numpy as np
+
+    joined = "".join(f"\x02{w}\x03" + "\x03" * (len(w) < PIECE - 2) for w in words)
+    c = np.frombuffer(joined.encode("utf-32-le", "surrogatepass"), dtype="<u4").astype(np.uint64)
+    size = np.array([max(len(w) + 2, PIECE) for w in words], dtype=np.int64)
+    n = size - PIECE + 1
+    at = np.repeat(np.cumsum(size) - size - (np.cumsum(n) - n), n) + np.arange(n.sum())
+    h = np.zeros(len(at), np.uint64)
+    for k in range(PIECE):
+        h = h * np.uint64(0x100000001B3) + c[at + k]
+    return (h * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(64 - PIECE_BITS)).astype(np.int64), n
+
+
+def word_evidence(words: list[str], marks):
+    """Of each word the pieces that are marked, and all."""
+    import numpy as np
+
+    if not words:
+        return np.zeros((0, 2), np.float32)
+    found, n = pieces(words)
+    return np.stack([np.add.reduceat(marks[found].astype(np.float32), np.cumsum(n) - n), n.astype(np.float32)], axis=1)
+
+
+def evidence(rows: list[tuple[str, str]]):
+    """(marks, asked, spread): the pieces of the learned texts, the evidence asked of a long text, and a word's deviation."""
+    import numpy as np
+
+    docs = [w for text in dict.fromkeys(text for text, _ in rows) if (w := WORD.findall(text.lower()))]  # copies would be in two folds
+    made = [pieces(w)[0] for w in docs]
+    seen = np.zeros(1 << PIECE_BITS, np.int32)  # folds that hold a piece
+    folds = [np.unique(np.concatenate([np.zeros(0, np.int64), *made[f::FOLDS]])) for f in range(FOLDS)]
+    for own in folds:
+        seen[own] += 1
+    share, spread = [], []
+    for f, own in enumerate(folds):
+        seen[own] -= 1
+        marks = seen > 0
+        seen[own] += 1
+        for words in docs[f::FOLDS]:
+            got = word_evidence(words, marks)
+            spread.append(got[:, 0] / got[:, 1])
+            if len(words) >= CALIBRATE_WORDS:
+                share.append(got[:, 0].sum() / got[:, 1].sum())
+    asked = float(np.quantile(share, LOW_SHARE)) - SLACK if share else 0.0
+    return seen > 0, asked, float(np.concatenate(spread).std()) if spread else 0.0
+
+
 def emissions(words: list[str], weights):
     """Log-potentials of words, (n, labels); features of a word are averaged so that length does not add certainty without end."""
     import numpy as np
@@ -188,9 +247,10 @@ class _Numbers(dict):
 
 
 class Tagger:
-    def __init__(self, labels, weights, trans, first):
+    def __init__(self, labels, weights, trans, first, known=None):
         import numpy as np
 
+        self.marks, self.asked, self.spread = known or (np.zeros(1 << PIECE_BITS, bool), 0.0, 0.0)
         self.labels, self.weights = labels, weights
         self.trans, self.first = np.exp(trans).astype(np.float32), np.exp(first).astype(np.float32)
         self._anew()
@@ -200,6 +260,7 @@ class Tagger:
 
         self.number = _Numbers({x: i for i, x in enumerate(ENDS)})
         self.table = np.ones((len(ENDS), len(self.labels)), np.float32)
+        self.proof = np.zeros((len(ENDS), 2), np.float32)
 
     def _factors(self, words: list[str]):
         """Numbers of words, whose factors the table then holds; at CACHE_WORDS the table starts anew."""
@@ -214,10 +275,11 @@ class Tagger:
         if len(self.number) > had:
             new = list(itertools.islice(reversed(self.number), len(self.number) - had))[::-1]
             self.table = np.concatenate([self.table, scaled(emissions(new, self.weights))])
+            self.proof = np.concatenate([self.proof, word_evidence(new, self.marks)])
         return ids
 
     def texts(self, texts: list[str | None]):
-        """(label or UNKNOWN, score) of each text."""
+        """(label or UNKNOWN, score, whether there is evidence of a learned language) of each text."""
         import numpy as np
 
         words, size = [], np.zeros(len(texts), np.int64)
@@ -226,7 +288,7 @@ class Tagger:
                 own = WORD_OR_END.findall(t.lower())
                 words += own
                 size[d] = len(own)
-        out = [(UNKNOWN, 0.0)] * len(texts)
+        out = [(UNKNOWN, 0.0, False)] * len(texts)
         if not words or not self.labels:
             return out
         ids = self._factors(words)
@@ -244,13 +306,15 @@ class Tagger:
         n = np.bincount(doc, minlength=len(texts))
         share = np.stack([np.bincount(doc, weights=post[:, k], minlength=len(texts)) for k in range(len(self.labels))], axis=1) / np.maximum(n, 1)[:, None]
         best = share.argmax(axis=1)
+        proof = np.stack([np.bincount(doc, weights=self.proof[ids, k], minlength=len(texts)) for k in range(2)], axis=1)
+        proven = proof[:, 0] / np.maximum(proof[:, 1], 1) >= self.asked - SPREADS * self.spread / np.sqrt(np.maximum(n, 1))
         for d in np.flatnonzero(n).tolist():
-            out[d] = (self.labels[best[d]], float(min(1.0, share[d, best[d]])))
+            out[d] = (self.labels[best[d]], float(min(1.0, share[d, best[d]])), bool(proven[d]))
         return out
 
 
 def train(docs: DataFrame, sample: int = SAMPLE):
-    """The fitted field: (labels, weights, transitions, start)."""
+    """The fitted field and the evidence of its texts: (labels, weights, transitions, start, evidence)."""
     import numpy as np
 
     ids = (
@@ -260,8 +324,8 @@ def train(docs: DataFrame, sample: int = SAMPLE):
     rows = docs.select("doc_id", "text", "lang").filter("lang is not null and text is not null").join(F.broadcast(ids.distinct()), "doc_id").select("text", "lang").collect()  # `sample` ids at most
     rows = sorted((r[0], r[1]) for r in rows)
     if not rows or not any(WORD.search(t) for t, _ in rows):
-        return [], np.zeros((1 << BITS, 0), np.float32), np.zeros((0, 0)), np.zeros(0)
-    return fit(rows)
+        return [], np.zeros((1 << BITS, 0), np.float32), np.zeros((0, 0)), np.zeros(0), None
+    return *fit(rows), evidence(rows)
 
 
 def _tag(model):
@@ -281,7 +345,7 @@ def _tag(model):
                 out += tagger.texts(texts[start:stop])
                 start = stop
             cols = [batch.column(i) for i in range(k)]
-            yield pa.RecordBatch.from_arrays([*cols, pa.array([x[0] for x in out], pa.string()), pa.array([x[1] for x in out], pa.float64())], [*batch.schema.names[:k], "lang_pred", "score"])
+            yield pa.RecordBatch.from_arrays([*cols, pa.array([x[0] for x in out], pa.string()), pa.array([x[1] for x in out], pa.float64()), pa.array([x[2] for x in out], pa.bool_())], [*batch.schema.names[:k], "lang_pred", "score", "proven"])
 
     return run
 
@@ -291,18 +355,18 @@ def _tagged(docs: DataFrame, key, sample: int) -> DataFrame:
     ship(spark)
     model = spark.sparkContext.broadcast(train(docs, sample))  # 2^16 weights a language
     rows = docs.select(*key, F.col("text").cast("string").alias("_text"))
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema.fields[:-1]) + ", lang_pred string, score double"
+    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema.fields[:-1]) + ", lang_pred string, score double, proven boolean"
     return rows.mapInArrow(_tag(model), schema)
 
 
 def language_id(docs: DataFrame, sample: int = SAMPLE) -> DataFrame:
     """One row per document: doc_id, held_out, lang_pred, score."""
-    return _tagged(docs, [F.col("doc_id"), (crc_mod("doc_id", 5) == 0).alias("held_out")], sample)
+    return _tagged(docs, [F.col("doc_id"), (crc_mod("doc_id", 5) == 0).alias("held_out")], sample).drop("proven")
 
 
 def keep_known(docs: DataFrame, sample: int = SAMPLE, least: float = LEAST_SCORE) -> DataFrame:
-    """The documents whose language is known with a score of `least` or more, all columns as they were: the stage of the pipeline."""
+    """The documents with evidence of a learned language and a score of `least` or more, all columns as they were: the stage of the pipeline."""
     names = docs.columns
     whole = F.struct(*[F.col(f"`{c}`") for c in names]).alias("_row")
-    out = _tagged(docs, [whole], sample).filter((F.col("lang_pred") != UNKNOWN) & (F.col("score") >= least))
+    out = _tagged(docs, [whole], sample).filter((F.col("lang_pred") != UNKNOWN) & F.col("proven") & (F.col("score") >= least))
     return out.select(*[F.col(f"_row.`{c}`").alias(c) for c in names])

@@ -246,3 +246,17 @@ def test_decontaminate_at_any_alignment():
     cut = list(item[100:160])
     cut[20], cut[40] = "#", "#"
     assert index.search("zq " * 30 + "".join(cut) + " xj" * 30)
+
+
+def test_stage_rejects_what_is_in_no_learned_language(spark, docs):
+    rng = random.Random(17)
+    letters = "abcdefghijklmnopqrstuvwxyz"
+    noise = [" ".join("".join(rng.choices(letters, k=rng.randint(2, 9))) for _ in range(40)) for _ in range(10)]
+    other = "ka wiz mop rulo zej tak obu nyx fye".split()
+    foreign = [" ".join("".join(rng.choices(other, k=rng.choice([1, 2, 3]))) for _ in range(40)) for _ in range(10)]
+    script = ["Это предложение написано на другом языке и не должно остаться " * 3]
+    mixed = [f"{invented(rng, 'en', 20)}. {invented(rng, 'de', 20)}. {invented(rng, 'fr', 20)}." for _ in range(20)]
+    more = [(1000 + i, t, None, "s", 5, 0.5) for i, t in enumerate(noise + foreign + script + mixed)]
+    kept = {r.doc_id for r in language_id.keep_known(docs.unionByName(spark.createDataFrame(more, docs.schema))).select("doc_id").collect()}
+    assert {i for i in kept if i is not None and i >= 1000} == set(range(1021, 1041))
+    assert {i for i in range(240)} <= kept
