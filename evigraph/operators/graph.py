@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass, field
 from functools import reduce
+from operator import methodcaller
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -80,19 +81,23 @@ class Graph:
         return self.edges[kind].join(ids, "dst", "left_anti")
 
 
-def closure(edges: DataFrame, most: int = 32) -> DataFrame:
-    """(node, ancestor, depth) along parent links (child, parent), by doubling: every turn joins paths of up to twice the length. Self-links and cycles end."""
+def closure(edges: DataFrame, most: int | None = None) -> DataFrame:
+    """(node, ancestor, depth) along parent links (child, parent), by doubling: every turn joins paths of up to twice the length, until no pair is new or, if
+    given, depth `most` is reached. Self-links and cycles end, as a pair keeps its least depth."""
     paths = edges.filter("child != parent").select(F.col("child").alias("node"), F.col("parent").alias("ancestor"), F.lit(1).alias("depth")).distinct()
-    reach = 1
-    while reach < most:
+    cut = methodcaller("checkpoint" if edges.sparkSession.sparkContext.getCheckpointDir() else "localCheckpoint")  # or the plan triples every turn
+    paths = cut(paths)
+    reach, pairs = 1, paths.count()
+    while most is None or reach < most:
         a, b = paths.alias("a"), paths.alias("b")
         longer = a.join(b, F.col("a.ancestor") == F.col("b.node")).filter("a.node != b.ancestor")
-        longer = longer.select(F.col("a.node").alias("node"), F.col("b.ancestor").alias("ancestor"), (F.col("a.depth") + F.col("b.depth")).alias("depth")).filter(F.col("depth") <= most)
-        wider = paths.unionByName(longer).groupBy("node", "ancestor").agg(F.min("depth").alias("depth"))
-        reach *= 2
-        if reach > 2 and longer.join(paths, ["node", "ancestor"], "left_anti").isEmpty():
-            return wider
-        paths = wider
+        longer = longer.select(F.col("a.node").alias("node"), F.col("b.ancestor").alias("ancestor"), (F.col("a.depth") + F.col("b.depth")).alias("depth"))
+        if most is not None:
+            longer = longer.filter(F.col("depth") <= most)
+        paths = cut(paths.unionByName(longer).groupBy("node", "ancestor").agg(F.min("depth").alias("depth")))
+        reach, had, pairs = reach * 2, pairs, paths.count()
+        if pairs == had:
+            break
     return paths
 
 

@@ -203,3 +203,11 @@ def test_workbook(spark, tmp_path):
     assert [tuple(r) for r in cells.collect()] == [("metformin", "p (NT1)", "0.5")]
     with pytest.raises(readers.MalformedInput):
         readers.workbook(spark, path, "S1", "absent")
+
+
+def test_closure_has_no_depth_bound(spark):
+    from evigraph.operators.graph import closure
+
+    chain = spark.createDataFrame([(i, i + 1) for i in range(70)], "child long, parent long")
+    assert {(r.node, r.ancestor, r.depth) for r in closure(chain).collect()} == {(i, j, j - i) for i in range(70) for j in range(i + 1, 71)}
+    assert closure(chain, most=5).count() == sum(min(5, 70 - i) for i in range(70))
