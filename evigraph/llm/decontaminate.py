@@ -7,19 +7,23 @@ region of m characters with at most k edits shares at least m + 1 - q - k*q q-gr
 most); bands that reach that bound are kept and verified by banded alignment with k edits. Letters are compared in lower case with runs of white space as one space.
 
 The benchmark is the stated query set: its index goes to every task, behind a check of its size; a larger benchmark is scanned in blocks of that size, so none is
-left out. With one block documents are never shuffled; with more, their rows are numbered, written once and joined with what was found by number. A null or empty text is clean; an item without letters or digits never matches; repeated rows each give a row;
+left out. Only one block is on the driver and in the tasks at a time. With one block documents are never shuffled; with more, their rows are numbered, written once and joined with what was found by number.
+An item of fewer than Q characters must stand as whole words. A null or empty text is clean; an item without letters or digits never matches; repeated rows each give a row;
 an empty benchmark leaves all documents clean; an empty table gives an empty result.
 """
 
 from __future__ import annotations
 
+import re
 import uuid
+from collections.abc import Iterator
 from functools import reduce
+from itertools import chain
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialize, row_key, ship
+from .common import kept, materialize, row_key, ship
 
 Q = 12
 #: A passage of REGION + STRIDE - 1 = 51 characters is found wherever in its item it starts.
@@ -99,14 +103,14 @@ class Index:
     def __init__(self, items: list[tuple[int, str]], q: int = Q, share: float = EDIT_SHARE):
         import numpy as np
 
-        self.q, kept = q, []
+        self.q, real = q, []
         for item, text in items:
             t = _normal(text)
             if any(c.isalnum() for c in t):
-                kept.append((item, t))
-        self.regions = Regions(kept, q, share)
-        self.short = [(int(self.regions.first[i]), t) for i, (_, t) in enumerate(kept) if len(t) < q]  # found as they are
-        grams = [self.hashes(t) for _, t in kept]
+                real.append((item, t))
+        self.regions = Regions(real, q, share)
+        self.short = [(int(self.regions.first[i]), t, re.compile(rf"(?<!\w){re.escape(t)}(?!\w)")) for i, (_, t) in enumerate(real) if len(t) < q]  # found as whole words
+        grams = [self.hashes(t) for _, t in real]
         g = np.concatenate(grams) if grams else np.zeros(0, np.uint32)
         by = np.argsort(g, kind="stable")
         self.grams, self.first, self.count = np.unique(g[by], return_index=True, return_counts=True)
@@ -115,7 +119,7 @@ class Index:
         self.marks = np.zeros(1 << 22, dtype=bool)
         self.marks[self.grams >> np.uint32(10)] = True
         self.fewest = min(self.regions.least[self.regions.m >= q].tolist(), default=1)
-        self.longest = max((len(t) for _, t in kept), default=0)
+        self.longest = max((len(t) for _, t in real), default=0)
 
     def hashes(self, text: str):
         """A 32-bit hash of every q-gram of code points, by doubling. Grams that only share a hash add to counts, which verification sorts out."""
@@ -144,7 +148,7 @@ class Index:
         """region -> least edits, for the regions that occur within their budget."""
         import numpy as np
 
-        found = {r: 0 for r, part in self.short if part in text}
+        found = {r: 0 for r, part, whole in self.short if part in text and whole.search(text)}
         h = self.hashes(text)
         at = np.flatnonzero(self.marks[h >> np.uint32(10)])
         if not len(self.grams) or len(at) < self.fewest:
@@ -202,73 +206,89 @@ class Index:
         return np.frombuffer(self.regions.items[i][1][start : start + size].encode("utf-32-le", "surrogatepass"), dtype="<u4")
 
 
-_indexes: dict[str, Index] = {}
-
-
 def _scan(items, name: str):
+    """Of each row (number or id, text) what is found."""
+
     def run(batches):
         import pyarrow as pa
 
-        if name not in _indexes:
-            _indexes.clear()
-            _indexes[name] = Index(items.value)
-        index = _indexes[name]
+        index = kept(name, lambda: Index(items.value))
         for batch in batches:
             ids, n, best = [], [], []
-            for text in batch.column(batch.num_columns - 1).to_pylist():
+            for text in batch.column(1).to_pylist():
                 found = index.search(_normal(text)) if text else {}
                 ids.append(sorted({index.regions[r][0] for r in found}))
                 n.append(len(found))
                 best.append(min(found.values(), default=None))
-            cols = [batch.column(i) for i in range(batch.num_columns - 1)]
-            yield pa.RecordBatch.from_arrays([*cols, pa.array(ids, pa.list_(pa.int64())), pa.array(n, pa.int64()), pa.array(best, pa.int32())], [*batch.schema.names[:-1], "item_ids", "n_regions", "best_edits"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(ids, pa.list_(pa.int64())), pa.array(n, pa.int64()), pa.array(best, pa.int32())], [batch.schema.names[0], "item_ids", "n_regions", "best_edits"])
+
+    return run
+
+
+def _pass(items, name: str, at: int):
+    """The rows of whole batches whose text at that place holds no item."""
+
+    def run(batches):
+        import pyarrow as pa
+
+        index = kept(name, lambda: Index(items.value))
+        for batch in batches:
+            yield batch.filter(pa.array([not (text and index.search(_normal(text))) for text in batch.column(at).to_pylist()], pa.bool_()))
 
     return run
 
 
-def blocks(benchmark: DataFrame) -> list[list[tuple[int, str]]]:
-    """The benchmark in blocks of BLOCK_CHARS: it is the stated query set, read in the order of its ids."""
-    out: list[list[tuple[int, str]]] = [[]]
+def blocks(benchmark: DataFrame) -> Iterator[list[tuple[int, str]]]:
+    """The benchmark in blocks of BLOCK_CHARS, one at a time on the driver: it is the stated query set, read in the order of its ids."""
+    out: list[tuple[int, str]] = []
     size = 0
     for r in benchmark.filter("text is not null").select(F.col("item_id").cast("long"), "text").orderBy("item_id").toLocalIterator():
-        if size + len(r[1]) > BLOCK_CHARS and out[-1]:
-            out.append([])
-            size = 0
-        out[-1].append((r[0], r[1]))
+        if size + len(r[1]) > BLOCK_CHARS and out:
+            yield out
+            out, size = [], 0
+        out.append((r[0], r[1]))
         size += len(r[1])
-    return out
-
-
-def _flagged(docs: DataFrame, benchmark: DataFrame, key) -> DataFrame:
-    """key columns, item_ids, n_regions, best_edits for each row of docs."""
-    spark = docs.sparkSession
-    ship(spark)
-    rows = docs.select(*key, F.col("text").alias("_text"))
-    names = rows.columns[:-1]
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema.fields[:-1]) + ", " + SCHEMA
-    every = [spark.sparkContext.broadcast(block) for block in blocks(benchmark)]
-    if len(every) == 1:
-        return rows.mapInArrow(_scan(every[0], uuid.uuid4().hex), schema)
-    # equal rows stay apart: each has a number, fixed by writing it; what the blocks find is put together by that number
-    rows = materialize(rows.withColumn("_number", row_key()))
-    numbered = rows.select("_number", "_text")
-    found = [numbered.mapInArrow(_scan(items, uuid.uuid4().hex), "_number long, " + SCHEMA).filter("n_regions > 0") for items in every]
-    merged = reduce(DataFrame.unionByName, found).groupBy("_number").agg(
-        F.array_sort(F.array_distinct(F.flatten(F.collect_list("item_ids")))).alias("item_ids"), F.sum("n_regions").alias("n_regions"), F.min("best_edits").alias("best_edits")
-    )
-    out = rows.drop("_text").join(merged, "_number", "left")
-    return out.select(*names, F.coalesce("item_ids", F.array().cast("array<long>")).alias("item_ids"), F.coalesce("n_regions", F.lit(0).cast("long")).alias("n_regions"), "best_edits")
+    yield out
 
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """One row per document: doc_id, contaminated, item_ids (sorted), n_regions, best_edits."""
-    out = _flagged(docs, benchmark, [F.col("doc_id")])
+    spark = docs.sparkSession
+    ship(spark)
+    rows = docs.select("doc_id", F.col("text").cast("string").alias("_text"))
+    every = blocks(benchmark)
+    first, second = next(every), next(every, None)
+    if second is None:
+        kind = rows.schema["doc_id"].dataType.simpleString()
+        out = rows.mapInArrow(_scan(spark.sparkContext.broadcast(first), uuid.uuid4().hex), f"doc_id {kind}, " + SCHEMA)
+    else:
+        # equal rows stay apart: each has a number, fixed by writing it; what the blocks find is put together by that number
+        rows = materialize(rows.withColumn("_number", row_key()))
+        found = []
+        for block in chain([first, second], every):
+            items = spark.sparkContext.broadcast(block)
+            found.append(materialize(rows.select("_number", "_text").mapInArrow(_scan(items, uuid.uuid4().hex), "_number long, " + SCHEMA).filter("n_regions > 0")))
+            items.destroy()
+        merged = reduce(DataFrame.unionByName, found).groupBy("_number").agg(
+            F.array_sort(F.array_distinct(F.flatten(F.collect_list("item_ids")))).alias("item_ids"), F.sum("n_regions").alias("n_regions"), F.min("best_edits").alias("best_edits")
+        )
+        none = {"item_ids": F.array().cast("array<long>"), "n_regions": F.lit(0).cast("long")}
+        out = rows.drop("_text").join(merged, "_number", "left").withColumns({c: F.coalesce(c, x) for c, x in none.items()})
     return out.select("doc_id", (F.size("item_ids") > 0).alias("contaminated"), "item_ids", "n_regions", "best_edits")
 
 
 def clean(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """The documents that hold no benchmark passage, all columns as they were: the stage of the pipeline."""
-    names = docs.columns
-    whole = F.struct(*[F.col(f"`{c}`") for c in names]).alias("_row")
-    out = _flagged(docs, benchmark, [whole]).filter(F.size("item_ids") == 0)
-    return out.select(*[F.col(f"_row.`{c}`").alias(c) for c in names])
+    """The documents that hold no benchmark passage, all columns as they were: the stage of the pipeline. A text goes to Python once for each block."""
+    spark = docs.sparkSession
+    ship(spark)
+    every = blocks(benchmark)
+    block, out, at = next(every), docs, docs.columns.index("text")
+    while block is not None:
+        later = next(every, None)
+        items = spark.sparkContext.broadcast(block)
+        out = out.mapInArrow(_pass(items, uuid.uuid4().hex, at), docs.schema)
+        if later is not None:
+            out = materialize(out)
+            items.destroy()
+        block = later
+    return out

@@ -2,7 +2,7 @@
 
 A word's features are its character n-grams of one to four letters with marks for its start and end, so affixes are among them, and the whole word as
 a lexicon entry; all are hashed. Transitions are learned from sequences in which clauses of different languages follow each other. Forward-backward gives
-each word's language; a document's prediction is the language of the most expected words, its score their share. A chain is a clause of up to CHAIN words.
+each word's language; a document's prediction is the language of the most expected words, its score their share. A chain is a clause of up to CHAIN words; no word is left out, in learning or in labelling.
 
 The shares of the languages sum to 1, so they say nothing about a text in none of them. The stage of the pipeline therefore asks for evidence: the share of a
 text's four-letter pieces of words that occur in the learned texts of any language (so mixed texts stay). What learned languages reach is measured on
@@ -16,18 +16,20 @@ from, all are `und`; repeated rows each give a row; an empty table gives an empt
 from __future__ import annotations
 
 import re
+import sys
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import crc_mod, ship
+from .common import crc_mod, give_back, ship
 
 SAMPLE = 1200
 UNKNOWN = "und"
 BITS = 16
 CHAIN = 64
-#: Words of a sampled document used to fit, spread over the whole text.
-FIT_CLAUSES = 24
+#: Runs of letters, as str.isalpha has them: \w less \d and _ leaves numerals such as ½, ² or Ⅷ, which are no letters.
+NUMERALS = {ord(c): "0" for c in map(chr, range(sys.maxunicode + 1)) if c.isalnum() and not c.isalpha() and not c.isdecimal()}
+NUMERAL_SET = frozenset(map(chr, NUMERALS))
 WORD = re.compile(r"[^\W\d_]+")
 #: Marks that end a clause (fixed values).
 ENDS = (".", "!", "?", ";", ":", "\n")
@@ -43,6 +45,12 @@ FOLDS, LOW_SHARE, SLACK, SPREADS = 4, 0.005, 0.03, 2.0
 CALIBRATE_WORDS = 20
 
 
+def lowered(text: str) -> str:
+    """The text in lower case, with other numerals as digits."""
+    text = text.lower()
+    return text if text.isascii() or NUMERAL_SET.isdisjoint(text) else text.translate(NUMERALS)
+
+
 def word_features(words: list[str]):
     """(ids, starts): hashed n-gram features of all words in turn, and where each word's begin."""
     import numpy as np
@@ -103,7 +111,7 @@ def evidence(rows: list[tuple[str, str]]):
     """(marks, asked, spread): the pieces of the learned texts, the evidence asked of a long text, and a word's deviation."""
     import numpy as np
 
-    docs = [w for text in dict.fromkeys(text for text, _ in rows) if (w := WORD.findall(text.lower()))]  # copies would be in two folds
+    docs = [w for text in dict.fromkeys(text for text, _ in rows) if (w := WORD.findall(lowered(text)))]  # copies would be in two folds
     made = [pieces(w)[0] for w in docs]
     seen = np.zeros(1 << PIECE_BITS, np.int32)  # folds that hold a piece
     folds = [np.unique(np.concatenate([np.zeros(0, np.int64), *made[f::FOLDS]])) for f in range(FOLDS)]
@@ -172,7 +180,7 @@ def forward_backward(e, starts, lengths, trans, first):
 def chains(text: str) -> list[list[str]]:
     """Clauses of a text as lists of lower-case words, none longer than CHAIN."""
     out = []
-    for clause in re.split(r"[.!?;:\n]", text.lower()):
+    for clause in re.split(r"[.!?;:\n]", lowered(text)):
         words = WORD.findall(clause)
         out += [words[i : i + CHAIN] for i in range(0, len(words), CHAIN)]
     return out
@@ -187,9 +195,7 @@ def fit(rows: list[tuple[str, str]], steps: int = 30):
     rng = np.random.default_rng(7)
     parts: list[tuple[list[str], int]] = []
     for text, lang in rows:
-        own = chains(text)
-        for i in (range(len(own)) if len(own) <= FIT_CLAUSES else rng.choice(len(own), FIT_CLAUSES, replace=False)):
-            parts.append((own[i], code[lang]))
+        parts += [(words, code[lang]) for words in chains(text) if words]
     words: dict[str, int] = {}
     ids, gold, lengths = [], [], []
     order = rng.permutation(len(parts))
@@ -228,9 +234,9 @@ def fit(rows: list[tuple[str, str]], steps: int = 30):
             want[:, k] = np.bincount(ids, weights=post[:, k], minlength=len(words))
         gap = seen - want
         grad = np.stack([np.bincount(feats, weights=gap[owner, k], minlength=1 << BITS) for k in range(L)], axis=1) - 0.05 * weights
-        pair = np.exp(trans)[None] * alpha[into - 1][:, :, None] * (e[into] * beta[into])[:, None, :]
-        pair /= pair.sum(axis=(1, 2), keepdims=True)
-        grad_t = seen_trans - pair.sum(axis=0) - 0.05 * trans
+        left, right, factor = alpha[into - 1], e[into] * beta[into], np.exp(trans)
+        left /= ((left @ factor) * right).sum(axis=1, keepdims=True)  # each pair's shares add up to 1
+        grad_t = seen_trans - factor * (left.T @ right) - 0.05 * trans
         grad_f = seen_first - post[starts].sum(axis=0) - 0.05 * first
         for value, g, h in ((weights, grad, gw), (trans, grad_t, gt), (first, grad_f, gf)):
             h += g * g
@@ -285,7 +291,7 @@ class Tagger:
         words, size = [], np.zeros(len(texts), np.int64)
         for d, t in enumerate(texts):
             if t:
-                own = WORD_OR_END.findall(t.lower())
+                own = WORD_OR_END.findall(lowered(t))
                 words += own
                 size[d] = len(own)
         out = [(UNKNOWN, 0.0, False)] * len(texts)
@@ -321,52 +327,65 @@ def train(docs: DataFrame, sample: int = SAMPLE):
         docs.filter("lang is not null and text is not null and doc_id is not null").select("doc_id")
         .filter(crc_mod("doc_id", 5) != 0).orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample)
     )
-    rows = docs.select("doc_id", "text", "lang").filter("lang is not null and text is not null").join(F.broadcast(ids.distinct()), "doc_id").select("text", "lang").collect()  # `sample` ids at most
+    chosen = docs.select("doc_id", "text", "lang").filter("lang is not null and text is not null").join(F.broadcast(ids.distinct()), "doc_id")
+    rows = chosen.groupBy("doc_id").agg(F.min(F.struct("text", "lang")).alias("x")).select("x.text", "x.lang").collect()  # one row an id, `sample` at most
     rows = sorted((r[0], r[1]) for r in rows)
-    if not rows or not any(WORD.search(t) for t, _ in rows):
+    if not rows or not any(WORD.search(lowered(t)) for t, _ in rows):
         return [], np.zeros((1 << BITS, 0), np.float32), np.zeros((0, 0)), np.zeros(0), None
     return *fit(rows), evidence(rows)
 
 
+def _labelled(tagger: Tagger, texts: list) -> list[tuple]:
+    """The tagger's answers, in slices of about a million characters, or one text."""
+    out, start = [], 0
+    while start < len(texts):
+        stop, size = start, 0
+        while stop < len(texts) and (stop == start or size + len(texts[stop] or "") < 1_000_000):
+            size += len(texts[stop] or "")
+            stop += 1
+        out += tagger.texts(texts[start:stop])
+        start = stop
+    return out
+
+
 def _tag(model):
     def run(batches):
         import pyarrow as pa
 
         tagger = Tagger(*model.value)
         for batch in batches:
-            k = batch.num_columns - 1
-            texts = batch.column(k).to_pylist()
-            out, start = [], 0
-            while start < len(texts):  # slices of about a million characters, or one text
-                stop, size = start, 0
-                while stop < len(texts) and (stop == start or size + len(texts[stop] or "") < 1_000_000):
-                    size += len(texts[stop] or "")
-                    stop += 1
-                out += tagger.texts(texts[start:stop])
-                start = stop
-            cols = [batch.column(i) for i in range(k)]
-            yield pa.RecordBatch.from_arrays([*cols, pa.array([x[0] for x in out], pa.string()), pa.array([x[1] for x in out], pa.float64()), pa.array([x[2] for x in out], pa.bool_())], [*batch.schema.names[:k], "lang_pred", "score", "proven"])
+            out = _labelled(tagger, batch.column(2).to_pylist())
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array([x[0] for x in out], pa.string()), pa.array([x[1] for x in out], pa.float64())], ["doc_id", "held_out", "lang_pred", "score"])
+        del tagger
+        give_back()
 
     return run
 
 
-def _tagged(docs: DataFrame, key, sample: int) -> DataFrame:
-    spark = docs.sparkSession
-    ship(spark)
-    model = spark.sparkContext.broadcast(train(docs, sample))  # 2^16 weights a language
-    rows = docs.select(*key, F.col("text").cast("string").alias("_text"))
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema.fields[:-1]) + ", lang_pred string, score double, proven boolean"
-    return rows.mapInArrow(_tag(model), schema)
+def _keep(model, at: int, least: float):
+    def run(batches):
+        import pyarrow as pa
+
+        tagger = Tagger(*model.value)
+        for batch in batches:
+            out = _labelled(tagger, batch.column(at).to_pylist())
+            yield batch.filter(pa.array([x[0] != UNKNOWN and x[2] and x[1] >= least for x in out], pa.bool_()))
+        del tagger
+        give_back()
+
+    return run
 
 
 def language_id(docs: DataFrame, sample: int = SAMPLE) -> DataFrame:
     """One row per document: doc_id, held_out, lang_pred, score."""
-    return _tagged(docs, [F.col("doc_id"), (crc_mod("doc_id", 5) == 0).alias("held_out")], sample).drop("proven")
+    ship(docs.sparkSession)
+    model = docs.sparkSession.sparkContext.broadcast(train(docs, sample))  # 2^16 weights a language
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), (crc_mod("doc_id", 5) == 0).alias("held_out"), F.col("text").cast("string").alias("text"))
+    return rows.mapInArrow(_tag(model), "doc_id long, held_out boolean, lang_pred string, score double")
 
 
 def keep_known(docs: DataFrame, sample: int = SAMPLE, least: float = LEAST_SCORE) -> DataFrame:
-    """The documents with evidence of a learned language and a score of `least` or more, all columns as they were: the stage of the pipeline."""
-    names = docs.columns
-    whole = F.struct(*[F.col(f"`{c}`") for c in names]).alias("_row")
-    out = _tagged(docs, [whole], sample).filter((F.col("lang_pred") != UNKNOWN) & F.col("proven") & (F.col("score") >= least))
-    return out.select(*[F.col(f"_row.`{c}`").alias(c) for c in names])
+    """The documents with evidence of a learned language and a score of `least` or more, all columns as they were: the stage of the pipeline. A text goes to Python once."""
+    ship(docs.sparkSession)
+    model = docs.sparkSession.sparkContext.broadcast(train(docs, sample))
+    return docs.mapInArrow(_keep(model, docs.columns.index("text"), least), docs.schema)

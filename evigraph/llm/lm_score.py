@@ -7,7 +7,7 @@ a lower order is the sum of the higher one. Every text is scored at ORDER, whate
 gets the MOST_NODES most frequent nodes with their probabilities; what a text has besides is counted by node, looked up once a distinct node, in groups by the
 last two symbols of the context (all that a longer context needs is in its group, the rest in a trie of lower order), and joined back. So no copy grows with the input.
 
-The base score is an add-one unigram over words. Word counts are exact: counted by task and then by word. The HEAD_WORDS most frequent words are
+The base score is an add-one unigram over words. Word counts are exact: counted by task and then by word. The most frequent words, HEAD_WORDS at most, are
 given to every task (a fixed bound); what a document has besides is joined with the table of counts by word, counts first, so no word, however frequent in a few
 documents, moves more than once a document. Results are sums by row.
 
@@ -23,13 +23,13 @@ import uuid
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import crc_mod, materialize, ship
+from .common import crc_mod, kept, log_floor, materialize, ship
 
 ORDER = 4
 END = 256
 MOST_NODES = 8_000_000
 HEAD_WORDS = 200_000
-FLUSH_WORDS = 400_000
+FLUSH_WORDS, FLUSH_CODES = 400_000, 2_000_000
 SLICE = 3 << 20
 #: Stands for the end of a document: no word can hold white space.
 END_WORD = b"\n"
@@ -70,7 +70,7 @@ def symbol_codes(blobs: list[bytes], order: int = ORDER):
 
 
 def _count(batches):
-    """Rows (kind 0: word, kind 1: context code) with counts; a task's words are summed as long as they fit in FLUSH_WORDS."""
+    """Rows (kind 0: word, kind 1: context code) with counts; a task's words and codes are summed as long as they fit in FLUSH_WORDS and FLUSH_CODES."""
     from collections import Counter
 
     import numpy as np
@@ -81,6 +81,11 @@ def _count(batches):
     def words_out(words: Counter):
         return pa.RecordBatch.from_arrays([pa.array(list(words), pa.binary()), pa.nulls(len(words), pa.int64()), pa.array(list(words.values()), pa.int64())], names)
 
+    def codes_out():
+        for i in range(0, len(codes), 100_000):
+            c = codes[i : i + 100_000]
+            yield pa.RecordBatch.from_arrays([pa.nulls(len(c), pa.binary()), pa.array(c.astype(np.int64)), pa.array(counts[i : i + 100_000])], names)
+
     words: Counter = Counter()
     codes, counts = np.zeros(0, np.uint64), np.zeros(0, np.int64)
     for batch in batches:
@@ -96,11 +101,12 @@ def _count(batches):
             codes, counts = np.concatenate([codes, c]), np.concatenate([counts, n])
             codes, at = np.unique(codes, return_inverse=True)
             counts = np.bincount(at, weights=counts).astype(np.int64)
+            if len(codes) > FLUSH_CODES:
+                yield from codes_out()
+                codes, counts = codes[:0], counts[:0]
     if words:
         yield words_out(words)
-    for i in range(0, len(codes), 100_000):
-        c = codes[i : i + 100_000]
-        yield pa.RecordBatch.from_arrays([pa.nulls(len(c), pa.binary()), pa.array(c.astype(np.int64)), pa.array(counts[i : i + 100_000])], names)
+    yield from codes_out()
 
 
 class Trie:
@@ -207,9 +213,6 @@ class Head:
         return score, np.split(codes[~hit].astype(np.int64), cuts), np.split(n[~hit].astype(np.int64), cuts)
 
 
-_tries: dict[str, tuple] = {}
-
-
 def _score(shared, key: str):
     def run(batches):
         from collections import Counter
@@ -217,11 +220,11 @@ def _score(shared, key: str):
         import numpy as np
         import pyarrow as pa
 
-        if key not in _tries:
-            _tries.clear()
+        def made():
             nodes, words, freq = shared.value
-            _tries[key] = (Head(*nodes) if len(nodes) == 2 else Trie(*nodes), dict(zip(words, freq.tolist(), strict=True)))
-        trie, head = _tries[key]
+            return Head(*nodes) if len(nodes) == 2 else Trie(*nodes), dict(zip(words, freq.tolist(), strict=True))
+
+        trie, head = kept(key, made)
         for batch in batches:
             ids, held = batch.column(0), batch.column(1)
             for part in _slices(batch.column(2).to_pylist()):
@@ -280,11 +283,11 @@ def counts(docs: DataFrame) -> DataFrame:
 
 
 def contexts(table: DataFrame, order: int = ORDER, most: int = MOST_NODES):
-    """(codes, counts, order) of the trie's deepest level: the longest contexts whose nodes fit in `most`."""
+    """(codes, counts, order) of the trie's deepest level: the longest contexts whose nodes fit in `most`, of one symbol at least (66,049 nodes at most)."""
     import numpy as np
 
     level = table.filter("code is not null").select("code", "n")
-    while order > 2 and level.count() > most:
+    while order > 1 and level.count() > most:
         order -= 1
         level = level.groupBy(F.expr(f"code & {(1 << 9 * (order + 1)) - 1}").alias("code")).agg(F.sum("n").alias("n"))
     got = level.toArrow()
@@ -294,36 +297,27 @@ def contexts(table: DataFrame, order: int = ORDER, most: int = MOST_NODES):
 
 
 def frequent(level: DataFrame, most: int):
-    """(codes, log10 probabilities) of the nodes that are as frequent as the `most` most frequent ones; of equally frequent ones all or none."""
+    """(codes, log10 probabilities) of the most frequent nodes, `most` at most; of about equally frequent ones all or none."""
     import numpy as np
 
-    sizes = level.groupBy("n").count().toArrow()
-    n, nodes = sizes.column("n").to_numpy(), sizes.column("count").to_numpy()
-    by = np.argsort(-n)
-    fits = n[by][np.cumsum(nodes[by]) <= most]
-    if not len(fits):
+    least = log_floor(level, "n", most)
+    if least is None:
         return np.zeros(0, np.uint64), np.zeros(0)
     context = Window.partitionBy(F.expr("code >> 9"))  # 257 rows at most
     whole = level.withColumn("whole", F.sum("n").over(context) + F.count(F.lit(1)).over(context))
-    got = whole.filter(F.col("n") >= int(fits[-1])).toArrow()
+    got = whole.filter(F.col("n") >= least).toArrow()  # `most` rows at most
     codes = got.column("code").to_numpy().astype(np.uint64)
     by = np.argsort(codes)
     return codes[by], np.log10(got.column("n").to_numpy() / got.column("whole").to_numpy())[by]
 
 
-_short: dict[str, Trie] = {}
-
-
 def _look_up(shared, key: str):
     def run(asked, known):
         import pyarrow as pa
 
         if not asked.num_rows:
             return pa.table({"code": pa.array([], pa.int64()), "value": pa.array([], pa.float64())})
-        if key not in _short:
-            _short.clear()
-            _short[key] = Trie(*shared.value)
-        trie = Trie(known.column("code").to_numpy(), known.column("n").to_numpy(), ORDER, _short[key])
+        trie = Trie(known.column("code").to_numpy(), known.column("n").to_numpy(), ORDER, kept(key, lambda: Trie(*shared.value)))
         codes = asked.column("code").to_numpy()
         return pa.table({"code": pa.array(codes), "value": pa.array(trie.log10(codes.astype("uint64")))})
 
@@ -347,7 +341,7 @@ def lm_score(docs: DataFrame) -> DataFrame:
     size = words.agg(F.sum("c").alias("n"), F.count(F.lit(1)).alias("v")).first()
     n_train, vocabulary = size["n"] or 0, size["v"]
     under = math.log10(n_train + vocabulary + 1)
-    head = words.orderBy(F.desc("c"), "word").limit(HEAD_WORDS).toArrow()
+    head = words.filter(F.col("c") >= (log_floor(words, "c", HEAD_WORDS) or n_train + 1)).toArrow()  # HEAD_WORDS rows at most; no task gathers them
     logs = np.log10(head.column("c").to_numpy() + 1.0) - under
     level = table.filter("code is not null").select("code", "n")
     whole = level.count() <= MOST_NODES

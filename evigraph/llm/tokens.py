@@ -9,12 +9,13 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
+from .common import kept
+
 #: Pieces kept in a worker; beyond the bound the cache starts anew, so memory is bounded and results are the same.
 CACHE_PIECES = 500_000
 #: Texts are handled in slices of so many bytes, or one text if it is longer.
 SLICE_BYTES = 12 << 20
 VOCABULARY = "byte_bpe_50k.json"
-_loaded: dict[str, Encoder] = {}
 
 
 def default_path() -> str:
@@ -25,9 +26,7 @@ def default_path() -> str:
 
 def encoder(path: str) -> Encoder:
     """One encoder for each vocabulary in a worker."""
-    if path not in _loaded:
-        _loaded[path] = Encoder(path)
-    return _loaded[path]
+    return kept(("encoder", path), lambda: Encoder(path))
 
 
 def _bytes_of_marks() -> dict[str, int]:
