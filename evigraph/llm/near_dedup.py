@@ -5,11 +5,14 @@ kept within [1, 1 + IDF] so that frequent copies stay close. Document frequencie
 mean load of a slot), the only corpus statistic each task gets.
 
 Each text has SAMPLES consistent weighted samples (a shingle and a step of its weight); equal samples have the probability of the weighted Jaccard similarity.
-Texts that share BAND samples of a band meet in a bucket. Equal texts are one node from the start. Buckets over BLOCK nodes are dealt out as pairs of blocks, so
-no task holds a whole group. In a cell likely links are verified on whole texts, surest first, but only between nodes that no verified link joins yet: what
-comes out is a spanning forest, never a list that grows with the square of a group. So the parts are those of all likely
-links, though most are never listed. A link counts as likely if LIKELY of the samples agree: at a similarity of 0.8 one in some thousand links has fewer, or
-shares no band. Parts are joined by alternating large and small stars on the cluster, with the lineage cut at each turn.
+Texts that share BAND samples of a band meet in a bucket. Equal texts are one node from the start. In a bucket's cell likely links are verified on whole texts,
+surest first, but only between nodes that no verified link joins yet: what comes out is a spanning forest, never a list that grows with the square of a group. A link counts
+as likely if LIKELY of the samples agree: at a similarity of 0.8 one in a million has fewer (and one in 1,300 shares no band).
+
+A bucket over BLOCK nodes (or CELL_BYTES of text) is cut into blocks, each text going to one block. Of the parts found in a block one representative goes on; representatives
+are dealt out and verified in the same way until one block holds a bucket's or no more parts merge. Where a bucket still has several parts, all nodes outside its largest part are
+checked against all others, in cells of a block each; a text is copied once for each BLOCK nodes outside the largest part. So a large group of near copies moves each text about
+twice, and no likely pair of different parts is left unverified. Parts are joined by alternating large and small stars on the cluster, with the lineage cut at each turn.
 
 A null or blank text has no shingle: it is equal to texts of the same characters only. A null doc_id is never a class id unless all of the class are null.
 Repeated rows are equal texts. Extra columns are ignored; an empty table gives an empty result.
@@ -22,14 +25,16 @@ import uuid
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialize, ship, text_or_empty
+from .common import kept, materialize, ship, text_or_empty
 from .tokens import slices
 
 WORDS = 5
 SIMILARITY = 0.8
 SAMPLES, BAND = 30, 3
-LIKELY, SURE = 17, 24
-BLOCK = 1024
+LIKELY, SURE = 12, 24
+BLOCK, CELL_BYTES = 1024, 32 << 20
+#: Shingles of a cell's texts are made in runs of so many texts and held up to so many hashes.
+BAG_RUN, BAG_HASHES = 16, 4_000_000
 IDF = 0.2
 SLOTS_BITS = 20
 CHUNK_BITS = 14
@@ -37,7 +42,9 @@ CHUNK_BITS = 14
 DRAWS_BITS = 14
 SLICE_BYTES = 4 << 20
 
-SIGNED = "doc_id long, node binary, marks binary, bands array<long>"
+SIGNED = "doc_id long, node binary, size int, marks binary, bands array<long>"
+#: A link has a similarity; a row without one says that node a is in the part of b in that bucket.
+LINKS = "band int, key long, a binary, b binary, similarity double"
 
 
 def _mix(h):
@@ -162,7 +169,7 @@ def _frequencies(batches):
                 total += len(h)
                 np.add.at(counts, (h >> np.uint64(64 - SLOTS_BITS)).astype(np.int64), 1)
     if n:
-        step, part = 1 << CHUNK_BITS, TaskContext.get().partitionId() % 16
+        step, part = 1 << CHUNK_BITS, TaskContext.get().partitionId() % 256
         chunks = [zlib.compress(counts[i : i + step].tobytes(), 1) for i in range(0, size, step)]
         m = len(chunks)
         yield pa.RecordBatch.from_arrays(
@@ -191,8 +198,9 @@ def idf_table(docs: DataFrame):
 
     ship(docs.sparkSession)
     parts = docs.select(F.col("text").cast("string")).mapInArrow(_frequencies, CHUNKS)
-    parts = parts.groupBy("chunk", "part").applyInPandas(_sum_chunks, CHUNKS)  # two levels: a group has a sixteenth of the tasks' chunks
-    rows = parts.groupBy("chunk").applyInPandas(_sum_chunks, CHUNKS).collect()  # 64 chunks
+    for shift in (0, 4, 8):  # a tree: a group has one chunk of a 256th of the tasks, then sixteen sums, then sixteen
+        parts = parts.withColumn("part", F.shiftright("part", shift and 4)).groupBy("chunk", "part").applyInPandas(_sum_chunks, CHUNKS)
+    rows = parts.collect()  # 64 chunks
     if not rows:
         return np.ones(1 << SLOTS_BITS, np.float32)
     n, total = sum(r["n"] for r in rows), sum(r["total"] for r in rows)
@@ -201,14 +209,8 @@ def idf_table(docs: DataFrame):
     return (1 + IDF * np.log(n / df) / np.log(n + 1)).astype(np.float32)
 
 
-_tools: dict[str, tuple] = {}
-
-
 def _tool(idf, key: str):
-    if key not in _tools:
-        _tools.clear()
-        _tools[key] = (Shingler(idf.value), Sampler())
-    return _tools[key]
+    return kept(key, lambda: (Shingler(idf.value), Sampler()))
 
 
 def _sign(idf, key: str):
@@ -219,9 +221,9 @@ def _sign(idf, key: str):
         shingler, sampler = _tool(idf, key)
         none = np.zeros(SAMPLES, np.uint32).tobytes()
         for batch in batches:
-            for a, k in slices(batch.column(2), SLICE_BYTES):
+            for a, k in slices(batch.column(3), SLICE_BYTES):
                 marks, bands = [], []
-                for h, c in shingler.shingles(batch.column(2).slice(a, k)):
+                for h, c in shingler.shingles(batch.column(3).slice(a, k)):
                     if len(h):
                         m = sampler.marks(h, shingler.weights(h, c))
                         marks.append(m.tobytes())
@@ -231,39 +233,60 @@ def _sign(idf, key: str):
                         bands.append(np.zeros(0, np.int64))
                 ends = np.cumsum([0, *map(len, bands)]).astype(np.int32)
                 lists = pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(bands) if bands else np.zeros(0, np.int64)))
-                yield pa.RecordBatch.from_arrays([batch.column(0).slice(a, k), batch.column(1).slice(a, k), pa.array(marks, pa.binary()), lists], ["doc_id", "node", "marks", "bands"])
+                yield pa.RecordBatch.from_arrays([*(batch.column(i).slice(a, k) for i in range(3)), pa.array(marks, pa.binary()), lists], ["doc_id", "node", "size", "marks", "bands"])
 
     return run
 
 
-def _links(idf, key: str, least: float):
-    """Verified links of each cell (rows lie sorted by cell: key, i, j): every two nodes that likely links of the cell join are joined by links found."""
+class Bags:
+    """Weighted shingles of a cell's texts, made when asked for and held within a bound."""
+
+    def __init__(self, shingler: Shingler, texts: list):
+        self.shingler, self.texts, self.runs, self.held = shingler, texts, {}, 0
+
+    def __getitem__(self, i: int):
+        import pyarrow as pa
+
+        at = i // BAG_RUN
+        if at not in self.runs:
+            if self.held > BAG_HASHES:
+                self.runs, self.held = {}, 0
+            made = self.shingler.shingles(pa.array(self.texts[at * BAG_RUN : (at + 1) * BAG_RUN], pa.string()))
+            self.runs[at] = [(h, self.shingler.weights(h, c).astype(float)) for h, c in made]
+            self.held += sum(len(h) for h, _ in made)
+        return self.runs[at][i % BAG_RUN]
+
+
+def _links(idf, key: str, least: float, parts: bool):
+    """Verified links of each cell (rows lie sorted by cell: band, key, i, j): every two nodes that likely links of the cell join are joined by links found or had the same
+    label before. In a cell of two blocks (i < j) only nodes of different sides are compared. With `parts`, also each node's part in its cell, named by one of its nodes."""
 
     def run(batches):
         import numpy as np
         import pyarrow as pa
 
         shingler, _ = _tool(idf, key)
-        links: list[tuple[bytes, bytes, float]] = []
+        out: list[tuple] = []
 
-        def cell(band, nodes, marks, texts):
+        def cell(place, sides, nodes, labels, marks, texts):
             if len(nodes) < 2:
+                if parts:
+                    out.extend((*place[:2], x, x, None) for x in nodes)
                 return
+            band, two = place[0], place[2] != place[3]
             m = np.frombuffer(b"".join(marks), np.uint32).reshape(len(nodes), SAMPLES)
-            bags: list[tuple] = []
-
-            def bag(i):
-                if not bags:
-                    bags.extend((h, shingler.weights(h, c).astype(float)) for h, c in shingler.shingles(pa.array(texts, pa.string())))
-                return bags[i]
-
-            part, tried = np.arange(len(nodes)), set()
+            side, bags = np.array(sides), Bags(shingler, texts)
+            names: dict = {}
+            part, tried = np.array([names.setdefault(x, len(names)) for x in labels]), set()
             for bound in (SURE, LIKELY):
                 for i in range(len(nodes) - 1):
-                    other = np.flatnonzero(part[i + 1 :] != part[i]) + i + 1
+                    apart = part[i + 1 :] != part[i]
+                    if two:
+                        apart &= side[i + 1 :] != side[i]
+                    other = np.flatnonzero(apart) + i + 1
                     if not len(other):
                         if not (part != part[0]).any():
-                            return
+                            break
                         continue
                     same = m[other] == m[i]
                     near = same.sum(axis=1) >= bound
@@ -272,29 +295,34 @@ def _links(idf, key: str, least: float):
                     for j in other[near].tolist():
                         if part[j] != part[i] and (i, j) not in tried:
                             tried.add((i, j))
-                            if (x := similarity(bag(i), bag(j))) >= least:
-                                links.append((nodes[i], nodes[j], x))
+                            if (x := similarity(bags[i], bags[j])) >= least:
+                                out.append((*place[:2], nodes[i], nodes[j], x))
                                 part[part == part[j]] = part[i]
-
-        def out():
-            got = [pa.array([x[k] for x in links], kind) for k, kind in enumerate((pa.binary(), pa.binary(), pa.float64()))]
-            links.clear()
-            return pa.RecordBatch.from_arrays(got, ["a", "b", "similarity"])
-
-        at, rows = (0, 0, 0, 0), ([], [], [])
+            if parts:
+                first = {}
+                for x, p in zip(nodes, part.tolist(), strict=True):
+                    out.append((*place[:2], x, first.setdefault(p, x), None))
+
+        def sent():
+            kinds = (pa.int32(), pa.int64(), pa.binary(), pa.binary(), pa.float64())
+            got = [pa.array([x[k] for x in out], kind) for k, kind in enumerate(kinds)]
+            out.clear()
+            return pa.RecordBatch.from_arrays(got, ["band", "key", "a", "b", "similarity"])
+
+        at, rows = (0, 0, 0, 0), ([], [], [], [], [])
         for batch in batches:
-            *place, node, marks, text = (batch.column(x).to_pylist() for x in range(7))
-            for where, *row in zip(zip(*place, strict=True), node, marks, text, strict=True):
+            columns = [batch.column(x).to_pylist() for x in range(9)]
+            for where, *row in zip(zip(*columns[:4], strict=True), *columns[4:], strict=True):
                 if where != at:
-                    cell(at[0], *rows)
-                    at, rows = where, ([], [], [])
-                    if len(links) > 50_000:
-                        yield out()
+                    cell(at, *rows)
+                    at, rows = where, ([], [], [], [], [])
+                    if len(out) > 20_000:
+                        yield sent()
                 for column, x in zip(rows, row, strict=True):
                     column.append(x)
-        cell(at[0], *rows)
-        if links:
-            yield out()
+        cell(at, *rows)
+        if out:
+            yield sent()
 
     return run
 
@@ -340,25 +368,78 @@ def signatures(docs: DataFrame):
     spark = docs.sparkSession
     idf = spark.sparkContext.broadcast(idf_table(docs))
     key = uuid.uuid4().hex
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.unhex(F.md5(text_or_empty())).alias("node"), F.col("text").cast("string").alias("text"))
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.unhex(F.md5(text_or_empty())).alias("node"), F.octet_length(text_or_empty()).alias("size"), F.col("text").cast("string").alias("text"))
     return materialize(rows.mapInArrow(_sign(idf, key), SIGNED)), idf, key
 
 
 def verified_links(docs: DataFrame, signed: DataFrame, idf, key: str, least: float = SIMILARITY) -> DataFrame:
     """(a, b, similarity): verified links that join every two nodes which likely links join."""
-    nodes = signed.groupBy("node").agg(F.first("marks").alias("marks"), F.first("bands").alias("bands"), F.min("doc_id").alias("doc_id"))
-    bucket = materialize(nodes.select("node", "doc_id", "marks", F.posexplode("bands").alias("band", "key")))
-    full = bucket.groupBy("band", "key").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
-    member = materialize(bucket.join(full, ["band", "key"]))
+    nodes = signed.groupBy("node").agg(F.first("size").alias("size"), F.first("marks").alias("marks"), F.first("bands").alias("bands"), F.min("doc_id").alias("doc_id"))
+    bucket = materialize(nodes.select("node", "doc_id", "size", "marks", F.posexplode("bands").alias("band", "key")))
+    blocks = F.ceil(F.greatest(F.count(F.lit(1)) / BLOCK, F.sum("size") / CELL_BYTES)).cast("int")
+    full = bucket.groupBy("band", "key").agg(F.count(F.lit(1)).alias("n"), blocks.alias("g")).filter("n > 1")
+    member = materialize(bucket.join(full, ["band", "key"]).drop("n"))
     chosen = member.select("node", "doc_id").distinct()  # one document of each node that shares a bucket
     text = docs.select(F.col("doc_id").cast("long").alias("_id"), F.unhex(F.md5(text_or_empty())).alias("node"), F.col("text").cast("string").alias("text"))
     texts = text.join(chosen, "node").filter(F.col("_id").eqNullSafe(F.col("doc_id"))).groupBy("node").agg(F.first("text").alias("text"))
-    g = F.ceil(F.col("n") / BLOCK).cast("int")
-    own = F.pmod(F.xxhash64("node"), F.col("g")).cast("int")
-    cells = member.join(texts, "node").withColumn("g", g).withColumn("own", own).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("g") - 1)))
-    cells = cells.select("band", "key", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "node", "marks", "text")
-    laid = cells.repartition("band", "key", "i", "j").sortWithinPartitions("band", "key", "i", "j", "node")
-    return laid.mapInArrow(_links(idf, key, least), "a binary, b binary, similarity double")
+
+    def found(rows: DataFrame, parts: bool) -> DataFrame:
+        """rows: band, key, i, j, side, node, label, marks."""
+        cells = rows.join(texts, "node").select("band", "key", "i", "j", "side", "node", "label", "marks", "text")
+        laid = cells.repartition("band", "key", "i", "j").sortWithinPartitions("band", "key", "i", "j", "node")
+        return materialize(laid.mapInArrow(_links(idf, key, least, parts), LINKS))
+
+    def dealt(rows: DataFrame) -> DataFrame:
+        """Each node to one of its bucket's g blocks."""
+        own = F.pmod(F.xxhash64("node", "band"), F.col("g")).cast("int")
+        return rows.select("band", "key", own.alias("i"), own.alias("j"), F.lit(0).alias("side"), "node", F.col("node").alias("label"), "marks")
+
+    links = found(dealt(member.filter("g = 1")), False)
+    large = member.filter("g > 1").select("band", "key", "g", "node", "size", "marks")
+    if large.isEmpty():
+        return links.select("a", "b", "similarity")
+    texts = materialize(texts.join(large.select("node").distinct(), "node", "left_semi"))
+    large = materialize(large.withColumn("label", F.col("node")))
+    before = None
+    while True:  # representatives of the parts found so far, each in one block; then those of the parts that are left
+        heads = large.filter("node = label").drop("label")
+        sizes = heads.groupBy("band", "key").agg(blocks.alias("g"))
+        count = sizes.agg(F.sum("g"), F.max("g")).first()
+        left = heads.count()
+        if before is not None and left > 0.9 * before:
+            break
+        before = left
+        got = found(dealt(heads.drop("g").join(sizes, ["band", "key"])), True)
+        links = links.unionByName(got.filter("similarity is not null"))
+        moved = got.filter("similarity is null and a != b").select("band", "key", F.col("a").alias("label"), F.col("b").alias("to"))
+        large = materialize(large.join(moved, ["band", "key", "label"], "left").withColumn("label", F.coalesce("to", "label")).drop("to"))
+        if count[1] == 1:
+            break
+    # buckets that still have several parts: what is outside the largest part against everything
+    of_part = large.groupBy("band", "key", "label").agg(F.count(F.lit(1)).alias("n"), F.sum("size").alias("bytes"))
+    shape = of_part.groupBy("band", "key").agg(F.max(F.struct("n", "bytes", "label")).alias("top"), F.sum("n").alias("n"), F.sum("bytes").alias("bytes"), F.count(F.lit(1)).alias("parts"))
+
+    def cut(n, size):
+        return F.ceil(F.greatest(n / BLOCK, size / CELL_BYTES)).cast("int")
+
+    shape = shape.filter("parts > 1").select(
+        "band", "key", F.col("top.label").alias("main"), cut(F.col("top.n"), F.col("top.bytes")).alias("gm"), cut(F.col("n") - F.col("top.n"), F.col("bytes") - F.col("top.bytes")).alias("gr")
+    )
+    rest = large.join(shape, ["band", "key"])
+    is_main = F.col("label") == F.col("main")
+    rest = rest.withColumn("own", F.pmod(F.xxhash64("node", "band"), F.when(is_main, F.col("gm")).otherwise(F.col("gr"))).cast("int"))
+
+    def to(i, j, side):
+        return F.struct(i.cast("int").alias("i"), j.cast("int").alias("j"), side.cast("int").alias("side"))
+
+    every = F.sequence(F.lit(0), F.col("gr") - 1)
+    of_main = F.transform(every, lambda q: to(F.col("own"), F.col("gm") + q, F.lit(0)))
+    of_rest = F.concat(
+        F.transform(F.sequence(F.lit(0), F.col("gm") - 1), lambda p: to(p, F.col("gm") + F.col("own"), F.lit(1))),
+        F.transform(every, lambda q: to(F.col("gm") + F.least(F.col("own"), q), F.col("gm") + F.greatest(F.col("own"), q), F.col("own") > q)),
+    )
+    cells = rest.withColumn("cell", F.explode(F.when(is_main, of_main).otherwise(of_rest))).select("band", "key", "cell.i", "cell.j", "cell.side", "node", "label", "marks")
+    return links.unionByName(found(cells, False)).select("a", "b", "similarity")
 
 
 def classes(docs: DataFrame, least: float = SIMILARITY) -> DataFrame:
@@ -371,7 +452,7 @@ def classes(docs: DataFrame, least: float = SIMILARITY) -> DataFrame:
 def near_dedup(docs: DataFrame, least: float = SIMILARITY) -> DataFrame:
     """One row per document: doc_id, class_id (least doc_id of the class), class_size, kept."""
     rows = materialize(classes(docs, least))
-    size = rows.groupBy("label").agg(F.min("doc_id").alias("class_id"), F.count(F.lit(1)).alias("class_size"))
+    size = materialize(rows.groupBy("label").agg(F.min("doc_id").alias("class_id"), F.count(F.lit(1)).alias("class_size")))  # written, so that the join can split a large class
     return rows.join(size, "label").select("doc_id", "class_id", "class_size", F.col("doc_id").eqNullSafe(F.col("class_id")).alias("kept"))
 
 

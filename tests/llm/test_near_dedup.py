@@ -51,8 +51,9 @@ def rows():
     return out
 
 
-def test_classes(spark, rows, monkeypatch):
-    monkeypatch.setattr(near_dedup, "BLOCK", 4)
+@pytest.mark.parametrize("block", [2, 4, 1024])
+def test_classes(spark, rows, monkeypatch, block):
+    monkeypatch.setattr(near_dedup, "BLOCK", block)
     docs = spark.createDataFrame([(i, t, "k", b"") for i, t in enumerate(rows)] + [(None, None, "k", b""), (3, rows[3], "k", b"")], "doc_id long, text string, label string, node binary").repartition(4)
     idf = near_dedup.idf_table(docs)
     want = brute_classes(rows, idf)
