@@ -17,7 +17,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import text_or_empty
+from .common import materialize, text_or_empty
 
 
 @dataclass(frozen=True)
@@ -31,11 +31,12 @@ class Rule:
 
 
 #: Patterns and least lengths (fixed values). A run of hex digits or an access key is maximal, so its least length may stand in the pattern.
+#: No group is repeated: the engine would recurse a level a repetition, and a long text would exhaust its stack.
 RULES = (
     Rule("assign", 1, r"""(?i:(password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", 2, 6),
     Rule("access", 1, r"AKIA[A-Z0-9]{16,}", 0, 20),
     Rule("hex", 1, r"[0-9a-f]{24,}", 0, 24),
-    Rule("pem", 1, r"-----BEGIN (?:[A-Z]+ )*PRIVATE KEY-----", 0, 1, False),
+    Rule("pem", 2, r"-----BEGIN (?:[A-Z ]* )?PRIVATE KEY-----", 0, 1, False),
     Rule("jwt", 1, r"eyJ[A-Za-z0-9_-]{8,}\.eyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}", 0, 1, False),
     Rule("forge", 1, r"gh[pousr]_[A-Za-z0-9]{36,}", 0, 1, False),
 )
@@ -48,23 +49,44 @@ def blob_id(text: Column) -> Column:
 
 
 def spans_of(text: Column, rule: Rule) -> Column:
-    """array<struct<first,last>> of the rule's matches in text."""
+    """array<struct<first,last>> of the rule's matches in text.
+
+    Offsets are running sums of lengths. n matches are summed in runs of sqrt(n), first each run's total and then within the runs, so that
+    the work grows with n^1.5 and no accumulator copies the whole list for each match. What is used twice is bound to a lambda variable once."""
     pattern = F.lit(rule.pattern)
     whole = F.regexp_extract_all(text, pattern, F.lit(0))
-    pieces = F.split(text, rule.pattern, -1)
-    marks = F.arrays_zip(pieces.alias("p"), whole.alias("w"), (F.regexp_extract_all(text, pattern, F.lit(rule.group)) if rule.group else whole).alias("g"))
-    start = F.struct(F.lit(0).alias("at"), F.array().cast("array<struct<first:int,last:int>>").alias("out"))
+    group = F.regexp_extract_all(text, pattern, F.lit(rule.group)) if rule.group else whole
+    marks = F.transform(
+        F.arrays_zip(F.split(text, rule.pattern, -1).alias("p"), whole.alias("w"), group.alias("g")),
+        lambda x: F.struct(F.length(x["p"]).alias("gap"), F.coalesce(F.length(x["w"]), F.lit(0)).alias("size"), F.coalesce(F.length(x["g"]) >= rule.least, F.lit(False)).alias("hit")),
+    )
+
+    def length(part: Column) -> Column:
+        return F.aggregate(part, F.lit(0), lambda at, x: at + x["gap"] + x["size"])
+
+    def run_spans(part: Column, begin: Column) -> Column:
+        start = F.struct(begin.alias("at"), F.array().cast("array<struct<first:int,last:int>>").alias("out"))
+
+        def step(acc: Column, x: Column) -> Column:
+            first = acc["at"] + x["gap"]
+            span = F.struct(first.alias("first"), (first + x["size"]).alias("last"))
+            return F.struct((first + x["size"]).alias("at"), F.when(x["hit"], F.concat(acc["out"], F.array(span))).otherwise(acc["out"]).alias("out"))
+
+        return F.aggregate(part, start, step, lambda acc: acc["out"])
+
+    def bound(value: Column, use) -> Column:
+        return F.element_at(F.transform(F.array(value), use), 1)
+
+    def runs(m: Column) -> Column:
+        size = F.ceil(F.sqrt(F.size(m))).cast("int")
+        parts = F.transform(F.sequence(F.lit(0), F.floor((F.size(m) - 1) / size).cast("int")), lambda j: F.slice(m, j * size + 1, size))
+        return bound(parts, spans)
 
-    def step(acc: Column, x: Column) -> Column:
-        first = acc["at"] + F.length(x["p"])
-        last = first + F.length(x["w"])
-        hit = F.length(x["g"]) >= rule.least
-        return F.struct(
-            F.coalesce(last, acc["at"]).alias("at"),
-            F.when(hit, F.concat(acc["out"], F.array(F.struct(first.alias("first"), last.alias("last"))))).otherwise(acc["out"]).alias("out"),
-        )
+    def spans(parts: Column) -> Column:
+        begins = F.aggregate(parts, F.array(F.lit(0)), lambda acc, part: F.concat(acc, F.array(F.element_at(acc, -1) + length(part))))
+        return F.flatten(F.zip_with(parts, F.slice(begins, 1, F.size(parts)), run_spans))
 
-    return F.when(F.size(whole) > 0, F.aggregate(marks, start, step, lambda acc: acc["out"]))
+    return F.when(F.size(whole) > 0, bound(marks, runs))
 
 
 def blobs_of(paths: DataFrame) -> DataFrame:
@@ -122,4 +144,5 @@ def secret_scan(paths: DataFrame, ledger: DataFrame | None = None, rules: tuple[
     """One row per path: doc_id, n_assign, n_access, n_hex, base_sha256, spans."""
     new = update_ledger(paths, ledger, rules)
     whole = new if ledger is None else ledger.select("blob", "rule", "version", "spans").unionByName(new)
-    return digest_columns(join_paths(paths, findings(whole, rules)), rules)
+    found = materialize(findings(whole, rules))  # written, so that both sides of the join below can be split where one blob is on many paths
+    return digest_columns(join_paths(paths, found), rules)
