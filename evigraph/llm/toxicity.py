@@ -1,8 +1,9 @@
 """Toxicity: a weighted finite-state pattern grammar over clauses.
 
-A lexical step maps the words of a clause to symbols: insult, threat, target, negation, reporting verb, other. Three transducers are composed into one
-machine that rewrites insults and threats by what stands around them in the clause: negated, reported, aimed at a target, or plain. A document's score is a
-logistic function of the weighted counts of rewritten matches, so words count as parts of clauses, never alone.
+A lexical step maps the words of a clause to symbols: insult, threat, target, negation, reporting verb, other, and marks its end. Four transducers are composed into
+one machine that rewrites insults and threats by what stands around them in the clause: negated, reported, aimed at a target before or after (that one writes with a
+delay of its reach), or plain. The machine's arcs carry the weight of what they write; a clause's weight is the sum along its path and a document's score the logistic function of the
+bias and its clauses' weights. Weights are bound so that one untargeted match stays under the threshold in any text, while one that is aimed at somebody, or several, may pass it.
 
 The insult lexicon grows from labelled rows and the weights are fitted to them, by default over at most SAMPLE labelled rows (a documented bound of the
 training sample, in order of a hash of their ids); labels, language, source and id are no inputs of a score. Whole texts are scored in one pass
@@ -39,14 +40,18 @@ SYMBOLS = "ihygqo"  # insult, threat, target, negation, report, other
 #: What a match may become: negated, reported, aimed, plain; for insults and for threats.
 KINDS = ("aimed", "plain", "reported", "negated", "threat", "idle_threat")
 #: Weights before any label is seen; a fit is drawn towards them.
-PRIOR = {"bias": -3.0, "aimed": 1.6, "plain": 1.2, "reported": 0.6, "negated": 0.3, "threat": 1.4, "idle_threat": 0.2, "any": 4.5}
-FEATURES = ("bias", *KINDS, "any")
+PRIOR = {"bias": -4.5, "aimed": 5.8, "plain": 3.0, "reported": 0.6, "negated": 0.3, "threat": 5.6, "idle_threat": 0.4}
+FEATURES = ("bias", *KINDS)
+#: The most that one match which is not aimed may reach with the bias (a score of 0.6), and how many of a kind a text counts when weights are fitted.
+ALONE, MOST_COUNTED = 0.4, 3
+#: The least that one match aimed at somebody reaches with the bias (a score of 0.73).
+AT_SOMEBODY = 1.0
 WORD = re.compile(r"[^\W\d_]+(?:'[^\W\d_]+)?")
 CLAUSE_END = re.compile(r"[.!?;\n]")
 
 
 class Transducer:
-    """A deterministic transducer: step(state, symbol) -> (state, symbol)."""
+    """A deterministic transducer: step(state, symbol) -> (state, symbol or nothing)."""
 
     def __init__(self, start, step):
         self.start, self.step = start, step
@@ -56,12 +61,19 @@ class Transducer:
 
         def step(state, symbol):
             a, out = self.step(state[0], symbol)
-            b, out = other.step(state[1], out)
+            b, out = other.step(state[1], out) if out else (state[1], "")
             return (a, b), out
 
         return Transducer((self.start, other.start), step)
 
-    def table(self, alphabet: str) -> tuple[dict, int]:
+    def run(self, line: str) -> str:
+        state, out = self.start, []
+        for x in line:
+            state, y = self.step(state, x)
+            out.append(y)
+        return "".join(out)
+
+    def table(self, alphabet: str) -> dict:
         """All reachable states by number, so that running costs a lookup a word: {(state, symbol): (state, symbol)}."""
         number, todo, arcs = {self.start: 0}, [self.start], {}
         while todo:
@@ -72,7 +84,7 @@ class Transducer:
                     number[t] = len(number)
                     todo.append(t)
                 arcs[number[s], x] = (number[t], y)
-        return arcs, len(number)
+        return arcs
 
 
 def _reach(opens: str, rewrite: dict[str, str], gap: int) -> Transducer:
@@ -87,13 +99,28 @@ def _reach(opens: str, rewrite: dict[str, str], gap: int) -> Transducer:
     return Transducer(0, step)
 
 
-NEGATED = _reach("g", {"i": "N", "h": "N"}, 3)
+def _ahead(opens: str, rewrite: dict[str, str], gap: int) -> Transducer:
+    """Matches within `gap` words before a symbol that opens are rewritten: what is written waits for `gap` more symbols. The state is what waits."""
+
+    def step(state: str, symbol: str):
+        waits = "".join(rewrite.get(x, x) for x in state) if symbol in opens else state
+        waits += symbol
+        return (waits[1:], waits[0]) if len(waits) > gap else (waits, "")
+
+    return Transducer("", step)
+
+
+GAP = 3
+#: Marks the end of a clause; GAP of them empty the machine.
+END = "$"
+NEGATED = _reach("g", {"i": "N", "h": "N"}, GAP)
 REPORTED = Transducer(0, lambda s, x: (1, x) if x == "q" else (s, {"i": "R", "h": "R"}.get(x, x) if s else x))
-AIMED = _reach("y", {"i": "T"}, 3)
-#: Read from the right: a target after the match.
-AIMED_BACK = _reach("y", {"i": "T", "h": "H"}, 3)
-FORWARD, _ = NEGATED.then(REPORTED).then(AIMED).table(SYMBOLS)
-BACKWARD, _ = AIMED_BACK.table(SYMBOLS + "NRTH")
+AIMED = _reach("y", {"i": "T"}, GAP)
+AIMED_AHEAD = _ahead("y", {"i": "T", "h": "H"}, GAP)
+#: Symbols the last machine need not tell apart are one (other), which keeps its states few.
+FORGET = Transducer(0, lambda s, x: (s, x if x in "ihyNRT$" else "o"))
+MACHINE = NEGATED.then(REPORTED).then(AIMED).then(FORGET).then(AIMED_AHEAD)
+ARCS = MACHINE.table(SYMBOLS + END)
 OF_SYMBOL = {"T": "aimed", "i": "plain", "R": "reported", "N": "negated", "H": "threat", "h": "idle_threat"}
 
 
@@ -107,43 +134,51 @@ class Grammar:
         begins = "|".join(map(re.escape, sorted(stems)))
         self.stem = re.compile(f"(?:{begins})") if stems else None
         self.match = re.compile(r"(?<![^\W_])(?:" + (f"(?:{begins})" + r"[^\W\d_]+|" if stems else "") + "|".join(map(re.escape, keys)) + r")(?![^\W_])")
+        #: The weighted machine: (state, symbol) -> (state, kind or None, weight).
+        self.arcs = {k: (t, OF_SYMBOL.get(y), weights.get(OF_SYMBOL.get(y), 0.0)) for k, (t, y) in ARCS.items()}
 
-    def clause(self, words: list[str]) -> Counter:
-        """What the matches of one clause become."""
-        state, line = 0, []
+    def line(self, words: list[str]) -> str:
+        """The symbols of a clause, its end included."""
+        out = []
         for w in words:
             symbol = self.symbol.get(w, "o")
-            if symbol == "o" and self.stem and self.stem.match(w):
-                symbol = "i"
-            state, out = FORWARD[state, symbol]
-            line.append(out)
-        state, found = 0, Counter()
-        for out in reversed(line):
-            state, out = BACKWARD[state, out]
-            if out in OF_SYMBOL:
-                found[OF_SYMBOL[out]] += 1
-        return found
-
-    def matches(self, text: str) -> Counter:
-        """Rewritten matches of all clauses; clauses without a match are not read further."""
-        low, found, done = text.lower(), Counter(), -1
+            out.append("i" if symbol == "o" and self.stem and self.stem.match(w) else symbol)
+        return "".join(out) + END * GAP
+
+    def clause(self, words: list[str]) -> tuple[Counter, float]:
+        """What the matches of one clause become, and the clause's weight."""
+        state, found, weight = 0, Counter(), 0.0
+        for symbol in self.line(words):
+            state, kind, w = self.arcs[state, symbol]
+            if kind:
+                found[kind] += 1
+                weight += w
+        return found, weight
+
+    def read(self, text: str) -> tuple[Counter, float]:
+        """Rewritten matches of all clauses and their weight; clauses without a match are not read further."""
+        low, found, done, weight = text.lower(), Counter(), -1, 0.0
         for m in self.match.finditer(low):
             if m.start() < done:
                 continue
             start = max(low.rfind(c, 0, m.start()) for c in ".!?;\n") + 1
             end = CLAUSE_END.search(low, m.end())
             done = end.start() if end else len(low)
-            found += self.clause(WORD.findall(low, start, done))
-        return found
+            own, w = self.clause(WORD.findall(low, start, done))
+            found += own
+            weight += w
+        return found, weight
+
+    def matches(self, text: str) -> Counter:
+        return self.read(text)[0]
 
-    def score(self, found: Counter) -> float:
-        x = sum(self.weights[f] * v for f, v in zip(FEATURES, features(found), strict=True))
-        return 1 / (1 + math.exp(-max(-30.0, min(30.0, x))))
+    def score(self, weight: float) -> float:
+        """Of a text whose clauses weigh so much."""
+        return 1 / (1 + math.exp(-max(-30.0, min(30.0, self.weights["bias"] + weight))))
 
 
 def features(found: Counter) -> list[float]:
-    sure = found["aimed"] + found["plain"] + found["threat"]
-    return [1.0, *(math.log1p(found[k]) for k in KINDS), 1.0 if sure else 0.0]
+    return [1.0, *(float(min(found[k], MOST_COUNTED)) for k in KINDS)]
 
 
 def learn_insults(rows: list[tuple[str, int]]) -> tuple[list[str], list[str]]:
@@ -182,21 +217,26 @@ def learn_insults(rows: list[tuple[str, int]]) -> tuple[list[str], list[str]]:
     return sorted(w for w in good if not w.endswith("*") and not any(w.startswith(x) for x in stems)), stems
 
 
-def fit_weights(x, y, steps: int = 400):
-    """Logistic regression drawn towards PRIOR, by damped Newton steps; match weights stay at or above zero."""
+def fit_weights(x, y, steps: int = 60):
+    """Logistic regression drawn towards PRIOR, by damped Newton steps. Match weights stay at or above zero, a single match that is not aimed at anybody stays at
+    or below ALONE, one that is reaches AT_SOMEBODY."""
     import numpy as np
 
     x, y = np.asarray(x, float).reshape(len(y), len(FEATURES)), np.asarray(y, float)
     prior = np.array([PRIOR[f] for f in FEATURES])
-    pull = np.array([10.0, *[1.0] * len(KINDS), 10.0])  # bias and any: one sure match decides, also where samples hold only many
+    pull = np.array([10.0, *[4.0] * len(KINDS)])
+    idle = [FEATURES.index(k) for k in ("plain", "reported", "negated", "idle_threat")]
+    aimed = [FEATURES.index(k) for k in ("aimed", "threat")]
     w = prior.copy()
-    for _ in range(min(steps, 60)):
+    for _ in range(steps):
         p = 1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))
         grad = x.T @ (p - y) + pull * (w - prior)
         hess = (x * (p * (1 - p))[:, None]).T @ x + np.diag(pull + 1e-6)
-        step = np.linalg.solve(hess, grad)
-        w = w - np.clip(step, -1, 1)
+        step = np.clip(np.linalg.solve(hess, grad), -1, 1)
+        w = w - step
         w[1:] = np.maximum(w[1:], 0)
+        w[idle] = np.minimum(w[idle], ALONE - w[0])
+        w[aimed] = np.maximum(w[aimed], AT_SOMEBODY - w[0])
         if np.abs(step).max() < 1e-6:
             break
     return dict(zip(FEATURES, w.tolist(), strict=True))
@@ -208,8 +248,9 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Grammar:
         labels.filter("toxic is not null and doc_id is not null").groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
         .filter(crc_mod("doc_id", 3) != 1).orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample)
     )
-    rows = docs.select("doc_id", "text").filter("text is not null").join(F.broadcast(ids), "doc_id").select("text", "toxic").collect()  # `sample` rows at most
-    rows = [(r[0], int(r[1])) for r in rows]
+    chosen = docs.select("doc_id", "text").filter("text is not null").join(F.broadcast(ids), "doc_id")
+    rows = chosen.groupBy("doc_id").agg(F.min("text").alias("text"), F.min("toxic").alias("toxic")).select("text", "toxic").collect()  # one row an id, `sample` at most
+    rows = sorted((r[0], int(r[1])) for r in rows)
     words, stems = learn_insults(rows)
     lexicon = sorted({*INSULTS, *words})
     grammar = Grammar(lexicon, stems, PRIOR)
@@ -225,10 +266,10 @@ def _score(insults: list[str], stems: list[str], weights: dict[str, float]):
 
         grammar = Grammar(insults, stems, weights)
         for batch in batches:
-            found = [grammar.matches(t) if t else Counter() for t in batch.column(2).to_pylist()]
-            n = [sum(f.values()) for f in found]
+            found = [grammar.read(t) if t else (Counter(), 0.0) for t in batch.column(2).to_pylist()]
+            n = [sum(f.values()) for f, _ in found]
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), batch.column(1), pa.array([grammar.score(f) for f in found], pa.float64()), pa.array(n, pa.int64())],
+                [batch.column(0), batch.column(1), pa.array([grammar.score(w) for _, w in found], pa.float64()), pa.array(n, pa.int64())],
                 ["doc_id", "held_out", "score", "n_matches"],
             )
 
