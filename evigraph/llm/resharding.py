@@ -3,10 +3,10 @@
 Old shard sizes and new capacities make a small flow network: old shard -> itself costs nothing, old shard -> any other costs the
 bytes of the rows that move, and a shard's rows leave smallest first, so its cost arcs are convex. Successive shortest paths
 on that network (two blocks a shard, whatever the data) give the block transfers that move the fewest bytes. All that reaches the driver is a few numbers for each shard.
-Ranks come from counts of (shard, size, salt) and a row number within each, so equal sizes, such as copies of one text, are spread by salt.
+Ranks come from counts of (shard, size, salt) and a row number within each, so equal sizes, such as copies of one text or repeated rows, are spread by salt.
 
 Nulls: a null text has no bytes (size 16, crc32 0); a null old shard counts as shard 0; a null doc_id is a row like others. Repeated rows
-each get a slot. An empty table gives an empty result. Only files of shards that gain or lose rows are rewritten.
+each get a slot. An empty table gives an empty result. `rewrite` writes only files of shards that gain or lose rows; the query returns the placement.
 """
 
 from __future__ import annotations
@@ -14,10 +14,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import materialize, text_or_empty
+from .common import materialize, row_key, text_or_empty
 
 ROW_BYTES = 16
-SALTS = 64
+SALTS = 256
 
 
 def min_cost_flow(n: int, arcs: list[tuple[int, int, int, float]], source: int, sink: int) -> list[int]:
@@ -92,22 +92,31 @@ def old_layout(shards: int, text: Column | None = None) -> Column:
     return F.pmod(F.xxhash64(text_or_empty() if text is None else text), F.lit(shards)).cast("int")
 
 
-def ranked(docs: DataFrame, shards: int, old: Column) -> DataFrame:
-    """doc_id, size, text_crc32, old, rank: the rank of a row among its old shard's, smallest first, from 0."""
+def free_name(name: str, columns: list[str]) -> str:
+    """The name, or with so many underscores that no column has it."""
+    while name.lower() in {c.lower() for c in columns}:
+        name += "_"
+    return name
+
+
+def ranked(docs: DataFrame, old: Column, number: str | None = None) -> DataFrame:
+    """doc_id, size, text_crc32, old, number, rank: the rank of a row among its old shard's, smallest first, from 0. number: a column of docs that is unique, or a new one."""
     text = text_or_empty()
     rows = docs.select(
         "doc_id",
         (F.octet_length(text).cast("long") + ROW_BYTES).alias("size"),
         F.crc32(text).cast("long").alias("text_crc32"),
         F.coalesce(old, F.lit(0)).cast("int").alias("old"),
+        (F.col(number) if number else row_key()).alias("number"),
     )
-    rows = materialize(rows.withColumn("salt", F.pmod(F.xxhash64("doc_id", "text_crc32"), F.lit(SALTS)).cast("int")))
+    # the number's high bits tell partitions of the scan apart, so that rows repeated with one id are spread too
+    rows = materialize(rows.withColumn("salt", F.pmod(F.xxhash64("doc_id", "text_crc32", F.shiftright("number", 33)), F.lit(SALTS)).cast("int")))
     cells = rows.groupBy("old", "size", "salt").agg(F.count(F.lit(1)).alias("n"))
     before = F.sum("n").over(Window.partitionBy("old").orderBy("size", "salt").rowsBetween(Window.unboundedPreceding, -1))
     cells = cells.select("old", "size", "salt", F.coalesce(before, F.lit(0)).alias("base"))
-    within = F.row_number().over(Window.partitionBy("old", "size", "salt").orderBy("doc_id", "text_crc32")) - 1
+    within = F.row_number().over(Window.partitionBy("old", "size", "salt").orderBy("doc_id", "text_crc32", "number")) - 1
     at = rows.withColumn("within", within).join(cells, ["old", "size", "salt"])
-    return materialize(at.select("doc_id", "size", "text_crc32", "old", (F.col("base") + F.col("within")).alias("rank")))
+    return materialize(at.select("doc_id", "size", "text_crc32", "old", "number", (F.col("base") + F.col("within")).alias("rank")))
 
 
 def plan(ranks: DataFrame, shards: int) -> list[tuple[int, int, int, int, int]]:
@@ -136,23 +145,34 @@ def plan(ranks: DataFrame, shards: int) -> list[tuple[int, int, int, int, int]]:
     return ranges
 
 
-def reshard(docs: DataFrame, shards: int = 40, old: Column | None = None) -> DataFrame:
-    """One row per document: doc_id, size, text_crc32, law, shard, slot, grown_shard, old_shard, moved."""
-    ranks = ranked(docs, shards, old_layout(shards) if old is None else old)
+def _placed(docs: DataFrame, shards: int, old: Column | None, number: str | None = None) -> DataFrame:
+    ranks = ranked(docs, old_layout(shards) if old is None else old, number)
     ranges = docs.sparkSession.createDataFrame(plan(ranks, shards), "o int, first long, last long, shard int, slot0 long")
     placed = ranks.join(F.broadcast(ranges), (F.col("old") == F.col("o")) & (F.col("rank") >= F.col("first")) & (F.col("rank") < F.col("last")))  # ranges: under shards x 3 rows
     return placed.select(
         "doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard",
         (F.col("slot0") + F.col("rank") - F.col("first")).alias("slot"),
         F.lit(None).cast("int").alias("grown_shard"),
-        F.col("old").alias("old_shard"), (F.col("old") != F.col("shard")).alias("moved"),
+        F.col("old").alias("old_shard"), (F.col("old") != F.col("shard")).alias("moved"), "number",
     )
 
 
-def rewrite(docs: DataFrame, placed: DataFrame, path: str, rows_per_file: int = 100_000) -> list[int]:
-    """Write the shards that gain or lose rows under path/shard=N, files of bounded size; the other shards' files stay. doc_id must be unique."""
+def reshard(docs: DataFrame, shards: int = 40, old: Column | None = None) -> DataFrame:
+    """One row per document: doc_id, size, text_crc32, law, shard, slot, grown_shard, old_shard, moved."""
+    return _placed(docs, shards, old).drop("number")
+
+
+def rewrite(docs: DataFrame, path: str, shards: int = 40, old: Column | None = None, rows_per_file: int = 100_000) -> tuple[str, list[int]]:
+    """Solve the transfers and write the shards that gain or lose rows under path/shard=N, all columns as they were, in files of bounded size; the other shards' files stay.
+
+    Rows are numbered and written once, so null and repeated ids keep each row. Returns the name of the shard column (`shard`, with underscores behind it if
+    docs has such a column) and the shards that were written."""
+    number = free_name("_number", docs.columns)
+    rows = materialize(docs.withColumn(number, row_key()))
+    placed = materialize(_placed(rows, shards, old, number))
     affected = sorted(r[0] for r in placed.filter("moved").select(F.explode(F.array("shard", "old_shard"))).distinct().collect())  # at most a row a shard
-    to = placed.filter(F.col("shard").isin(affected)).select("doc_id", "shard", F.floor(F.col("slot") / rows_per_file).alias("_file"))
-    out = docs.join(to, "doc_id").repartition("shard", "_file").drop("_file")
-    out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("shard").parquet(path)
-    return affected
+    name, file = free_name("shard", docs.columns), free_name("_file", docs.columns)
+    to = placed.filter(F.col("shard").isin(affected)).select(F.col("number").alias(number), F.col("shard").alias(name), F.floor(F.col("slot") / rows_per_file).alias(file))
+    out = rows.join(to, number).repartition(name, file).drop(number, file)
+    out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(name).parquet(path)
+    return name, affected

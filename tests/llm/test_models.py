@@ -22,7 +22,7 @@ def invented(rng, lang, n):
 def rows():
     rng = random.Random(3)
     out = [(i, invented(rng, lang := rng.choice(list(SYLLABLES)), rng.choice([3, 20, 60])), lang, "s") for i in range(240)]
-    out += [(None, "the of and", "en", None), (900, None, "en", "s"), (901, "", "de", "s"), (902, "12 -- 34", "fr", "s"), (903, "the of", None, "s"), (903, "the of", None, "s"), (904, "ünd " * 20000, "de", "s")]
+    out += [(None, "the of and", "en", None), (900, None, "en", "s"), (901, "", "de", "s"), (902, "12 -- 34", "fr", "s"), (903, "the of", None, "s"), (903, "the of", None, "s"), (904, "ünd " * 20000, "de", "s"), (905, "½ ² Ⅷ 7", "en", "s")]
     return out
 
 
@@ -47,7 +47,7 @@ def test_language(docs, rows):
         assert (got[i][0].lang_pred == "und") == (t is None or not any(c.isalpha() for c in t))
         assert 0 <= got[i][0].score <= 1
     kept = language_id.keep_known(docs)
-    assert kept.columns == docs.columns and {900, 901, 902}.isdisjoint(r.doc_id for r in kept.select("doc_id").collect())
+    assert kept.columns == docs.columns and {900, 901, 902, 905}.isdisjoint(r.doc_id for r in kept.select("doc_id").collect())
 
 
 def test_field_against_enumeration():
@@ -88,6 +88,7 @@ def test_toxicity(spark, docs, rows):
         assert r.predicted == int(r.score >= 0.7) and 0 <= r.score <= 1
         if r.doc_id is not None and r.doc_id < 400:
             assert r.predicted == int(r.doc_id % 4 == 0)
+    assert toxicity.toxicity(d.limit(0), lab).count() == 0 == language_id.language_id(d.withColumn("lang", d["text"]).limit(0)).count()
     none = spark.createDataFrame([], "doc_id long, toxic int")
     assert toxicity.toxicity(docs, none).count() == len(rows)
 
@@ -100,7 +101,55 @@ def test_grammar():
     assert g.matches("he said that clown. Clown") == Counter(reported=1, plain=1)
     assert g.matches("I will kill you") == Counter(threat=1)
     assert g.matches("kill the lights; lowelich idioter") == Counter(idle_threat=1, plain=1)
-    assert g.score(g.matches("You idiot")) > 0.7 > g.score(g.matches("not an idiot")) > g.score(g.matches("fine"))
+    def score(text):
+        return g.score(g.read(text)[1])
+
+    assert score("You idiot") > 0.7 > score("not an idiot") > score("fine")
+    for alone in ("The pig ate.", "A clown came to the circus.", "The trash was collected on Monday.", "he said that clown"):
+        assert score(alone) < 0.7
+    assert score("A stupid clown came. What a loser.") > 0.7
+
+
+def test_weights_hold_one_untargeted_match_under_the_threshold():
+    one = [[1.0, 0, 1, 0, 0, 0, 0]] * 300
+    none = [[1.0, 0, 0, 0, 0, 0, 0]] * 300
+    w = toxicity.fit_weights(one + none, [1] * 300 + [0] * 300)
+    g = toxicity.Grammar(toxicity.INSULTS, [], w)
+    assert g.score(g.read("what an idiot")[1]) < 0.7 < g.score(g.read("what an idiot, what a moron")[1])
+
+
+def machine_by_hand(line):
+    """The rules of the grammar, without any machine: what each match of a clause becomes."""
+    out = Counter()
+    for i, x in enumerate(line):
+        if x not in "ih":
+            continue
+        before = line[max(0, i - 3) : i]
+        if "g" in before:
+            out["negated"] += 1
+        elif "q" in line[:i]:
+            out["reported"] += 1
+        elif x == "i":
+            out["aimed" if "y" in before or "y" in line[i + 1 : i + 4] else "plain"] += 1
+        else:
+            out["threat" if "y" in line[i + 1 : i + 4] else "idle_threat"] += 1
+    return out
+
+
+def test_composed_machine_against_its_parts_and_by_hand():
+    rng = random.Random(8)
+    parts = [toxicity.NEGATED, toxicity.REPORTED, toxicity.AIMED, toxicity.FORGET, toxicity.AIMED_AHEAD]
+    words = {"i": "idiot", "h": "kill", "y": "you", "g": "not", "q": "said", "o": "zzz"}
+    g = toxicity.Grammar(toxicity.INSULTS, [], toxicity.PRIOR)
+    for _ in range(3000):
+        line = "".join(rng.choices("ihygqo", weights=[3, 2, 1, 1, 1, 4], k=rng.randrange(12)))
+        apart = line + toxicity.END * toxicity.GAP
+        for part in parts:
+            apart = part.run(apart)
+        assert toxicity.MACHINE.run(line + toxicity.END * toxicity.GAP) == apart
+        found, weight = g.clause([words[x] for x in line])
+        assert found == machine_by_hand(line) == Counter(toxicity.OF_SYMBOL[x] for x in apart if x in toxicity.OF_SYMBOL)
+        assert math.isclose(weight, sum(toxicity.PRIOR[k] * n for k, n in found.items()), abs_tol=1e-9)
 
 
 def edits_anywhere(p, t):
@@ -136,7 +185,7 @@ def test_decontaminate(spark):
     want = Counter()
     for i, t in texts:
         n = decontaminate._normal(t or "")
-        hit = sorted({item for item, part, k, _ in index.regions if n and edits_anywhere(part, n) <= k})
+        hit = sorted({item for item, part, k, _ in index.regions if n and edits_anywhere(part, n) <= k and (len(part) >= decontaminate.Q or part in n.replace(".", " ").split())})
         want[i, tuple(hit)] += 1
     got = Counter((r.doc_id, tuple(r.item_ids)) for r in decontaminate.decontaminate(docs, bench).collect())
     assert got == want
@@ -144,7 +193,8 @@ def test_decontaminate(spark):
     assert clean.columns == docs.columns and clean.count() == sum(n for (_, hit), n in want.items() if not hit)
     old, decontaminate.BLOCK_CHARS = decontaminate.BLOCK_CHARS, 300
     try:
-        assert Counter((r.doc_id, tuple(r.item_ids)) for r in decontaminate.decontaminate(docs.dropDuplicates(["doc_id"]), bench).collect()) <= want
+        assert Counter((r.doc_id, tuple(r.item_ids)) for r in decontaminate.decontaminate(docs, bench).collect()) == want
+        assert Counter(map(str, decontaminate.clean(docs, bench).collect())) == Counter(map(str, clean.collect()))
     finally:
         decontaminate.BLOCK_CHARS = old
     assert decontaminate.decontaminate(docs.limit(0), bench).count() == 0
@@ -204,7 +254,7 @@ def test_lm_orders_and_empty(docs):
     assert small.count() == 0
     table = lm_score.counts(docs).cache()
     codes, n, order = lm_score.contexts(table, most=10)
-    assert order == 2 and n.sum() == table.filter("code is not null").selectExpr("sum(n)").first()[0]
+    assert order == 1 and n.sum() == table.filter("code is not null").selectExpr("sum(n)").first()[0]
     table.unpersist()
 
 
@@ -228,13 +278,26 @@ def test_decontaminate_in_blocks(spark, monkeypatch):
     docs = spark.createDataFrame(texts, "doc_id long, text string").repartition(2)
     bench = spark.createDataFrame(items, "item_id long, text string")
     monkeypatch.setattr(decontaminate, "BLOCK_CHARS", 200)
-    assert len(decontaminate.blocks(bench)) == 4
+    assert len(list(decontaminate.blocks(bench))) == 4
     got = Counter((r.doc_id, r.contaminated, tuple(r.item_ids), r.best_edits) for r in decontaminate.decontaminate(docs, bench).collect())
     assert got == Counter([(None, False, (), None), (None, True, (0, 3), 0), (7, False, (), None), (7, False, (), None), (7, True, (2,), 0), (7, True, (2,), 0), (8, False, (), None)])
     kept = Counter((r.doc_id, r.text) for r in decontaminate.clean(docs, bench).collect())
     assert kept == Counter([(None, a), (7, c), (7, c), (8, None)])
 
 
+def test_short_items_are_whole_words():
+    index = decontaminate.Index([(1, "yes"), (2, "c++")])
+    assert not index.search("yesterday all my troubles")
+    assert index.search("oh yes, they did") and index.search("i like c++.")
+
+
+def test_a_benchmark_passage_in_a_very_long_text():
+    rng = random.Random(14)
+    item = invented(rng, "en", 40)
+    text = "zq xj " * 60_000 + item + " vk" * 60_000
+    assert decontaminate.Index([(3, item)]).search(decontaminate._normal(text))
+
+
 def test_decontaminate_at_any_alignment():
     rng = random.Random(13)
     item = decontaminate._normal(invented(rng, "en", 60))

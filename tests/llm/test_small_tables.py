@@ -136,15 +136,53 @@ def test_packing(docs, window):
         sizes[s] = at
         assert at <= window and (at == window or at & (at - 1) == 0)
     assert sum(sizes.values()) == total and sorted(sizes) == list(range(len(sizes)))
-    # every full window holds each queue's share, to within two tokens
+    # every full window holds each large source's share, but for a turn of the small ones
     share = Counter()
     for i, _, _, source in ROWS:
         share[source] += len(ids[i])
-    for n_queue, sources in packing.queues(share, window):
-        for s, parts in per_seq.items():
-            if sizes[s] == window:
-                have = sum(n for _, n, src in parts if src in sources)
-                assert abs(have - window * n_queue / total) <= 2
+    for source, n in share.items():
+        if n * packing.TURNS >= total:
+            for s, parts in per_seq.items():
+                if sizes[s] == window:
+                    assert abs(sum(k for _, k, src in parts if src == source) - window * n / total) <= 2 + packing.RAISE
+
+
+def test_many_sources_do_not_shred(spark):
+    pieces = {}
+    for sources in (4, 300):
+        rows = [(i, " ".join(f"w{i}x{k}" for k in range(120)), f"s{i * sources // 600}") for i in range(600)]
+        got = packing.pack(spark.createDataFrame(rows, "doc_id long, text string, source string")).collect()
+        assert sum(r.length for r in got) == sum({r.doc_id: r.doc_tokens for r in got}.values())
+        pieces[sources] = len(got) / 600
+    assert pieces[300] < 2 * pieces[4] + 2
+
+
+def test_plan_covers_the_stream():
+    import numpy as np
+
+    for seed in range(40):
+        rng = np.random.default_rng(seed)
+        window = int(rng.choice([16, 64, 2048]))
+        totals = {int(q): int(n) for q, n in zip(rng.choice(500, 60, replace=False), rng.integers(1, 10 ** int(rng.integers(1, 6)), 60), strict=True)}
+        weights = {q: float(rng.integers(1, 5)) for q in list(totals)[: int(rng.integers(0, 4))]}
+        plan = packing.Plan(totals, window, weights)
+        queue = np.array(list(totals), np.int64)
+        cut = np.array([rng.integers(0, n + 1) for n in totals.values()])
+        queue, a, b = np.concatenate([queue, queue]), np.concatenate([0 * cut, cut]), np.concatenate([cut, list(totals.values())])
+        row, begin, end, sequence, offset = plan.pieces(queue, a, b)
+        assert np.bincount(row, weights=end - begin, minlength=len(queue)).tolist() == (b - a).tolist()
+        by = np.lexsort((offset, sequence))
+        assert (end > begin).all() and (begin >= a[row]).all() and (end <= b[row]).all()
+        size = np.bincount(sequence, weights=end - begin).astype(int)
+        first = np.concatenate([[True], sequence[by][1:] != sequence[by][:-1]])
+        assert (offset[by][first] == 0).all() and (offset[by][1:][~first[1:]] == (offset + end - begin)[by][:-1][~first[1:]]).all()
+        assert all(n == window or n & (n - 1) == 0 for n in size) and size.sum() == sum(totals.values())
+
+
+def test_targets():
+    totals = {0: 1000, 1: 1000, 2: 7}
+    assert packing.phases(totals, {0: 3.0, 1: 1.0}) == [{0: 1000, 1: 333}, {1: 667}, {2: 7}]
+    assert packing.phases(totals, {}) == [totals]
 
 
 def test_deal_is_exact_beyond_64_bits():
@@ -153,9 +191,9 @@ def test_deal_is_exact_beyond_64_bits():
     sizes = [10**13 + 7, 3 * 10**12 + 1, 5 * 10**12]
     deal = packing.Deal(sizes, 2048)
     w = np.array([0, 1, deal.full // 2, deal.full - 1, deal.full], dtype=np.int64)
-    a, b = deal.cuts(w), deal.cuts(w + 1)
-    assert ((b - a)[:-1, -1] == 2048).all() and (np.diff(b - a, axis=1) >= 0).all()
-    assert b[-1, -1] == sum(sizes)
+    dealt = np.stack([deal.cut(w + 1, np.full(5, k)) - deal.cut(w, np.full(5, k)) for k in range(4)])
+    assert (dealt[-1, :-1] == 2048).all() and (np.diff(dealt, axis=0) >= 0).all()
+    assert deal.cut(w + 1, np.full(5, 3))[-1] == sum(sizes)
 
 
 def test_resharding(docs, spark, tmp_path):
@@ -176,10 +214,27 @@ def test_resharding(docs, spark, tmp_path):
         gain = sorted((sorted(v)[len(v) - low - 1] for v in old.values() if len(v) > low), reverse=True)
         least = sum(sum(sorted(v)[: max(0, len(v) - low)]) for v in old.values()) - sum(gain[:extra])
         assert sum(r.size for r in got if r.moved) == least
-    unique = docs.dropDuplicates(["doc_id"]).filter("doc_id is not null").drop("shard")
-    placed = resharding.reshard(unique, 3).cache()
-    resharding.rewrite(unique, placed, str(tmp_path / "out"), rows_per_file=10)
-    assert spark.read.parquet(str(tmp_path / "out")).count() <= unique.count()
+
+
+def test_rewrite_keeps_every_row(docs, spark, tmp_path):
+    before = Counter(map(tuple, docs.collect()))
+    name, affected = resharding.rewrite(docs, str(tmp_path / "out"), 3, rows_per_file=10)
+    assert name == "shard_" and affected
+    got = spark.read.parquet(str(tmp_path / "out"))
+    placed = resharding.reshard(docs, 3)
+    due = placed.filter(placed["shard"].isin(affected)).groupBy("shard").count().collect()
+    assert dict(map(tuple, got.groupBy(name).count().collect())) == dict(map(tuple, due))
+    written = Counter(map(tuple, got.select(*docs.columns).collect()))
+    assert written <= before and (set(affected) != {0, 1, 2} or written == before)
+    assert got.filter("doc_id is null").count() == 1 and got.filter("doc_id = 3").count() == 2
+
+
+def test_secrets_in_very_long_texts(spark):
+    rows = [(1, "-----BEGIN " + "ABCDE " * 100_000), (2, "token=abcdef1 " * 100_000), (3, "-----BEGIN RSA PRIVATE KEY----- x -----BEGIN PRIVATE KEY-----")]
+    got = {r.doc_id: r for r in secret_scan.secret_scan(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got[1].spans == "" and got[3].spans == "pem:0:31,pem:34:61"
+    said = ",".join(f"assign:{14 * i}:{14 * i + 13}" for i in range(100_000))
+    assert got[2].n_assign == 100_000 and got[2].spans == said and got[2].base_sha256 == hashlib.sha256(said.encode()).hexdigest()
 
 
 def test_flow_against_brute_force():
