@@ -8,6 +8,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .graph import closure
+
 
 @dataclass(frozen=True)
 class Rule:
@@ -29,16 +31,18 @@ def _bad_type(c: str, kind: str) -> Column:
     return F.col(c).isNotNull() & F.col(c).cast("string").try_cast(kind).isNull()
 
 
-def audit(df: DataFrame, rule: Rule, by: list[str] | None = None) -> DataFrame:
-    """(rule, severity, violations, total, pct): a row that misses several required fields counts once; groups come from the data, so none is empty."""
+def audit(df: DataFrame, rule: Rule, by: list[str] | None = None, exempt: Column | None = None) -> DataFrame:
+    """(rule, severity, violations, exempted, total, pct): a row that misses several required fields counts once, one that is exempt as exempted; groups come from the data, so none is empty."""
+    free = F.coalesce(exempt, F.lit(False)) if exempt is not None else F.lit(False)
     broken = reduce(lambda a, b: a | b, [_missing(c) for c in rule.required])
     checks = [(f"{rule.name}.required_properties", broken)]
     checks += [(f"{rule.name}.type_{c}", _bad_type(c, k)) for c, k in rule.types]
     parts = []
     for name, test in checks:
-        got = df.groupBy(*(by or [])).agg(F.sum(F.when(test, 1).otherwise(0)).cast("long").alias("violations"), F.count(F.lit(1)).alias("total")).filter("total > 0")
+        counts = [F.sum(F.when(x, 1).otherwise(0)).cast("long").alias(n) for x, n in ((test & ~free, "violations"), (test & free, "exempted"))]
+        got = df.groupBy(*(by or [])).agg(*counts, F.count(F.lit(1)).alias("total")).filter("total > 0")
         pct = F.round(F.col("violations") * F.lit(100.0) / F.col("total"), 6)
-        parts.append(got.select(F.lit(name).alias("rule"), F.lit(rule.severity).alias("severity"), *(by or []), "violations", "total", pct.alias("pct")))
+        parts.append(got.select(F.lit(name).alias("rule"), F.lit(rule.severity).alias("severity"), *(by or []), "violations", "exempted", "total", pct.alias("pct")))
     return reduce(DataFrame.unionByName, parts)
 
 
@@ -63,6 +67,21 @@ def cardinality(edges: DataFrame, src: str, most: int) -> DataFrame:
     return edges.groupBy(src).agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > most)
 
 
+def too_few(nodes: DataFrame, key: str, edges: DataFrame, src: str, least: int) -> DataFrame:
+    """Nodes with fewer edges than the rule asks for, with their number, 0 included."""
+    n = edges.groupBy(F.col(src).alias(key)).agg(F.count(F.lit(1)).alias("n"))
+    return nodes.select(key).join(n, key, "left").withColumn("n", F.coalesce("n", F.lit(0))).filter(F.col("n") < least)
+
+
+def forest(edges: DataFrame, child: str, parent: str) -> DataFrame:
+    """(node, problem) of a hierarchy that should be a forest: nodes of several parents, and nodes on a cycle."""
+    links = edges.filter(F.col(child) != F.col(parent)).select(F.col(child).alias("child"), F.col(parent).alias("parent")).distinct()
+    several = links.groupBy(F.col("child").alias("node")).agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("node", F.lit("several parents").alias("problem"))
+    up = closure(links)
+    back = links.join(up.select(F.col("node").alias("parent"), F.col("ancestor").alias("child")), ["child", "parent"], "left_semi").select(F.col("child").alias("node"), F.lit("cycle").alias("problem")).distinct()
+    return several.unionByName(back)
+
+
 def outside(edges: DataFrame, column: str, nodes: DataFrame, key: str) -> DataFrame:
     """Edges whose endpoint is no node of the declared kind."""
     return edges.join(nodes.select(F.col(key).alias(column)), column, "left_anti")
@@ -82,6 +101,24 @@ def expansion(edges: DataFrame, source: str, record: str) -> DataFrame:
     return got.withColumn("factor", F.round(F.col("n_edges") / F.col("n_records"), 6))
 
 
+def expansions(relations: dict[str, DataFrame | None], source: str, record: str, rows_in: dict[str, int]) -> DataFrame:
+    """(relation, source, n_edges, n_records, unit, factor) of every declared relation (I8): one without edges gives a row of zero edges, one whose table no source wrote a row that says so; a
+    source without record ids is held against its input rows."""
+    parts = []
+    for name, e in relations.items():
+        if e is None:
+            spark = next(x for x in relations.values() if x is not None).sparkSession
+            parts.append(spark.createDataFrame([(name, None, None, None, "no input", None)], "relation string, source string, n_edges long, n_records long, unit string, factor double"))
+            continue
+        got = e.groupBy(F.col(source).alias("source")).agg(F.count(F.lit(1)).alias("n_edges"), F.count_distinct(record).alias("n_records"))
+        got = got.withColumn("unit", F.when(F.col("n_records") > 0, "records").otherwise("rows"))
+        got = got.withColumn("n_records", F.when(F.col("n_records") > 0, F.col("n_records")).otherwise(F.lit(rows_in.get(name, 0))))
+        one = e.sparkSession.range(1).select(F.lit(name).alias("relation"))
+        got = one.join(got, F.lit(True), "left").withColumn("n_edges", F.coalesce("n_edges", F.lit(0)))
+        parts.append(got.select("relation", "source", "n_edges", "n_records", "unit", F.when(F.col("n_records") > 0, F.round(F.col("n_edges") / F.col("n_records"), 6)).alias("factor")))
+    return reduce(DataFrame.unionByName, parts)
+
+
 def coverage(claims: DataFrame, layer: DataFrame, pair: list[str], direction: str) -> DataFrame:
     """(outcome, n) of external claims against a layer of edges: absent, or agree, contradict or split by the directions of the pair."""
     have = layer.groupBy(*pair).agg(F.array_sort(F.collect_set(direction)).alias("directions"))
@@ -91,3 +128,44 @@ def coverage(claims: DataFrame, layer: DataFrame, pair: list[str], direction: st
         .when(F.element_at("directions", 1) == F.col(direction), "agree").otherwise("contradict")
     )
     return got.groupBy(outcome.alias("outcome")).agg(F.count(F.lit(1)).alias("n"))
+
+
+def score(claims: DataFrame, layer: DataFrame, pair: list[str], direction: str, level: str) -> dict[str, DataFrame]:
+    """Coverage of external claims by a layer (I11): `counts` (references, resolvable and covered pairs), `outcomes` of directions among comparable claims, `levels` of the covered pairs' reports.
+    A claim with a null key part is not resolvable; one without a direction is covered but not comparable."""
+    known = claims.filter(reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in pair]))
+    have = layer.groupBy(*pair).agg(F.array_sort(F.collect_set(F.nullif(F.col(direction), F.lit("")))).alias("_dirs"))
+    got = known.join(have, pair, "left")
+    covered = F.col("_dirs").isNotNull()
+    counts = claims.agg(F.count(F.lit(1)).alias("n_references")).crossJoin(got.agg(F.count(F.lit(1)).alias("n_resolvable"), F.count(F.when(covered, 1)).alias("n_covered")))  # one row each
+    outcome = F.when(F.size("_dirs") == 1, F.when(F.element_at("_dirs", 1) == F.col(direction), "agree").otherwise("contradict")).when(F.array_contains("_dirs", F.col(direction)), "split").otherwise("contradict")
+    outcomes = got.filter(covered & F.col(direction).isNotNull() & (F.size("_dirs") > 0)).groupBy(outcome.alias("outcome")).agg(F.count(F.lit(1)).alias("n"))
+    levels = known.join(layer.select(*pair, F.coalesce(level, F.lit("(absent)")).alias("level")), pair).groupBy("level").agg(F.count(F.lit(1)).alias("n"))
+    return {"counts": counts, "outcomes": outcomes, "levels": levels}
+
+
+def score_text(name: str, scored: dict[str, DataFrame]) -> str:
+    """The score as lines of text."""
+    c = scored["counts"].first()
+    pct = lambda a, b: f"{100.0 * a / b:.1f}%" if b else "n/a"
+    said = lambda f, k: ", ".join(f"{r[k]} {r['n']:,}" for r in sorted(f.collect(), key=lambda r: (-r["n"], r[k]))) or "none"  # noqa: E731  a row an outcome or level
+    return "\n".join([
+        f"{name}: {c['n_references']:,} claims, {c['n_resolvable']:,} resolvable ({pct(c['n_resolvable'], c['n_references'])})",
+        f"covered {c['n_covered']:,} ({pct(c['n_covered'], c['n_resolvable'])} of resolvable)",
+        f"directions: {said(scored['outcomes'], 'outcome')}",
+        f"levels: {said(scored['levels'], 'level')}",
+    ])
+
+
+def timing(seconds: list[float], once: bool = False) -> dict[str, float | str]:
+    """What a bench reports of its samples (I14): the least; the median if the least lies under 0.7 of it; the mean of what happens once an event; p95, and a rare branch where the greatest is thirty medians or more."""
+    xs = sorted(seconds)
+    middle = xs[len(xs) // 2] if len(xs) % 2 else (xs[len(xs) // 2 - 1] + xs[len(xs) // 2]) / 2
+    kind = "mean" if once else "median" if xs[0] < 0.7 * middle else "min"
+    value = sum(xs) / len(xs) if once else middle if kind == "median" else xs[0]
+    return {"value": value, "kind": kind, "p95": xs[min(len(xs) - 1, int(0.95 * len(xs)))], "rare_branch": xs[-1] >= 30 * middle}
+
+
+def holds(claimed: dict[str, object], measured: dict[str, object]) -> list[str]:
+    """Claims in prose that the queries' answers do not bear out."""
+    return [f"{k}: claimed {v!r}, measured {measured.get(k)!r}" for k, v in claimed.items() if measured.get(k) != v]

@@ -2,14 +2,26 @@
 
 from __future__ import annotations
 
+import re
+import tempfile
 from dataclasses import dataclass, field
 from functools import reduce
-from operator import methodcaller
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
+def cut(df: DataFrame) -> DataFrame:
+    """The rows written once, so that later turns start from them: checkpoint() in the folder that spark.checkpoint.dir names. Only where it is unset and the master is local, a local one is set."""
+    sc = df.sparkSession.sparkContext
+    if not sc.getCheckpointDir():
+        found = df.sparkSession.conf.get("spark.checkpoint.dir", None)
+        if not found and (not sc.master.startswith("local") or sc.master.startswith("local-cluster")):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
+        sc.setCheckpointDir(found or "file://" + tempfile.mkdtemp(prefix="evigraph-"))
+    return df.checkpoint()
+
+
 @dataclass
 class Graph:
     """nodes: label -> frame with an id; edges: type -> frame with src, dst; ends: type -> (source label, target label)."""
@@ -31,10 +43,17 @@ class Graph:
         self.edges[kind], self.ends[kind] = rows, (source, target)
         return self
 
-    def identified(self, kind: str) -> DataFrame:
-        """Edges with an edge_id, one for each row. It is only added where identity is asked for, as filters don't pass below it."""
+    def identified(self, kind: str, key: list[str] | None = None) -> DataFrame:
+        """Edges with an edge_id. It comes from the edge's key columns or, without a key, from all its cells and a number among rows that are equal in all of them, so that it is the same
+        at every partitioning and recomputation. It is only added where identity is asked for, as filters don't pass below it."""
         e = self.edges[kind]
-        return e if "edge_id" in e.columns else e.withColumn("edge_id", F.monotonically_increasing_id())
+        if "edge_id" in e.columns:
+            return e
+        if key:
+            return e.withColumn("edge_id", F.concat_ws("-", F.lit(kind), *key))
+        cells = F.sha2(F.concat_ws("\x1f", *[F.coalesce(F.col(f"`{c}`").cast("string"), F.lit("\x00")) for c in e.columns]), 256)
+        again = F.row_number().over(Window.partitionBy("_cells").orderBy(F.lit(0)))  # rows here are equal: any order gives the same
+        return e.withColumn("_cells", cells).withColumn("edge_id", F.concat_ws("-", F.lit(kind), F.col("_cells"), again)).drop("_cells")
 
     def scan(self, label: str) -> DataFrame:
         """Nodes of a label; an abstract label is the union of those under it, each with its own label."""
@@ -42,17 +61,17 @@ class Graph:
         parts = [self.nodes[x].withColumn("label", F.lit(x)) for x in labels]
         return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
 
-    def slim_edges(self, kinds: list[str] | None = None, undirected: bool = False) -> DataFrame:
-        """type, src_label, src, dst_label, dst of all edges of some types; undirected adds each the other way round."""
+    def slim_edges(self, kinds: list[str] | None = None, undirected: bool = False, at: tuple[str, object] | None = None) -> DataFrame:
+        """type, src_label, src, dst_label, dst of all edges of some types; undirected adds each the other way round. at (label, key): only edges that start there; the key is compared in its own
+        type before ids become text, so that the test reaches the scan."""
         parts = []
         for k in kinds or list(self.edges):
-            a, b = self.ends[k]
-            parts.append(self.edges[k].select(F.lit(k).alias("type"), F.lit(a).alias("src_label"), F.col("src").cast("string").alias("src"), F.lit(b).alias("dst_label"), F.col("dst").cast("string").alias("dst")))
-        out = reduce(DataFrame.unionByName, parts)
-        if undirected:
-            back = out.select("type", F.col("dst_label").alias("src_label"), F.col("dst").alias("src"), F.col("src_label").alias("dst_label"), F.col("src").alias("dst"))
-            out = out.unionByName(back)
-        return out
+            for near, far, (a, b) in [("src", "dst", self.ends[k])] + ([("dst", "src", self.ends[k][::-1])] if undirected else []):
+                if at and a != at[0]:
+                    continue
+                e = self.edges[k].filter(F.col(near) == F.lit(at[1])) if at else self.edges[k]
+                parts.append(e.select(F.lit(k).alias("type"), F.lit(a).alias("src_label"), F.col(near).cast("string").alias("src"), F.lit(b).alias("dst_label"), F.col(far).cast("string").alias("dst")))
+        return reduce(DataFrame.unionByName, parts)
 
     def hop(self, rows: DataFrame, kind: str, at: str, to: str, where: Column | None = None, back: bool = False, optional: bool = False) -> DataFrame:
         """Rows joined with edges of a type from column `at`; the far end lands in column `to`, edge properties as `<kind>_<name>`.
@@ -84,9 +103,7 @@ class Graph:
 def closure(edges: DataFrame, most: int | None = None) -> DataFrame:
     """(node, ancestor, depth) along parent links (child, parent), by doubling: every turn joins paths of up to twice the length, until no pair is new or, if
     given, depth `most` is reached. Self-links and cycles end, as a pair keeps its least depth."""
-    paths = edges.filter("child != parent").select(F.col("child").alias("node"), F.col("parent").alias("ancestor"), F.lit(1).alias("depth")).distinct()
-    cut = methodcaller("checkpoint" if edges.sparkSession.sparkContext.getCheckpointDir() else "localCheckpoint")  # or the plan triples every turn
-    paths = cut(paths)
+    paths = cut(edges.filter("child != parent").select(F.col("child").alias("node"), F.col("parent").alias("ancestor"), F.lit(1).alias("depth")).distinct())
     reach, pairs = 1, paths.count()
     while most is None or reach < most:
         a, b = paths.alias("a"), paths.alias("b")
@@ -119,13 +136,43 @@ def shortest_path(edges: DataFrame, source, target, most: int = 4) -> DataFrame:
     both = edges.select("src", "dst").unionByName(edges.select(F.col("dst").alias("src"), F.col("src").alias("dst"))).distinct()
     spark = edges.sparkSession
     kind = edges.schema["src"].dataType.simpleString()
-    front = spark.createDataFrame([(source, [source])], f"node {kind}, path array<{kind}>")
+    front = cut(spark.createDataFrame([(source, [source])], f"node {kind}, path array<{kind}>"))
     seen = front.select("node")
-    for h in range(most + 1):
+    for h in range(most + 1):  # each level is written, so that no hop runs the earlier ones again
         hit = front.filter(F.col("node") == F.lit(target))
         if not hit.isEmpty():
             return hit.select(F.lit(h).alias("hops"), "path")
-        step = front.join(both, front["node"] == both["src"]).select(F.col("dst").alias("node"), F.array_append("path", F.col("dst")).alias("path"))
-        front = step.join(seen, "node", "left_anti").groupBy("node").agg(F.min("path").alias("path"))
+        if h == most or front.isEmpty():
+            break
+        step = front.join(both, front["node"] == both["src"]).groupBy(F.col("dst").alias("node")).agg(F.min("path").alias("path"))
+        front = cut(step.join(seen, "node", "left_anti").select("node", F.array_append("path", F.col("node")).alias("path")))
         seen = seen.unionByName(front.select("node"))
     return spark.createDataFrame([], f"hops int, path array<{kind}>")
+
+
+def labels_on(path: DataFrame, column: str, labels: DataFrame) -> DataFrame:
+    """path with `labels`: the label of each node on it, in order (G29). labels: (node, label)."""
+    at = path.withColumn("_p", F.monotonically_increasing_id())
+    steps = at.select("_p", F.posexplode(column).alias("_i", "node")).join(labels, "node", "left")
+    return at.join(steps.groupBy("_p").agg(F.transform(F.array_sort(F.collect_list(F.struct("_i", F.coalesce("label", F.lit("?")).alias("label")))), lambda x: x["label"]).alias("labels")), "_p").drop("_p")
+
+
+#: Statements that read (fixed values).
+READS = ("select", "with", "values", "from", "describe", "show", "explain")
+
+
+class ReadOnlyError(PermissionError):
+    pass
+
+
+def read_only(text: str) -> str:
+    """The statement, if it is one that only reads (G36). A served graph takes no other."""
+    bare = re.sub(r"--[^\n]*|/\*.*?\*/", " ", text, flags=re.DOTALL).strip().rstrip(";").strip()
+    if bare.partition(" ")[0].lower().lstrip("(") not in READS or ";" in re.sub(r"'(?:[^']|'')*'", "", bare) or re.search(r"\b(insert\s+(into|overwrite)|delete\s+from|update\s+\w+\s+set|merge\s+into|drop|create|alter|truncate)\b", re.sub(r"'(?:[^']|'')*'", "", bare), re.IGNORECASE):
+        raise ReadOnlyError("only one statement that reads is allowed")
+    return bare
+
+
+def ask(spark, text: str, args: dict | None = None) -> DataFrame:
+    """A read-only SQL statement over the graph's views, with named parameters (:name)."""
+    return spark.sql(read_only(text), args=args or {})

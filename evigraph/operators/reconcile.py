@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import sys
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .graph import closure
+from .graph import closure, cut
 
 #: Name classes that may resolve a mention (fixed values).
 NAME_CLASSES = ("scientific name", "synonym", "equivalent name", "genbank synonym", "includes")
@@ -17,19 +19,33 @@ RANKS = (
     "species", "forma specialis", "subspecies", "varietas", "subvariety", "forma", "serogroup", "serotype", "biotype", "genotype", "morph", "pathogroup",
     "strain", "isolate",
 )
+#: Ranks below a species (fixed values), and those that say nothing by themselves.
+BELOW_SPECIES = ("no rank", "strain", "subspecies", "varietas", "isolate", "forma specialis", "forma", "serotype", "clade", "serogroup", "genotype", "biotype", "morph", "pathogroup", "subvariety")
+UNDECIDED = ("no rank", "clade")
 #: Marks of a placeholder name (fixed values).
 PLACEHOLDERS = ("uncultured", "unclassified", "unidentified", "environmental sample")
 #: Words that close an author's name (fixed values).
 AUTHOR_WORDS = ("et", "al.", "al", "and", "&", "ex", "emend.", "corrig.")
-#: What casefolding changes and lower-casing leaves: sharp s and the Latin ligatures (fixed values).
-FOLDS = {"ß": "ss", "ﬀ": "ff", "ﬁ": "fi", "ﬂ": "fl", "ﬃ": "ffi", "ﬄ": "ffl", "ﬅ": "st", "ﬆ": "st", "ſ": "s", "ς": "σ"}
+#: What full case folding makes of characters that lower-casing leaves, by the rule of the Unicode tables.
+FOLDS = {c: f for c in map(chr, range(sys.maxunicode + 1)) if (f := c.lower().casefold()) != c.lower() and c == c.lower()}
+SINGLE = {c: f for c, f in FOLDS.items() if len(f) == 1}
+MULTIPLE = {c: f for c, f in FOLDS.items() if len(f) > 1}
 
 
 def casefold(text: Column) -> Column:
-    text = F.lower(text)
-    for a, b in FOLDS.items():
-        text = F.replace(text, F.lit(a), F.lit(b))
-    return text
+    """Full case folding: characters that fold to one are translated, those that fold to several are replaced where there are any."""
+    text = F.translate(F.lower(text), "".join(SINGLE), "".join(SINGLE.values()))
+    return F.when(text.rlike(f"[{''.join(MULTIPLE)}]"), _unfolded(text)).otherwise(text)
+
+
+def _unfolded(text: Column) -> Column:
+    """Each character by its folding, looked up in one map."""
+    table = F.create_map(*[F.lit(x) for pair in MULTIPLE.items() for x in pair])
+    return F.array_join(F.transform(F.split(text, ""), lambda c: F.coalesce(F.try_element_at(table, c), c)), "")
+
+
+#: What a name's authors begin with: a parenthesis or a year; a quoted head (fixed values).
+AUTHORS_FROM, QUOTED_HEAD = r"\(|\b(?:1[6-9]\d{2}|20\d{2})\b", '^"([^"]+)"'
 
 
 def is_placeholder(name: Column) -> Column:
@@ -44,9 +60,9 @@ def strip_authority(name: Column) -> Column:
     """The bare name of one with authors: a quoted head; else what stands before the first parenthesis or year, without trailing author
     words as long as more than two words are left. A name with neither stays as it is."""
     s = F.trim(name)
-    quoted = F.regexp_extract(s, '^"([^"]+)"', 1)
-    head = F.regexp_extract(s, r"^(.*?)(?:\(|\b(?:1[6-9]\d{2}|20\d{2})\b)", 1)
-    cut = s.rlike(r"\(|\b(?:1[6-9]\d{2}|20\d{2})\b")
+    quoted = F.regexp_extract(s, QUOTED_HEAD, 1)
+    head = F.regexp_extract(s, rf"^(.*?)(?:{AUTHORS_FROM})", 1)
+    cut = s.rlike(AUTHORS_FROM)
     words = F.filter(F.split(head, r"\s+"), lambda w: w != "")
     closes = lambda w: F.lower(w).isin(*AUTHOR_WORDS) | w.rlike(r"^\p{Lu}")
     # the words that stay: the first two, and all up to the last one that is no author word
@@ -82,24 +98,37 @@ def rank_depth(rank: Column) -> Column:
     return F.when(at > 0, at)
 
 
+def below_ceiling(rank: Column, ceiling: str = "species") -> Column:
+    """Whether a rank is narrower than the ceiling; null where the rank alone cannot say. Below a species is a closed list; other ceilings go by the ladder."""
+    text = F.lower(F.trim(F.coalesce(rank, F.lit(""))))
+    if ceiling == "species":
+        return F.when(~text.isin(*UNDECIDED), text.isin(*BELOW_SPECIES))
+    return rank_depth(text) > RANKS.index(ceiling) + 1
+
+
+def at_or_below(rank: Column, ceiling: str = "species") -> Column:
+    """The same for an ancestor that places an undecided taxon: the ceiling itself counts."""
+    return (F.lower(F.trim(F.coalesce(rank, F.lit("")))) == ceiling) | below_ceiling(rank, ceiling)
+
+
 def promotions(nodes: DataFrame, ceiling: str = "species") -> DataFrame:
-    """(tax_id, promoted_id): the nearest ancestor at or above the ceiling, for every taxon below it. A rank off the ladder ('no rank', 'clade') counts as
-    below if its nearest placed ancestor is at or below the ceiling. Computed once for the whole tree (tax_id, parent_id, rank)."""
-    top = RANKS.index(ceiling) + 1
-    placed = nodes.select("tax_id", rank_depth(F.col("rank")).alias("d"))
+    """(tax_id, promoted_id): the nearest ancestor that is not below the ceiling, for every taxon below it. A rank that cannot say ('no rank', 'clade') is
+    below if its nearest decided ancestor is at or below the ceiling. Computed once for the whole tree (tax_id, parent_id, rank)."""
+    rank = F.col("rank")
+    placed = nodes.select("tax_id", below_ceiling(rank, ceiling).alias("below"), at_or_below(rank, ceiling).alias("under"), rank_depth(rank).alias("d"))
     up = closure(nodes.select(F.col("tax_id").alias("child"), F.col("parent_id").alias("parent")))
-    lines = up.join(placed.select(F.col("tax_id").alias("ancestor"), F.col("d").alias("ad")), "ancestor")
+    lines = up.join(placed.select(F.col("tax_id").alias("ancestor"), F.col("below").alias("a_below"), F.col("under").alias("a_under")), "ancestor")
     summary = lines.groupBy("node").agg(
-        F.min_by("ancestor", F.when(F.col("ad") <= top, F.col("depth"))).alias("promoted_id"),
-        F.min_by("ad", F.when(F.col("ad").isNotNull(), F.col("depth"))).alias("nearest"),
+        F.min_by("ancestor", F.when(F.col("a_below") == F.lit(False), F.col("depth"))).alias("promoted_id"),
+        F.min_by("a_under", F.when(F.col("a_under").isNotNull(), F.col("depth"))).alias("nearest"),
     )
     own = placed.join(summary, placed["tax_id"] == summary["node"], "left")
-    below = F.when(F.col("d").isNotNull(), F.col("d") > top).otherwise(F.coalesce(F.col("nearest") >= top, F.lit(False)))
+    below = F.coalesce("below", "nearest", F.lit(False))
     return own.select("tax_id", F.when(below & F.col("promoted_id").isNotNull(), F.col("promoted_id")).otherwise(F.col("tax_id")).alias("promoted_id"))
 
 
 def resolve(mentions: DataFrame, names: DataFrame, nodes: DataFrame, merged: DataFrame, deleted: DataFrame, ceiling: str | None = "species") -> DataFrame:
-    """mentions (name, given_id) -> the same with tax_id, status, matched_name, original_tax_id, normalized, candidates, note.
+    """mentions (name, given_id) -> the same with tax_id, status, matched_name, original_tax_id, original_rank, normalized, candidates, note.
     Distinct mentions are resolved, then joined back. An id beats a name; an exact name beats a bare one; a name of two taxa resolves to none."""
     asked = mentions.select("name", "given_id").distinct().withColumn("key", casefold(F.trim("name")))
     exact = name_index(names).select("key", F.col("ids").alias("e_ids"), F.col("spelling").alias("e_name"), F.col("scientific").alias("e_sci"))
@@ -110,6 +139,8 @@ def resolve(mentions: DataFrame, names: DataFrame, nodes: DataFrame, merged: Dat
     got = got.withColumn("start", F.coalesce("given_id", by_name)).withColumn("ambiguous", F.col("given_id").isNull() & (F.coalesce(F.size(ids), F.lit(0)) > 1))
     got = got.join(merged_map(merged).withColumnRenamed("old_id", "start"), "start", "left").withColumn("live", F.coalesce("new_id", "start"))
     got = got.join(deleted.select(F.col("tax_id").alias("live"), F.lit(True).alias("is_deleted")), "live", "left")
+    ranks = nodes.select(F.col("tax_id").alias("live"), F.col("rank").alias("original_rank"))
+    got = got.join(ranks, "live", "left")
     up = promotions(nodes, ceiling) if ceiling else nodes.select("tax_id", F.col("tax_id").alias("promoted_id"))
     got = got.join(up.withColumnRenamed("tax_id", "live"), "live", "left")
     normalized = F.col("given_id").isNull() & F.col("e_ids").isNull() & F.col("s_ids").isNotNull()
@@ -126,7 +157,7 @@ def resolve(mentions: DataFrame, names: DataFrame, nodes: DataFrame, merged: Dat
     )
     answer = got.select(
         F.col("name").alias("_n"), F.col("given_id").alias("_g"), F.when(~F.col("ambiguous") & F.col("is_deleted").isNull(), F.col("promoted_id")).alias("tax_id"), status.alias("status"),
-        F.when(F.col("given_id").isNull(), F.coalesce("e_name", "s_name")).alias("matched_name"), F.col("start").alias("original_tax_id"),
+        F.when(F.col("given_id").isNull(), F.coalesce("e_name", "s_name")).alias("matched_name"), F.col("start").alias("original_tax_id"), "original_rank",
         F.coalesce(normalized, F.lit(False)).alias("normalized"), F.when(F.col("ambiguous"), ids).alias("candidates"), note.alias("note"),
     )
     return mentions.join(answer, mentions["name"].eqNullSafe(answer["_n"]) & mentions["given_id"].eqNullSafe(answer["_g"]), "left").drop("_n", "_g")
@@ -207,8 +238,8 @@ def two_key_first_wins(df: DataFrame, order: str, first: str, second: str) -> Da
     while True:
         lead = left.withColumn("_a", F.min(order).over(Window.partitionBy(first))).withColumn("_b", F.min(order).over(Window.partitionBy(second)))
         lead = lead.withColumn("_a", F.when(F.col(first).isNull(), F.col(order)).otherwise(F.col("_a"))).withColumn("_b", F.when(F.col(second).isNull(), F.col(order)).otherwise(F.col("_b")))
-        now = lead.filter((F.col("_a") == F.col(order)) & (F.col("_b") == F.col(order))).drop("_a", "_b").checkpoint()
+        now = cut(lead.filter((F.col("_a") == F.col(order)) & (F.col("_b") == F.col(order))).drop("_a", "_b"))
         kept = now if kept is None else kept.unionByName(now)
-        left = left.join(now.select(order), order, "left_anti").join(now.select(first), first, "left_anti").join(now.select(second), second, "left_anti").checkpoint()
+        left = cut(left.join(now.select(order), order, "left_anti").join(now.select(first), first, "left_anti").join(now.select(second), second, "left_anti"))
         if left.isEmpty():
             return kept

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ast
 import json
 from collections.abc import Iterable
 
@@ -66,6 +67,60 @@ def order_sources(after: dict[str, Iterable[str]]) -> list[str]:
     return out
 
 
+def declared(source: str, name: str):
+    """A module-level literal of that name, read from a source's text without importing it; None if there is none."""
+    for node in ast.parse(source).body:
+        targets = node.targets if isinstance(node, ast.Assign) else [node.target] if isinstance(node, ast.AnnAssign) and node.value else []
+        if any(isinstance(t, ast.Name) and t.id == name for t in targets):
+            return ast.literal_eval(node.value)
+    return None
+
+
+def declared_order(sources: dict[str, str]) -> list[str]:
+    """Sources (name -> text) in an order that their DEPENDS_ON allows; a source that declares none is an error (C11)."""
+    after = {k: declared(text, "DEPENDS_ON") for k, text in sources.items()}
+    if silent := sorted(k for k, v in after.items() if v is None):
+        raise OrderError(f"no DEPENDS_ON in {', '.join(silent)}")
+    return order_sources(after)
+
+
+def relationships(document: dict) -> dict[str, dict]:
+    """Every declared relationship with its input tables."""
+    return {k: {"tables": spec.get("tables", [spec["table"]] if "table" in spec else []), "source": spec.get("source"), "target": spec.get("target")} for k, spec in document.get("edges", {}).items()}
+
+
+def pruned_rules(rules: list, relations: Iterable[str], labels: Iterable[str]) -> list:
+    """Rules over relations and classes that are there: no rule is held against an empty population (C13). A rule's name begins with its relation or class."""
+    have = {*relations, *labels}
+    return [r for r in rules if r.name.split(".")[0] in have]
+
+
+def bound(document: dict, tables: dict) -> dict[str, tuple]:
+    """What a document's types load from: name -> (kind, frames) of the tables that are there (C14)."""
+    out = {}
+    for part in ("nodes", "edges"):
+        for name, spec in document.get(part, {}).items():
+            own = [tables[t] for t in spec.get("tables", [spec.get("table")]) if t in tables]
+            if own:
+                out[name] = (part, own)
+    return out
+
+
+def checked(document: dict) -> list[str]:
+    """Warnings about a document: edges between undeclared types, unknown property types."""
+    nodes, warnings = document.get("nodes", {}), []
+    known = {"string", "int", "float", "bool", "list", "any"}
+    for name, spec in document.get("edges", {}).items():
+        for end in ("source", "target"):
+            for label in spec.get(end) if isinstance(spec.get(end), list) else [spec.get(end)]:
+                if label not in nodes:
+                    warnings.append(f"{name}: {end} {label!r} is no declared node")
+    for part in ("nodes", "edges"):
+        for name, spec in document.get(part, {}).items():
+            warnings += [f"{name}.{c}: unknown type {k!r}" for c, k in spec.get("properties", {}).items() if k not in known]
+    return warnings
+
+
 def declared_types(document: dict) -> dict[str, dict[str, str]]:
     """table -> column -> type, of all nodes and edges."""
     out: dict[str, dict[str, str]] = {}
@@ -83,6 +138,7 @@ def prune(document: dict, tables: Iterable[str]) -> dict:
     return {k: {n: s for n, s in v.items() if keep(s)} if k in ("nodes", "edges") else v for k, v in document.items()}
 
 
-def included(needs: dict[str, Iterable[str]], tables: Iterable[str]) -> list[str]:
-    have = set(tables)
-    return [k for k, v in needs.items() if set(v) <= have]
+def included(needs: dict[str, Iterable[str]], tables: Iterable[str], gated: Iterable[str] = (), opted: Iterable[str] = ()) -> list[str]:
+    """Sources whose declared tables are all there; one behind a licence gate only if it was opted in."""
+    have, shut = set(tables), set(gated) - set(opted)
+    return [k for k, v in needs.items() if set(v) <= have and k not in shut]

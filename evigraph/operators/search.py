@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -20,20 +22,113 @@ def postings(df: DataFrame, key: str, text: str) -> DataFrame:
     return words.select("doc", F.size("w").alias("dl"), F.explode("w").alias("term")).groupBy("doc", "term", "dl").agg(F.count(F.lit(1)).alias("tf"))
 
 
+def query_terms(query: str) -> list[str]:
+    return sorted({t for t in "".join(c if c.isascii() and c.isalnum() else " " for c in query.lower()).split()})
+
+
 def bm25(df: DataFrame, key: str, text: str, query: str) -> DataFrame:
-    """(doc, score) of all documents that hold a query token: sum of idf * tf (k1+1) / (tf + k1 (1 - b + b dl / avgdl)). Only query tokens are counted, in one pass."""
-    terms = sorted({t for t in "".join(c if c.isascii() and c.isalnum() else " " for c in query.lower()).split()})
-    docs = df.filter(F.col(text).isNotNull()).select(F.col(key).alias("doc"), tokens(F.col(text)).alias("w"))
-    counted = docs.select("doc", F.size("w").alias("dl"), *[F.size(F.filter("w", (lambda t: lambda x: x == t)(t))).alias(f"tf{i}") for i, t in enumerate(terms)])
-    stats = counted.agg(F.count(F.lit(1)).alias("n"), F.avg("dl").alias("avgdl"), *[F.sum((F.col(f"tf{i}") > 0).cast("int")).alias(f"df{i}") for i in range(len(terms))])
-    scored = counted.crossJoin(F.broadcast(stats))  # one row
-    score, any_hit = F.lit(0.0), F.lit(False)
-    for i in range(len(terms)):
-        tf, df_ = F.col(f"tf{i}").cast("double"), F.col(f"df{i}")
-        idf = F.log(1 + (F.col("n") - df_ + 0.5) / (df_ + 0.5))
-        score = score + idf * tf * (K1 + 1) / (tf + K1 * (1 - B + B * F.col("dl") / F.col("avgdl")))
-        any_hit = any_hit | (tf > 0)
-    return scored.filter(any_hit).select("doc", score.alias("score"))
+    """(doc, score) of all documents that hold a query token: sum of idf * tf (k1+1) / (tf + k1 (1 - b + b dl / avgdl)). One pass that keeps a row for each hit of a query token, and
+    another over lengths alone; for many lookups build the postings once (TextIndex)."""
+    docs = df.filter(F.col(text).isNotNull()).select(F.col(key).alias("doc"), tokens(F.col(text)).alias("w")).select("doc", F.size("w").alias("dl"), "w")
+    terms = query_terms(query)
+    wanted = F.array(*[F.lit(t) for t in terms]).cast("array<string>")
+    hits = docs.select("doc", "dl", F.explode(F.filter("w", lambda t: F.array_contains(wanted, t))).alias("term")).groupBy("doc", "dl", "term").agg(F.count(F.lit(1)).alias("tf"))
+    return _scored(hits, docs.agg(F.count(F.lit(1)).alias("n"), F.avg("dl").alias("avgdl")))
+
+
+def _scored(hits: DataFrame, stats: DataFrame) -> DataFrame:
+    """hits (doc, dl, term, tf) of the query's terms; stats: one row (n, avgdl)."""
+    spread = hits.groupBy("term").agg(F.count(F.lit(1)).alias("df"))  # a row a query term
+    got = hits.join(F.broadcast(spread), "term").crossJoin(F.broadcast(stats))  # one row
+    idf = F.log(1 + (F.col("n") - F.col("df") + 0.5) / (F.col("df") + 0.5))
+    tf = F.col("tf").cast("double")
+    part = idf * tf * (K1 + 1) / (tf + K1 * (1 - B + B * F.col("dl") / F.col("avgdl")))
+    return got.groupBy("doc").agg(F.sum(part).alias("score"))
+
+
+class IndexMissing(LookupError):
+    pass
+
+
+class Indexes:
+    """A registry of text and vector indexes over node properties (H1, H5, H9). An index is written once, postings by a hash of their term, so that a lookup reads the files of its terms only."""
+
+    PARTS = 64
+
+    def __init__(self, spark, path: str):
+        self.spark, self.path = spark, path
+        self.texts: dict[tuple[str, str], dict] = {}
+        self.vectors: dict[tuple[str, str], DataFrame] = {}
+
+    def build_text(self, label: str, prop: str, df: DataFrame, key: str) -> dict:
+        """Write the postings of a property; rows without text are skipped. What is returned: indexed, terms, skipped."""
+        where = f"{self.path}/text-{label}-{prop}"
+        part = F.pmod(F.xxhash64("term"), F.lit(self.PARTS)).cast("int")
+        postings(df, key, prop).withColumn("part", part).repartition("part").sortWithinPartitions("part", "term", "doc").write.mode("overwrite").partitionBy("part").parquet(where)
+        sizes = df.agg(F.count(F.lit(1)).alias("rows"), F.count(prop).alias("n"), F.avg(F.size(tokens(F.col(prop)))).alias("avgdl")).first()
+        terms = self.spark.read.parquet(where).agg(F.count_distinct("term")).first()[0]
+        self.texts[label, prop] = {"path": where, "n": sizes["n"], "avgdl": sizes["avgdl"], "indexed": sizes["n"], "terms": terms, "skipped": sizes["rows"] - sizes["n"]}
+        return {k: self.texts[label, prop][k] for k in ("indexed", "terms", "skipped")}
+
+    def search_text(self, label: str, prop: str, query: str, top_k: int | None = None) -> DataFrame:
+        """(doc, score) from the postings of the query's terms; a property without an index raises."""
+        if (label, prop) not in self.texts:
+            raise IndexMissing(f"{label}.{prop} has no text index")
+        about, terms = self.texts[label, prop], query_terms(query)
+        parts = [r[0] for r in self.spark.createDataFrame([(t,) for t in terms], "term string").select(F.pmod(F.xxhash64("term"), F.lit(self.PARTS)).cast("int")).collect()]  # a row a query term
+        hits = self.spark.read.parquet(about["path"]).filter(F.col("part").isin(parts) & F.col("term").isin(terms)).select("doc", "dl", "term", "tf")
+        got = _scored(hits, self.spark.createDataFrame([(about["n"], about["avgdl"])], "n long, avgdl double"))
+        return got if top_k is None else got.orderBy(F.desc("score"), "doc").limit(top_k)
+
+    def build_vectors(self, label: str, prop: str, df: DataFrame, key: str, model: str = "chargram") -> dict:
+        made = embedder(model)(df.filter(F.col(prop).isNotNull()), key, prop)
+        self.vectors[label, prop] = VectorIndex(made, "doc", "vec", WIDTH)
+        return {"indexed": made.count(), "dim": WIDTH}
+
+    def search_vectors(self, label: str, prop: str, vec: list[float], k: int, exact: bool = True) -> DataFrame:
+        if (label, prop) not in self.vectors:
+            raise IndexMissing(f"{label}.{prop} has no vector store")
+        return self.vectors[label, prop].search(vec, k, exact)
+
+    def listed(self) -> DataFrame:
+        """(kind, label, property, indexed) of all indexes."""
+        rows = [("text", a, b, int(x["indexed"])) for (a, b), x in self.texts.items()] + [("vector", a, b, v.rows.count()) for (a, b), v in self.vectors.items()]
+        return self.spark.createDataFrame(rows, "kind string, label string, property string, indexed long")
+
+
+def embedder(model: str, width: int = WIDTH):
+    """The vectoriser of a model id; another id or width is refused (H4)."""
+    if model != "chargram" or width != WIDTH:
+        raise ValueError(f"no embedder {model!r} of width {width}; there is 'chargram' of width {WIDTH}")
+    return chargram_vectors
+
+
+class VectorIndex:
+    """Approximate cosine lookup by signs of random projections (H5): each of TABLES tables keys a vector by BITS signs; a lookup asks, in each table, the query's key and those that differ in one of its
+    least certain signs, and ranks what it meets by exact cosine. Every row is indexed; `exact` scans instead."""
+
+    TABLES, BITS, NEAR = 8, 8, 4
+
+    def __init__(self, df: DataFrame, key: str, vec: str, width: int):
+        import random
+
+        rng = random.Random(11)
+        self.planes = [[[rng.gauss(0, 1) for _ in range(width)] for _ in range(self.BITS)] for _ in range(self.TABLES)]
+        dot = lambda plane: F.aggregate(F.zip_with(F.col(vec), F.array(*[F.lit(x) for x in plane]), lambda p, q: p.cast("double") * q), F.lit(0.0), lambda s, v: s + v)
+        keys = [reduce(lambda a, b: a + b, [F.when(dot(p) > 0, 1 << i).otherwise(0) for i, p in enumerate(table)]) for table in self.planes]
+        self.rows = df.select(F.col(key).alias("doc"), F.col(vec).alias("vec"), F.array(*keys).alias("keys"))
+
+    def search(self, query: list[float], k: int, exact: bool = False) -> DataFrame:
+        rows = self.rows
+        if not exact:
+            meets = F.lit(False)
+            for t, table in enumerate(self.planes):
+                sides = [sum(a * b for a, b in zip(plane, query, strict=True)) for plane in table]
+                own = sum(1 << i for i, x in enumerate(sides) if x > 0)
+                unsure = sorted(range(self.BITS), key=lambda i: abs(sides[i]))[: self.NEAR]
+                meets = meets | F.col("keys")[t].isin(own, *[own ^ (1 << i) for i in unsure])
+            rows = rows.filter(meets)
+        return cosine_top_k(rows, "doc", "vec", query, k)
 
 
 def chargram_vectors(df: DataFrame, key: str, text: str) -> DataFrame:
@@ -76,5 +171,17 @@ def route(lexical: DataFrame, fallback) -> DataFrame:
     return fallback() if lexical.isEmpty() else lexical
 
 
+def find(df: DataFrame, key: str, text: str, query: str, k: int, keep: Column | None = None) -> DataFrame:
+    """(doc, score, route) of the best k: lexical hits first, on a miss the nearest character-gram vectors of the whole name; `keep` filters candidates by rank or placeholder (H8)."""
+    rows = df if keep is None else df.filter(keep)
+    lexical = bm25(rows, key, text, query)
+
+    def nearest():
+        asked = chargram_vectors(df.sparkSession.createDataFrame([(0, query)], "k int, t string"), "k", "t").first()["vec"]
+        return cosine_top_k(chargram_vectors(rows, key, text), "doc", "vec", asked, k).withColumn("route", F.lit("vector"))
+
+    return route(lexical.orderBy(F.desc("score"), "doc").limit(k).withColumn("route", F.lit("lexical")), nearest)
+
+
 def prefix(df: DataFrame, column: str, start: str, limit: int) -> DataFrame:
     return df.filter(F.col(column).startswith(start)).orderBy(column).limit(limit)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
@@ -10,11 +10,13 @@ def _filled(c: str) -> Column:
     return F.col(c).isNotNull() & (F.col(c).cast("string") != "")
 
 
-def first_wins(df: DataFrame, key: list[str], order: list) -> DataFrame:
-    """One row for each key, the first in order; rows with an empty key part go."""
+def first_wins(df: DataFrame, key: list[str], order: list[str]) -> DataFrame:
+    """One row for each key, the first in order (ascending columns, nulls first); rows with an empty key part go. A least struct: copies of a hot key meet as partial aggregates."""
     for c in key:
         df = df.filter(_filled(c))
-    return df.withColumn("_rank", F.row_number().over(Window.partitionBy(*key).orderBy(*order))).filter("_rank = 1").drop("_rank")
+    names = df.columns
+    best = df.groupBy(*key).agg(F.min_by(F.struct(*[F.col(f"`{c}`") for c in names if c not in key]), F.struct(*order)).alias("_row")) if set(names) - set(key) else df.select(*key).distinct()
+    return best.select(*[F.col(f"`{c}`") if c in key else F.col(f"_row.`{c}`").alias(c) for c in names])
 
 
 def full_dedupe(df: DataFrame, fields: list[str]) -> DataFrame:

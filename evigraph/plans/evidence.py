@@ -38,9 +38,16 @@ def d2(spark, sf):
 SELECT l_partkey AS part_id, count(DISTINCT s_nationkey) AS n_nations, count(DISTINCT l_suppkey) AS n_suppliers, count(DISTINCT l_orderkey) AS n_orders, count(*) AS n_reports
 FROM lineitem JOIN supplier ON l_suppkey = s_suppkey GROUP BY 1 HAVING count(DISTINCT s_nationkey) > 1 ORDER BY n_nations DESC, n_reports DESC, part_id LIMIT 25""")
 def d3(spark, sf):
-    e = reports(spark, sf).join(t(spark, sf, "supplier").select("s_suppkey", "s_nationkey"), F.col("l_suppkey") == F.col("s_suppkey"))
-    got = e.groupBy(F.col("l_partkey").alias("part_id")).agg(F.count_distinct("s_nationkey").alias("n_nations"), F.count_distinct("l_suppkey").alias("n_suppliers"), F.count_distinct("l_orderkey").alias("n_orders"), F.count(F.lit(1)).alias("n_reports"))
-    return got.filter("n_nations > 1").orderBy(F.desc("n_nations"), F.desc("n_reports"), "part_id").limit(25)
+    """Counts by (part, supplier) come first, so that distinct suppliers and nations are counted over pairs; distinct orders are only asked of the 25 parts shown."""
+    e = reports(spark, sf)
+    pairs = e.groupBy(F.col("l_partkey").alias("part_id"), "l_suppkey").agg(F.count(F.lit(1)).alias("n"))
+    nations = t(spark, sf, "supplier").select(F.col("s_suppkey").alias("l_suppkey"), "s_nationkey")
+    by_nation = pairs.join(nations, "l_suppkey").groupBy("part_id", "s_nationkey").agg(F.count(F.lit(1)).alias("k"), F.sum("n").alias("n"))
+    got = by_nation.groupBy("part_id").agg(F.count(F.lit(1)).alias("n_nations"), F.sum("k").alias("n_suppliers"), F.sum("n").alias("n_reports")).filter("n_nations > 1")
+    top = got.orderBy(F.desc("n_nations"), F.desc("n_reports"), "part_id").limit(25)
+    held = e.join(F.broadcast(top.select("part_id")), e["l_partkey"] == F.col("part_id"))  # 25 rows
+    known = held.join(nations, "l_suppkey", "left_semi")
+    return top.join(known.groupBy("part_id").agg(F.count_distinct("l_orderkey").alias("n_orders")), "part_id").orderBy(F.desc("n_nations"), F.desc("n_reports"), "part_id")
 
 
 TIERS = ["1-URGENT", "2-HIGH", "3-MEDIUM"]
@@ -164,14 +171,16 @@ WITH r AS (SELECT l_partkey AS k, count(DISTINCT l_suppkey) AS n_suppliers, coun
 SELECT r.k AS part_id, p_name, n_suppliers, n_returns, coalesce(o.n, 0) AS n_large, coalesce(d.n, 0) AS n_discounting
 FROM r JOIN part ON p_partkey = r.k LEFT JOIN o ON o.k = r.k LEFT JOIN d ON d.k = r.k ORDER BY n_suppliers DESC, n_returns DESC, part_id LIMIT 20""")
 def d10(spark, sf):
-    """One pass gives all three legs."""
-    returned = F.col("l_returnflag") == "R"
-    got = reports(spark, sf).groupBy(F.col("l_partkey").alias("part_id")).agg(
-        F.count_distinct(F.when(returned, F.col("l_suppkey"))).alias("n_suppliers"), F.count(F.when(returned, 1)).alias("n_returns"),
-        F.count_distinct(F.when(F.col("l_quantity") > 45, F.col("l_orderkey"))).alias("n_large"), F.count_distinct(F.when(F.col("l_discount") > 0.09, F.col("l_suppkey"))).alias("n_discounting"),
-    )
+    """Ranked by returns alone; the other legs are only asked of the 20 parts shown."""
+    e = reports(spark, sf)
+    pairs = e.filter("l_returnflag = 'R'").groupBy(F.col("l_partkey").alias("part_id"), "l_suppkey").agg(F.count(F.lit(1)).alias("n"))
+    got = pairs.groupBy("part_id").agg(F.count(F.lit(1)).alias("n_suppliers"), F.sum("n").alias("n_returns")).filter("n_suppliers >= 2")
     p = t(spark, sf, "part").select(F.col("p_partkey").alias("part_id"), "p_name")
-    return got.filter("n_suppliers >= 2").join(p, "part_id").select("part_id", "p_name", "n_suppliers", "n_returns", "n_large", "n_discounting").orderBy(F.desc("n_suppliers"), F.desc("n_returns"), "part_id").limit(20)
+    top = got.join(p, "part_id").orderBy(F.desc("n_suppliers"), F.desc("n_returns"), "part_id").limit(20)
+    legs = e.join(F.broadcast(top.select("part_id")), e["l_partkey"] == F.col("part_id")).groupBy("part_id").agg(  # 20 rows
+        F.count_distinct(F.when(F.col("l_quantity") > 45, F.col("l_orderkey"))).alias("n_large"), F.count_distinct(F.when(F.col("l_discount") > 0.09, F.col("l_suppkey"))).alias("n_discounting")
+    )
+    return top.join(legs, "part_id").select("part_id", "p_name", "n_suppliers", "n_returns", "n_large", "n_discounting").orderBy(F.desc("n_suppliers"), F.desc("n_returns"), "part_id")
 
 
 @query("d11_columns", "SELECT l_orderkey, l_linenumber, l_quantity, l_extendedprice, l_discount, l_tax FROM lineitem JOIN part ON l_partkey = p_partkey WHERE p_size = 7")
@@ -219,15 +228,16 @@ def labelled(spark, sf):
     return t(spark, sf, "documents").select("doc_id", "lang", "source", "n_chars").join(t(spark, sf, "labels"), "doc_id", "left")
 
 
-CONTRACT = audit.Rule("LABELLED", ("quality", "toxic"), "warn", (("n_chars", "bigint"),))
+CONTRACT = audit.Rule("LABELLED", ("quality", "toxic"), "warn", (("lang_code", "bigint"),))
 
 
 @query("d15_audit", """
-WITH d AS (SELECT * FROM documents LEFT JOIN labels USING (doc_id)) SELECT 'LABELLED.required_properties' AS rule, 'warn' AS severity, count(*) FILTER (WHERE quality IS NULL OR toxic IS NULL) AS violations, count(*) AS total,
+WITH d AS (SELECT *, CASE WHEN doc_id % 3 = 0 THEN lang ELSE doc_id::VARCHAR END AS lang_code FROM documents LEFT JOIN labels USING (doc_id)) SELECT 'LABELLED.required_properties' AS rule, 'warn' AS severity, count(*) FILTER (WHERE quality IS NULL OR toxic IS NULL) AS violations, 0 AS exempted, count(*) AS total,
 round(100.0::DOUBLE * count(*) FILTER (WHERE quality IS NULL OR toxic IS NULL) / count(*), 6) AS pct FROM d UNION ALL
-SELECT 'LABELLED.type_n_chars', 'warn', 0, count(*), 0.0::DOUBLE FROM d""")
+SELECT 'LABELLED.type_lang_code', 'warn', count(*) FILTER (WHERE lang_code IS NOT NULL AND try_cast(lang_code AS BIGINT) IS NULL), 0, count(*), round(100.0::DOUBLE * count(*) FILTER (WHERE lang_code IS NOT NULL AND try_cast(lang_code AS BIGINT) IS NULL) / count(*), 6) FROM d""")
 def d15(spark, sf):
-    return audit.audit(labelled(spark, sf), CONTRACT)
+    code = F.when(F.col("doc_id") % 3 == 0, F.col("lang")).otherwise(F.col("doc_id").cast("string"))
+    return audit.audit(labelled(spark, sf).withColumn("lang_code", code), CONTRACT)
 
 
 @query("d15_census", """
@@ -243,21 +253,25 @@ def d15c(spark, sf):
 
 
 @query("d15_source_census", """
-SELECT 'LABELLED.required_properties' AS rule, 'warn' AS severity, source, count(*) FILTER (WHERE quality IS NULL OR toxic IS NULL) AS violations, count(*) AS total,
+SELECT 'LABELLED.required_properties' AS rule, 'warn' AS severity, source, count(*) FILTER (WHERE quality IS NULL OR toxic IS NULL) AS violations, 0 AS exempted, count(*) AS total,
 round(100.0::DOUBLE * count(*) FILTER (WHERE quality IS NULL OR toxic IS NULL) / count(*), 6) AS pct FROM documents LEFT JOIN labels USING (doc_id) GROUP BY source""")
 def d15d(spark, sf):
     return audit.audit(labelled(spark, sf), audit.Rule("LABELLED", ("quality", "toxic")), ["source"])
 
 
 @query("d16_shortest_path", """
-WITH RECURSIVE e AS (SELECT 'c' || c_custkey AS a, 'n' || c_nationkey AS b FROM customer UNION SELECT 's' || s_suppkey, 'n' || s_nationkey FROM supplier UNION SELECT 'n' || n_nationkey, 'r' || n_regionkey FROM nation),
+WITH RECURSIVE goal AS (SELECT 's' || min(s_suppkey) AS a FROM supplier JOIN nation s ON s_nationkey = s.n_nationkey JOIN nation c ON c.n_regionkey = s.n_regionkey JOIN customer ON c_nationkey = c.n_nationkey WHERE c_custkey = 1),
+e AS (SELECT 'c' || c_custkey AS a, 'n' || c_nationkey AS b FROM customer UNION SELECT 's' || s_suppkey, 'n' || s_nationkey FROM supplier UNION SELECT 'n' || n_nationkey, 'r' || n_regionkey FROM nation),
 u AS (SELECT a, b FROM e UNION SELECT b, a FROM e),
-w AS (SELECT 'c1' AS node, 0 AS hops, ['c1'] AS path UNION ALL SELECT b, hops + 1, list_append(path, b) FROM w JOIN u ON a = node WHERE hops < 4 AND NOT list_contains(path, b) AND (b NOT LIKE 'c%') AND (b NOT LIKE 's%' OR b = 's1'))
-SELECT hops, array_to_string(min(path), '>') AS path FROM w WHERE node = 's1' GROUP BY hops ORDER BY hops LIMIT 1""")
+w AS (SELECT 'c1' AS node, 0 AS hops, ['c1'] AS path UNION ALL SELECT b, hops + 1, list_append(path, b) FROM w JOIN u ON a = node WHERE hops < 4 AND NOT list_contains(path, b) AND (b NOT LIKE 'c%') AND (b NOT LIKE 's%' OR b = (SELECT a FROM goal)))
+SELECT hops, array_to_string(min(path), '>') AS path FROM w WHERE node = (SELECT a FROM goal) GROUP BY hops ORDER BY hops LIMIT 1""")
 def d16(spark, sf):
     link = lambda df, a, p, b, q: df.select(F.concat(F.lit(p), a).alias("src"), F.concat(F.lit(q), b).alias("dst"))
     e = link(t(spark, sf, "customer"), "c_custkey", "c", "c_nationkey", "n").unionByName(link(t(spark, sf, "supplier"), "s_suppkey", "s", "s_nationkey", "n")).unionByName(link(t(spark, sf, "nation"), "n_nationkey", "n", "n_regionkey", "r"))
-    return shortest_path(e, "c1", "s1", 4).select("hops", F.array_join("path", ">").alias("path"))
+    n = t(spark, sf, "nation").select("n_nationkey", "n_regionkey")
+    home = t(spark, sf, "customer").filter("c_custkey = 1").join(n, F.col("c_nationkey") == F.col("n_nationkey")).select("n_regionkey")
+    near = t(spark, sf, "supplier").join(n.join(home, "n_regionkey", "left_semi"), F.col("s_nationkey") == F.col("n_nationkey")).agg(F.min("s_suppkey")).first()[0]
+    return shortest_path(e, "c1", f"s{near}", 4).select("hops", F.array_join("path", ">").alias("path"))
 
 
 @query("d16_evidence_path", """
@@ -271,10 +285,15 @@ def d16b(spark, sf):
 SELECT l_partkey AS part_id, l_suppkey AS supplier_id, string_agg(DISTINCT l_returnflag, '|' ORDER BY l_returnflag) AS flags, count(DISTINCT l_orderkey) AS n_orders, count(*) AS n_reports,
        count(DISTINCT l_returnflag) > 1 AS conflicting, count(DISTINCT l_orderkey) = 1 AS single FROM lineitem GROUP BY 1, 2 ORDER BY conflicting DESC, n_reports DESC, part_id, supplier_id LIMIT 50""")
 def d17(spark, sf):
-    """The flagship: reports of a pair stay apart, null flags are no flag."""
-    got = reports(spark, sf).groupBy(F.col("l_partkey").alias("part_id"), F.col("l_suppkey").alias("supplier_id")).agg(F.array_sort(F.collect_set("l_returnflag")).alias("f"), F.count_distinct("l_orderkey").alias("n_orders"), F.count(F.lit(1)).alias("n_reports"))
-    got = got.select("part_id", "supplier_id", F.array_join("f", "|").alias("flags"), "n_orders", "n_reports", (F.size("f") > 1).alias("conflicting"), (F.col("n_orders") == 1).alias("single"))
-    return got.orderBy(F.desc("conflicting"), F.desc("n_reports"), "part_id", "supplier_id").limit(50)
+    """The flagship: reports of a pair stay apart, null flags are no flag. Pairs are ranked by numbers that a hash aggregate holds; flags and orders are only gathered for the 50 shown."""
+    e, pair = reports(spark, sf), [F.col("l_partkey").alias("part_id"), F.col("l_suppkey").alias("supplier_id")]
+    code = F.when(F.col("l_returnflag").isNotNull(), F.xxhash64("l_returnflag"))
+    ranked = e.groupBy(*pair).agg(F.count(F.lit(1)).alias("n_reports"), (F.min(code) != F.max(code)).alias("c"))
+    order = [F.desc("conflicting"), F.desc("n_reports"), "part_id", "supplier_id"]
+    top = ranked.select("part_id", "supplier_id", "n_reports", F.coalesce("c", F.lit(False)).alias("conflicting")).orderBy(*order).limit(50)
+    held = e.select(*pair, "l_returnflag", "l_orderkey").join(F.broadcast(top.select("part_id", "supplier_id")), ["part_id", "supplier_id"])  # 50 rows
+    more = held.groupBy("part_id", "supplier_id").agg(F.array_join(F.array_sort(F.collect_set("l_returnflag")), "|").alias("flags"), F.count_distinct("l_orderkey").alias("n_orders"))
+    return top.join(more, ["part_id", "supplier_id"]).select("part_id", "supplier_id", "flags", "n_orders", "n_reports", "conflicting", (F.col("n_orders") == 1).alias("single")).orderBy(*order)
 
 
 @query("d18_competing", """
@@ -286,7 +305,7 @@ def d18(spark, sf):
     e = reports(spark, sf)
     s = t(spark, sf, "supplier").join(t(spark, sf, "nation"), F.col("s_nationkey") == F.col("n_nationkey")).select("s_suppkey", "n_name")
     joined = lambda c: F.array_join(F.array_sort(F.collect_set(c)), "|")
-    a = e.filter("l_returnflag = 'R'").join(s, F.col("l_suppkey") == F.col("s_suppkey")).groupBy(F.col("l_partkey").alias("part_id")).agg(joined("n_name").alias("nations"))
+    a = e.filter("l_returnflag = 'R'").select("l_partkey", "l_suppkey").distinct().join(s, F.col("l_suppkey") == F.col("s_suppkey")).groupBy(F.col("l_partkey").alias("part_id")).agg(joined("n_name").alias("nations"))
     o = t(spark, sf, "orders").select("o_orderkey", "o_custkey", "o_orderpriority")
     b = e.join(o, F.col("l_orderkey") == F.col("o_orderkey")).groupBy(F.col("l_partkey").alias("part_id")).agg(F.count_distinct("o_custkey").alias("n_customers"), joined("o_orderpriority").alias("tiers"), F.count(F.when((F.col("l_discount") > 0.09) & (F.col("l_quantity") > 40), 1)).alias("n_heavy"))
     return t(spark, sf, "part").select(F.col("p_partkey").alias("part_id")).join(a, "part_id").join(b, "part_id")

@@ -47,8 +47,8 @@ def prefix(spark, sf):
 SELECT 'SUPPLIER_IN' AS type, 'Nation' AS label, s_nationkey::VARCHAR AS node, count(*) AS n FROM supplier WHERE s_suppkey = 5 GROUP BY ALL
 UNION ALL SELECT 'SUPPLIES', 'Part', l_partkey::VARCHAR, count(*) FROM lineitem WHERE l_suppkey = 5 GROUP BY ALL""")
 def neighbourhood(spark, sf):
-    e = graph(spark, sf).slim_edges(["SUPPLIER_IN", "SUPPLIES"], undirected=True)
-    return e.filter("src_label = 'Supplier' and src = '5'").groupBy("type", F.col("dst_label").alias("label"), F.col("dst").alias("node")).agg(F.count(F.lit(1)).alias("n"))
+    e = graph(spark, sf).slim_edges(["SUPPLIER_IN", "SUPPLIES"], undirected=True, at=("Supplier", 5))
+    return e.groupBy("type", F.col("dst_label").alias("label"), F.col("dst").alias("node")).agg(F.count(F.lit(1)).alias("n"))
 
 
 @query("t_compare", """
@@ -189,9 +189,9 @@ def claim_merge(spark, sf):
     return tables.claim_merge(o, "o_custkey", "claim", "names", []).withColumn("names", F.array_join("names", "|"))
 
 
-@query("rec_unique_key", "SELECT p_name, min(p_partkey) AS p_partkey FROM part GROUP BY 1 HAVING count(DISTINCT p_partkey) = 1")
+@query("rec_unique_key", "SELECT p_name || ' ' || p_brand || ' ' || p_size AS spelled, min(p_partkey) AS p_partkey FROM part GROUP BY 1 HAVING count(DISTINCT p_partkey) = 1")
 def unique_key(spark, sf):
-    return reconcile.unique_keys(t(spark, sf, "part"), "p_name", "p_partkey")
+    return reconcile.unique_keys(t(spark, sf, "part").select(F.concat_ws(" ", "p_name", "p_brand", "p_size").alias("spelled"), "p_partkey"), "spelled", "p_partkey")
 
 
 @query("rec_ambiguous", "SELECT p_name, count(DISTINCT p_partkey) AS n, array_to_string(list_sort(list(DISTINCT p_partkey)), '|') AS candidates FROM part GROUP BY 1 HAVING count(DISTINCT p_partkey) > 1")
@@ -240,7 +240,7 @@ def disagreement(spark, sf):
     return reconcile.disagreement(a, t(spark, sf, "supplier").select(F.col("s_suppkey").alias("k"), F.col("s_nationkey").alias("v")), "k", "v")
 
 
-@query("pair_zip", "SELECT event_id, json_extract(props, '$.k')::BIGINT AS k FROM events")
+@query("json_flatten", "SELECT event_id, json_extract(props, '$.k')::BIGINT AS k FROM events")
 def json_flatten(spark, sf):
     return t(spark, sf, "events").select("event_id", F.from_json("props", "k long")["k"].alias("k"))
 
@@ -283,11 +283,17 @@ def fuse(spark, sf):
     return search.fuse([p.filter(F.col("p_name").contains("a")).select("doc", F.lit(1.0).cast("double").alias("score")), p.filter("p_size > 25").select("doc", F.lit(1.0).cast("double").alias("score"))], [1.0, 2.0])
 
 
-@query("two_stage_route", "SELECT p_partkey AS doc, 1.0::DOUBLE AS score FROM part WHERE p_partkey <= 5")
+@query("two_stage_route")
 def routed(spark, sf):
-    p = t(spark, sf, "part")
-    lexical = search.bm25(p, "p_partkey", "p_name", "nosuchword")
-    return search.route(lexical, lambda: p.filter("p_partkey <= 5").select(F.col("p_partkey").alias("doc"), F.lit(1.0).cast("double").alias("score")))
+    """A query no name holds a word of: all parts are ranked by their names' vectors."""
+    return search.find(t(spark, sf, "part"), "p_partkey", "p_name", "smal rng", 20).select("doc", F.round("score", 6).alias("score"), "route")
+
+
+@query("two_stage_hit", """
+WITH d AS (SELECT p_partkey, string_split(p_name, ' ') AS w FROM part WHERE p_size > 10), s AS (SELECT count(*) AS n, avg(len(w)) AS avgdl, count(*) FILTER (WHERE list_contains(w, 'ring')) AS df FROM d)
+SELECT p_partkey AS doc, round(ln(1 + (n - df + 0.5) / (df + 0.5)) * 2.2 / (1 + 1.2 * (0.25 + 0.75 * len(w) / avgdl)), 6)::DOUBLE AS score, 'lexical' AS route FROM d, s WHERE list_contains(w, 'ring') ORDER BY 2 DESC, 1 LIMIT 20""")
+def routed_hit(spark, sf):
+    return search.find(t(spark, sf, "part"), "p_partkey", "p_name", "ring", 20, F.col("p_size") > 10).select("doc", F.round("score", 6).alias("score"), "route")
 
 
 @query("expansion_factor", "SELECT l_returnflag AS source, count(*) AS n_edges, count(DISTINCT l_orderkey) AS n_records, round(count(*)::DOUBLE / count(DISTINCT l_orderkey), 6) AS factor FROM lineitem GROUP BY 1")

@@ -4,10 +4,12 @@ from __future__ import annotations
 
 import os
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
+from ..operators.rules import direction
+
 
 class MissingInput(FileNotFoundError):
     """A source's input is absent: the source is skipped, the build goes on."""
@@ -17,6 +19,15 @@ class MalformedInput(MissingInput):
     """The input is there but not what it should be: the source is skipped with the reason."""
 
 
+def reproduces(got: DataFrame, told: DataFrame, key: str, column: str) -> DataFrame:
+    """got, if it has for every key the number that the source tells (a sheet's own count, a headline); else the source is malformed (E6). Both are summaries of a few rows."""
+    both = got.select(key, F.col(column).alias("_got")).join(told.select(key, F.col(column).alias("_told")), key, "full_outer").filter(~F.col("_got").eqNullSafe(F.col("_told")))
+    bad = both.orderBy(key).limit(5).collect()
+    if bad:
+        raise MalformedInput("; ".join(f"{r[key]}: {r['_got']}, told {r['_told']}" for r in bad))
+    return got
+
+
 def locate(root: str, *layouts: str) -> str:
     for x in layouts:
         if os.path.exists(p := os.path.join(root, x)):
@@ -48,11 +59,89 @@ def tsv(spark: SparkSession, path: str, columns: list[str] | None = None) -> Dat
 
 
 def banner_csv(spark: SparkSession, path: str, null_value: str | None = None, limit: int | None = None) -> DataFrame:
-    """CSV whose first line may be a # banner; cells of any length."""
-    df = spark.read.csv(path, header=True, multiLine=True, escape='"', comment="#", nullValue=null_value, maxCharsPerColumn=-1)
+    """CSV whose first line may be a # banner; cells of any length. Only the banner is dropped: a data row that starts with # stays."""
+    first = spark.read.text(path).limit(1).collect()
+    options = dict(multiLine=True, escape='"', nullValue=null_value, maxCharsPerColumn=-1)
+    if first and first[0][0].startswith("#"):
+        head = spark.read.csv(path, header=False, comment="#", **options).limit(1).collect()[0]
+        names = [str(c) for c in head if c is not None]
+        rows = spark.read.csv(path, header=False, schema=", ".join(f"`{n}` string" for n in names), enforceSchema=True, **options)
+        same = F.lit(True)
+        for n in names:
+            same = same & F.col(f"`{n}`").eqNullSafe(F.lit(n))
+        df = rows.filter(~same & ~F.coalesce(F.col(f"`{names[0]}`") == F.lit(first[0][0].split(",")[0]), F.lit(False)))
+    else:
+        df = spark.read.csv(path, header=True, **options)
     return df if limit is None else df.limit(limit)
 
 
+def release(df: DataFrame, releases: dict[str, list[str]]) -> str:
+    """The release whose columns the table has, the one that asks for most first (A4)."""
+    for name, columns in sorted(releases.items(), key=lambda kv: -len(kv[1])):
+        if set(columns) <= set(df.columns):
+            return name
+    raise MalformedInput(f"columns of no known release: {', '.join(df.columns)}")
+
+
+def taxdump(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
+    """nodes and names, and merged and deleted if they are there: short lines and ids that are no numbers are skipped (A2)."""
+    def read(name: str, columns: list[str], numbers: list[str], needed: bool = True):
+        try:
+            return whole_numbers(dump(spark, f"{folder}/{name}.dmp", columns), *numbers)
+        except Exception as e:
+            if "PATH_NOT_FOUND" not in str(e):
+                raise
+            if needed:
+                raise MissingInput(f"{name}.dmp under {folder}") from e
+            return spark.createDataFrame([], ", ".join(f"{c} bigint" for c in columns))
+
+    names = read("names", ["tax_id", "name", "unique_name", "name_class"], ["tax_id"])
+    return {
+        "nodes": read("nodes", ["tax_id", "parent_id", "rank"], ["tax_id", "parent_id"]),
+        "names": names.withColumn("seq", F.monotonically_increasing_id()),
+        "merged": read("merged", ["old_id", "new_id"], ["old_id", "new_id"], needed=False),
+        "deleted": read("delnodes", ["tax_id"], ["tax_id"], needed=False),
+    }
+
+
+#: Levels a nested term tree is read to in one record; deeper trees are refused, not cut.
+TREE_DEPTH = 12
+
+
+def term_tree_type(depth: int = TREE_DEPTH) -> str:
+    """The type of a term and its descendants, as nested arrays."""
+    return f"struct<term:string,level:string{',descendants:struct<descendant:array<' + term_tree_type(depth - 1) + '>>' if depth else ',descendants:string'}>"
+
+
+def term_paths(tree: Column, depth: int = TREE_DEPTH) -> Column:
+    """array<array<string>>: every root-to-node path of a term tree, a node before what is below it."""
+    if not depth:
+        return F.when(tree["descendants"].isNotNull(), F.raise_error(F.lit("a term tree is deeper than it is read")).cast("array<array<string>>")).otherwise(F.array(F.array(tree["term"])))
+    below = F.flatten(F.transform(F.coalesce(tree["descendants"]["descendant"], F.array().cast(f"array<{term_tree_type(depth - 1)}>")), lambda d: term_paths(d, depth - 1)))
+    return F.when(tree.isNotNull(), F.concat(F.array(F.array(tree["term"])), F.transform(below, lambda p: F.concat(F.array(tree["term"]), p))))
+
+
+def flagged_columns(df: DataFrame, key: str, header: dict[str, str], kind: str) -> DataFrame:
+    """(key, labels): of the columns whose sub-heading is `kind`, the labels of those whose cell is 1 (A16). header: column -> sub-heading."""
+    wide = [c for c, k in header.items() if k == kind and c in df.columns]
+    if not wide:
+        raise MalformedInput(f"no {kind!r} column")
+    cells = df.select(key, *wide).unpivot([key], wide, "label", "cell").filter(F.col("cell").cast("double") == 1)
+    return df.select(key).distinct().join(cells.groupBy(key).agg(F.array_sort(F.collect_set("label")).alias("labels")), key, "left").withColumn("labels", F.coalesce("labels", F.array().cast("array<string>")))
+
+
+def claims(df: DataFrame, columns: dict[str, str], keep: Column | None = None) -> DataFrame:
+    """A reference set as (microbe, disease, direction, and any other named column), distinct; directions in this graph's words (A20). columns: our name -> theirs."""
+    rows = (df if keep is None else df.filter(keep)).select(*[F.trim(F.col(theirs).cast("string")).alias(ours) for ours, theirs in columns.items()])
+    rows = rows.withColumn("direction", direction(F.col("direction")))
+    return rows.filter("microbe != '' and disease != ''").distinct()
+
+
+def id_bridge(df: DataFrame, column: str) -> DataFrame:
+    """The distinct ids of a column: the small side of a semi-join."""
+    return df.select(F.trim(column).alias("id")).filter("id != ''").distinct()
+
+
 def json_by_id(spark: SparkSession, path: str, value: str) -> DataFrame:
     """(id, value) of one big JSON object; keys that start with _ are about the file."""
     whole = spark.read.text(path, wholetext=True).select(F.explode(F.from_json("value", "map<string,string>")).alias("id", "json"))
@@ -165,8 +254,9 @@ class WorkbookReader(DataSourceReader):
                     yield n, cells
 
 
-def workbook(spark: SparkSession, path: str, sheet: str | None = None, header: str | None = None) -> DataFrame:
-    """Rows under the first row that holds the header cell, by its names; all text. Without a header: (row, cells)."""
+def workbook(spark: SparkSession, path: str, sheet: str | None = None, header: str | None = None, subheader: dict[str, str] | None = None, skip: str | None = None) -> DataFrame:
+    """Rows under the first row that holds the header cell, by its names; all text. Without a header: (row, cells). subheader: name -> what the row under the header must hold
+    there, else the book is malformed; skip: a column without which a row is a sub-heading and goes. The path is one that the executors can open: a shared folder on a cluster."""
     spark.dataSource.register(WorkbookSource)
     reader = spark.read.format("evigraph_xlsx").option("path", path)
     rows = (reader.option("sheet", sheet) if sheet else reader).load()
@@ -176,4 +266,14 @@ def workbook(spark: SparkSession, path: str, sheet: str | None = None, header: s
     if not top:
         raise MalformedInput(f"{path}: no row with {header!r}")
     names = [(i, n.strip()) for i, n in enumerate(top[0]["cells"]) if n and n.strip()]
-    return rows.filter(F.col("row") > top[0]["row"]).select(*[F.get("cells", F.lit(i)).alias(n) for i, n in names])
+    first = top[0]["row"]
+    if subheader:
+        under = rows.filter(F.col("row") == first + 1).limit(1).collect()
+        place = {n: i for i, n in names}
+        for name, want in subheader.items():
+            got = under[0]["cells"][place[name]] if under and name in place and place[name] < len(under[0]["cells"]) else None
+            if got != want:
+                raise MalformedInput(f"{path}: {name!r} stands over {got!r}, not {want!r}")
+        first += 1
+    out = rows.filter(F.col("row") > first).select(*[F.get("cells", F.lit(i)).alias(n) for i, n in names])
+    return out if skip is None else out.filter(F.col(f"`{skip}`").isNotNull() & (F.trim(F.col(f"`{skip}`")) != ""))
