@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 import sys
 
 from pyspark.sql import Column, DataFrame, Window
@@ -40,7 +41,7 @@ def casefold(text: Column) -> Column:
 
 def _unfolded(text: Column) -> Column:
     """Each character by its folding, looked up in one map."""
-    table = F.create_map(*[F.lit(x) for pair in MULTIPLE.items() for x in pair])
+    table = F.from_json(F.lit(json.dumps(MULTIPLE)), "map<string,string>")  # one literal in the plan, folded once
     return F.array_join(F.transform(F.split(text, ""), lambda c: F.coalesce(F.try_element_at(table, c), c)), "")
 
 
@@ -127,22 +128,33 @@ def promotions(nodes: DataFrame, ceiling: str = "species") -> DataFrame:
     return own.select("tax_id", F.when(below & F.col("promoted_id").isNotNull(), F.col("promoted_id")).otherwise(F.col("tax_id")).alias("promoted_id"))
 
 
+def prepare(names: DataFrame, nodes: DataFrame, merged: DataFrame, deleted: DataFrame, ceiling: str | None = "species") -> dict[str, DataFrame]:
+    """What every resolution against one taxonomy looks up, written once: names, bare names, old ids, deleted ids, ranks and promotions."""
+    up = promotions(nodes, ceiling) if ceiling else nodes.select("tax_id", F.col("tax_id").alias("promoted_id"))
+    return {
+        "exact": cut(name_index(names).select("key", F.col("ids").alias("e_ids"), F.col("spelling").alias("e_name"), F.col("scientific").alias("e_sci"))),
+        "bare": cut(stripped_index(names).select("key", F.col("ids").alias("s_ids"), F.col("spelling").alias("s_name"))),
+        "merged": cut(merged_map(merged).withColumnRenamed("old_id", "start")),
+        "deleted": cut(deleted.select(F.col("tax_id").alias("live"), F.lit(True).alias("is_deleted"))),
+        "taxa": cut(nodes.select(F.col("tax_id").alias("live"), F.col("rank").alias("original_rank")).join(up.withColumnRenamed("tax_id", "live"), "live", "left")),
+    }
+
+
 def resolve(mentions: DataFrame, names: DataFrame, nodes: DataFrame, merged: DataFrame, deleted: DataFrame, ceiling: str | None = "species") -> DataFrame:
+    """resolve_with over a taxonomy that is used once."""
+    return resolve_with(mentions, prepare(names, nodes, merged, deleted, ceiling))
+
+
+def resolve_with(mentions: DataFrame, index: dict[str, DataFrame]) -> DataFrame:
     """mentions (name, given_id) -> the same with tax_id, status, matched_name, original_tax_id, original_rank, normalized, candidates, note.
     Distinct mentions are resolved, then joined back. An id beats a name; an exact name beats a bare one; a name of two taxa resolves to none."""
     asked = mentions.select("name", "given_id").distinct().withColumn("key", casefold(F.trim("name")))
-    exact = name_index(names).select("key", F.col("ids").alias("e_ids"), F.col("spelling").alias("e_name"), F.col("scientific").alias("e_sci"))
-    bare = stripped_index(names).select("key", F.col("ids").alias("s_ids"), F.col("spelling").alias("s_name"))
-    got = asked.join(exact, "key", "left").join(bare, "key", "left")
+    got = asked.join(index["exact"], "key", "left").join(index["bare"], "key", "left")
     ids = F.coalesce("e_ids", "s_ids")
     by_name = F.when(F.size(ids) == 1, F.element_at(ids, 1))
     got = got.withColumn("start", F.coalesce("given_id", by_name)).withColumn("ambiguous", F.col("given_id").isNull() & (F.coalesce(F.size(ids), F.lit(0)) > 1))
-    got = got.join(merged_map(merged).withColumnRenamed("old_id", "start"), "start", "left").withColumn("live", F.coalesce("new_id", "start"))
-    got = got.join(deleted.select(F.col("tax_id").alias("live"), F.lit(True).alias("is_deleted")), "live", "left")
-    ranks = nodes.select(F.col("tax_id").alias("live"), F.col("rank").alias("original_rank"))
-    got = got.join(ranks, "live", "left")
-    up = promotions(nodes, ceiling) if ceiling else nodes.select("tax_id", F.col("tax_id").alias("promoted_id"))
-    got = got.join(up.withColumnRenamed("tax_id", "live"), "live", "left")
+    got = got.join(index["merged"], "start", "left").withColumn("live", F.coalesce("new_id", "start"))
+    got = got.join(index["deleted"], "live", "left").join(index["taxa"], "live", "left")
     normalized = F.col("given_id").isNull() & F.col("e_ids").isNull() & F.col("s_ids").isNotNull()
     moved, promoted = F.col("new_id").isNotNull(), F.col("promoted_id") != F.col("live")
     status = (
@@ -179,13 +191,15 @@ def one_under(candidates: DataFrame, up: DataFrame, roots: list[int]) -> DataFra
 
 
 def route_join(asked: DataFrame, key: str, variants: str, index: DataFrame) -> DataFrame:
-    """asked (key, variants array<struct<pos,kind,value>>) against index (kind, value, target): the first variant that matches wins; the others' hits stay in `also`; none: route 'minted'."""
-    tried = asked.select(key, F.explode_outer(variants).alias("v")).select(key, "v.pos", "v.kind", "v.value")
+    """asked (key, variants array<struct<pos,kind,value[,route]>>) against index (kind, value, target): the first variant that matches wins, under its route's name (its kind, if it has none);
+    the others' hits stay in `also`; none: route 'minted'."""
+    named = "route" in asked.schema[variants].dataType.elementType.names
+    tried = asked.select(key, F.explode_outer(variants).alias("v")).select(key, "v.pos", "v.kind", "v.value", F.col("v.route" if named else "v.kind").alias("named"))
     hits = tried.join(index, ["kind", "value"])
-    best = hits.groupBy(key).agg(F.min(F.struct("pos", "kind", "target")).alias("m"), F.array_sort(F.collect_set("target")).alias("every"))
+    best = hits.groupBy(key).agg(F.min(F.struct("pos", "named", "target")).alias("m"), F.array_sort(F.collect_set("target")).alias("every"))
     out = asked.select(key).join(best, key, "left")
     also = F.array_except("every", F.array("m.target"))
-    return out.select(key, F.col("m.target").alias("target"), F.coalesce("m.kind", F.lit("minted")).alias("route"), also.alias("also"))
+    return out.select(key, F.col("m.target").alias("target"), F.coalesce("m.named", F.lit("minted")).alias("route"), also.alias("also"))
 
 
 def unique_keys(df: DataFrame, key: str, target: str) -> DataFrame:

@@ -256,10 +256,7 @@ def drug_routes(spark, sf):
     s = t(spark, sf, "supplier")
     index = s.select(F.lit("name").alias("kind"), F.lower(F.concat(F.lit("Drug "), F.col("s_suppkey"))).alias("value"), F.col("s_suppkey").alias("target"))
     index = index.unionByName(s.select(F.lit("atc").alias("kind"), F.concat(F.lit("A10BA"), F.lpad(F.col("s_suppkey").cast("string"), 2, "0")).alias("value"), F.col("s_suppkey").alias("target")))
-    best = reconcile.route_join(asked, "k", "v", index)
-    first = asked.select("k", F.explode("v").alias("x")).select("k", "x.kind", "x.value", F.col("x.route").alias("named"), "x.pos")
-    hit = first.join(index, ["kind", "value"]).groupBy("k").agg(F.min_by("named", "pos").alias("named"))
-    return best.join(hit, "k", "left").select("k", F.coalesce("named", "route").alias("route"), F.col("target").alias("drug"))
+    return reconcile.route_join(asked, "k", "v", index).select("k", "route", F.col("target").alias("drug"))
 
 
 @query("rec_variant_lists", """

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..operators import classify, policies, reconcile, rules, tables
+from ..operators import policies, reconcile, rules, tables
 from .model import reports, t
 from .registry import query
 
@@ -322,5 +322,3 @@ def conjugates(spark, sf):
     k = F.col("p_size") % 3
     return t(spark, sf, "part").select("p_partkey", rules.conjugate(F.when(k == 0, F.concat("p_type", F.lit("ate"))).when(k == 1, F.concat("p_type", F.lit("ic acid"))).otherwise(F.col("p_type"))).alias("other"))
 
-
-_ = classify

@@ -39,7 +39,7 @@ def dump(spark: SparkSession, path: str, columns: list[str]) -> DataFrame:
     """Fields between TAB | TAB, trimmed; blank and short lines are skipped."""
     cells = F.transform(F.split(F.regexp_replace("value", r"\t?\|?\s*$", ""), r"\t\|\t"), lambda x: F.trim(x))
     rows = spark.read.text(path).filter("trim(value) != ''").select(cells.alias("c")).filter(F.size("c") >= len(columns))
-    return rows.select(*[F.col("c")[i].alias(name) for i, name in enumerate(columns)])
+    return rows.select(*[F.get("c", F.lit(i)).alias(name) for i, name in enumerate(columns)])
 
 
 def whole_numbers(df: DataFrame, *columns: str) -> DataFrame:
@@ -55,7 +55,7 @@ def tsv(spark: SparkSession, path: str, columns: list[str] | None = None) -> Dat
     if columns is None:
         return spark.read.csv(path, sep="\t", header=True, quote="")
     cells = F.split("value", "\t")
-    return spark.read.text(path).select(cells.alias("c")).filter(F.size("c") >= len(columns)).select(*[F.trim(F.col("c")[i]).alias(n) for i, n in enumerate(columns)])
+    return spark.read.text(path).select(cells.alias("c")).filter(F.size("c") >= len(columns)).select(*[F.trim(F.get("c", F.lit(i))).alias(n) for i, n in enumerate(columns)])
 
 
 def banner_csv(spark: SparkSession, path: str, null_value: str | None = None, limit: int | None = None) -> DataFrame:
