@@ -104,10 +104,11 @@ def embedder(model: str, width: int = WIDTH):
 
 
 class VectorIndex:
-    """Approximate cosine lookup by signs of random projections (H5): each of TABLES tables keys a vector by BITS signs; a lookup asks, in each table, the query's key and those that differ in one of its
-    least certain signs, and ranks what it meets by exact cosine. Every row is indexed; `exact` scans instead."""
+    """Approximate cosine lookup by signs of random projections (H5): each of TABLES tables keys a vector by BITS signs; a lookup meets, in each table, the rows whose key differs from the query's in NEAR signs at
+    most, and ranks what it meets by exact cosine. Every row is indexed; `exact` scans instead. On the test vectors, whose nearest ten are hardly nearer than others (cosine 0.33), recall is 0.97 and
+    six rows in ten are ranked; a test holds recall at 0.9."""
 
-    TABLES, BITS, NEAR = 8, 8, 4
+    TABLES, BITS, NEAR = 16, 10, 2
 
     def __init__(self, df: DataFrame, key: str, vec: str, width: int):
         import random
@@ -123,10 +124,8 @@ class VectorIndex:
         if not exact:
             meets = F.lit(False)
             for t, table in enumerate(self.planes):
-                sides = [sum(a * b for a, b in zip(plane, query, strict=True)) for plane in table]
-                own = sum(1 << i for i, x in enumerate(sides) if x > 0)
-                unsure = sorted(range(self.BITS), key=lambda i: abs(sides[i]))[: self.NEAR]
-                meets = meets | F.col("keys")[t].isin(own, *[own ^ (1 << i) for i in unsure])
+                own = sum(1 << i for i, plane in enumerate(table) if sum(a * b for a, b in zip(plane, query, strict=True)) > 0)
+                meets = meets | (F.bit_count(F.col("keys")[t].bitwiseXOR(F.lit(own))) <= self.NEAR)
             rows = rows.filter(meets)
         return cosine_top_k(rows, "doc", "vec", query, k)
 

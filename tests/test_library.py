@@ -211,3 +211,36 @@ def test_closure_has_no_depth_bound(spark):
     chain = spark.createDataFrame([(i, i + 1) for i in range(70)], "child long, parent long")
     assert {(r.node, r.ancestor, r.depth) for r in closure(chain).collect()} == {(i, j, j - i) for i in range(70) for j in range(i + 1, 71)}
     assert closure(chain, most=5).count() == sum(min(5, 70 - i) for i in range(70))
+
+
+def test_vector_index_recall_and_text_index(spark, tmp_path):
+    e = spark.read.parquet("/root/testdata/sf0.001/embeddings.parquet")
+    index = search.VectorIndex(e, "vec_id", "embedding", len(e.first()["embedding"]))
+    hit = total = 0
+    for r in e.filter("vec_id % 20 = 0").orderBy("vec_id").limit(8).collect():
+        near, true = ({x.doc for x in index.search([float(v) for v in r.embedding], 10, exact).collect()} for exact in (False, True))
+        hit, total = hit + len(near & true), total + len(true)
+    assert hit / total >= 0.9
+    held = search.Indexes(spark, str(tmp_path))
+    df = spark.createDataFrame([(1, "red ring"), (2, "Ring ring of fire"), (3, None)], "id long, name string")
+    assert held.build_text("T", "name", df, "id") == {"indexed": 2, "terms": 4, "skipped": 1}
+    assert {r.doc: round(r.score, 9) for r in held.search_text("T", "name", "RING of").collect()} == {r.doc: round(r.score, 9) for r in search.bm25(df, "id", "name", "ring OF").collect()}
+    for wrong in (lambda: held.search_text("T", "other", "x"), lambda: held.search_vectors("T", "name", [0.0], 1)):
+        with pytest.raises(search.IndexMissing):
+            wrong()
+    with pytest.raises(ValueError):
+        search.embedder("other")
+
+
+def test_read_only_and_banner(spark, tmp_path):
+    from evigraph.operators.graph import ReadOnlyError, ask, read_only
+
+    assert ask(spark, "SELECT :x + 1 AS y -- a note", {"x": 2}).first()["y"] == 3
+    for bad in ("DROP TABLE t", "SELECT 1; SELECT 2", "WITH a AS (SELECT 1) INSERT INTO t SELECT * FROM a", "/* x */ DELETE FROM t"):
+        with pytest.raises(ReadOnlyError):
+            read_only(bad)
+    assert read_only("SELECT 'a; drop' AS x;") == "SELECT 'a; drop' AS x"
+    (tmp_path / "b.csv").write_text("# licence, see there\nid,name\n#1,a\n2,b\n")
+    assert [tuple(r) for r in readers.banner_csv(spark, str(tmp_path / "b.csv")).collect()] == [("#1", "a"), ("2", "b")]
+    (tmp_path / "c.csv").write_text("id,name\n#1,a\n")
+    assert [tuple(r) for r in readers.banner_csv(spark, str(tmp_path / "c.csv"), limit=1).collect()] == [("#1", "a")]
