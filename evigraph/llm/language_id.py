@@ -212,7 +212,7 @@ def fit(rows: list[tuple[str, str]], steps: int = 30):
         i += many
         if n:
             lengths.append(n)
-    ids, gold, lengths = np.array(ids), np.array(gold), np.array(lengths)
+    ids, gold, lengths = np.array(ids, np.int32), np.array(gold, np.int16), np.array(lengths)
     starts = np.cumsum(lengths) - lengths
     L = len(labels)
     feats, begin = word_features(list(words))
@@ -228,17 +228,20 @@ def fit(rows: list[tuple[str, str]], steps: int = 30):
     seen_first = np.bincount(gold[starts], minlength=L).astype(float)
     gw, gt, gf = np.full_like(weights, 1e-2), np.full_like(trans, 1e-2), np.full_like(first, 1e-2)
     for _ in range(steps):
-        e = scaled(np.add.reduceat(weights[feats], begin, axis=0))[ids]
-        post, alpha, beta = forward_backward(e, starts, lengths, np.exp(trans), np.exp(first))
+        e = scaled(np.add.reduceat(weights.astype(np.float32)[feats], begin, axis=0))[ids]  # 32 bits: the driver holds some arrays of all words
+        post, alpha, beta = forward_backward(e, starts, lengths, np.exp(trans).astype(np.float32), np.exp(first).astype(np.float32))
         want = np.zeros((len(words), L))
         for k in range(L):
             want[:, k] = np.bincount(ids, weights=post[:, k], minlength=len(words))
         gap = seen - want
         grad = np.stack([np.bincount(feats, weights=gap[owner, k], minlength=1 << BITS) for k in range(L)], axis=1) - 0.05 * weights
-        left, right, factor = alpha[into - 1], e[into] * beta[into], np.exp(trans)
+        e *= beta
+        del beta
+        left, right, factor = alpha[into - 1], e[into], np.exp(trans).astype(np.float32)
         left /= ((left @ factor) * right).sum(axis=1, keepdims=True)  # each pair's shares add up to 1
         grad_t = seen_trans - factor * (left.T @ right) - 0.05 * trans
         grad_f = seen_first - post[starts].sum(axis=0) - 0.05 * first
+        del post, alpha, e, left, right
         for value, g, h in ((weights, grad, gw), (trans, grad_t, gt), (first, grad_f, gf)):
             h += g * g
             value += 0.3 * g / np.sqrt(h)
@@ -336,7 +339,10 @@ def train(docs: DataFrame, sample: int = SAMPLE):
     rows = sorted((r[0], r[1]) for r in rows)
     if not rows or not any(WORD.search(lowered(t)) for t, _ in rows):
         return [], np.zeros((1 << BITS, 0), np.float32), np.zeros((0, 0)), np.zeros(0), None
-    return *fit(rows), evidence(rows)
+    proof = evidence(rows)
+    model = fit(rows)
+    give_back()
+    return *model, proof
 
 
 def _labelled(tagger: Tagger, texts: list) -> list[tuple]:
