@@ -1,6 +1,8 @@
 """Near-dedup and the pipeline against brute force."""
 
 import random
+import struct
+import zlib
 from collections import Counter, defaultdict
 
 import pyarrow as pa
@@ -134,3 +136,17 @@ def test_pipeline_stage_by_stage(spark, tmp_path, rows):
     assert kept[3] == {i for i in kept[2] if item not in texts[i]}
     out = corpus_pipeline.run(spark, str(tmp_path)).collect()
     assert {r.doc_id for r in out} == kept[3]
+    from tokenizers import Tokenizer
+
+    from evigraph.llm.tokens import default_path
+
+    coder, cover, filled = Tokenizer.from_file(default_path()), defaultdict(list), Counter()
+    for r in out:
+        ids = [*coder.encode(texts[r.doc_id], add_special_tokens=False).ids, 1]
+        assert r.doc_tokens == len(ids) and r.ids_crc32 == zlib.crc32(struct.pack(f"<{r.length}I", *ids[r.start : r.start + r.length]))
+        cover[r.doc_id] += range(r.start, r.start + r.length)
+        filled[r.sequence_id] += r.length
+    assert all(sorted(x) == list(range(len(x))) for x in cover.values()) and all(n == 2048 or n & (n - 1) == 0 for n in filled.values())
+    spark.createDataFrame([], schema).write.mode("overwrite").parquet(str(tmp_path / "none" / "documents.parquet"))
+    spark.createDataFrame([(1, item)], "item_id long, text string").write.parquet(str(tmp_path / "none" / "benchmark.parquet"))
+    assert corpus_pipeline.run(spark, str(tmp_path / "none")).count() == 0
