@@ -1,6 +1,9 @@
 """The corpus pipeline: language ID, exact dedup, near-dedup, benchmark decontamination, packing.
 
 Each stage reads what its predecessor kept and applies one operator's decisions; all but the last return the columns of documents.
+
+A null or letterless text goes in the first stage. Of repeated rows and equal texts one stays, a null id last; an empty table gives no pieces; very long texts are read whole; extra columns are carried to
+the last stage, whatever their names.
 """
 
 from __future__ import annotations
@@ -10,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from evigraph.llm import decontaminate, exact_dedup, language_id, near_dedup, packing
 from evigraph.llm.common import materialize
 
-#: SQL expresses neither the field, the samples, the alignment nor the tokenizer; tests hold run() against brute force.
+#: SQL expresses neither the field, the samples, the alignment nor the tokenizer; tests hold each stage and the pieces of run() against brute force.
 ORACLE_SQL = None
 
 
