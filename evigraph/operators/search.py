@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -58,7 +59,7 @@ class Indexes:
     def __init__(self, spark, path: str):
         self.spark, self.path = spark, path
         self.texts: dict[tuple[str, str], dict] = {}
-        self.vectors: dict[tuple[str, str], DataFrame] = {}
+        self.vectors: dict[tuple[str, str], VectorIndex] = {}
 
     def build_text(self, label: str, prop: str, df: DataFrame, key: str) -> dict:
         """Write the postings of a property; rows without text are skipped. What is returned: indexed, terms, skipped."""
@@ -81,9 +82,11 @@ class Indexes:
         return got if top_k is None else got.orderBy(F.desc("score"), "doc").limit(top_k)
 
     def build_vectors(self, label: str, prop: str, df: DataFrame, key: str, model: str = "chargram") -> dict:
+        """Write the vectors of a property and their keys, so that a lookup neither embeds nor projects again."""
+        where = f"{self.path}/vector-{label}-{prop}"
         made = embedder(model)(df.filter(F.col(prop).isNotNull()), key, prop)
-        self.vectors[label, prop] = VectorIndex(made, "doc", "vec", WIDTH)
-        return {"indexed": made.count(), "dim": WIDTH}
+        self.vectors[label, prop] = VectorIndex(made, "doc", "vec", WIDTH).written(where)
+        return {"indexed": self.vectors[label, prop].rows.count(), "dim": WIDTH}
 
     def search_vectors(self, label: str, prop: str, vec: list[float], k: int, exact: bool = True) -> DataFrame:
         if (label, prop) not in self.vectors:
@@ -103,6 +106,24 @@ def embedder(model: str, width: int = WIDTH):
     return chargram_vectors
 
 
+def _signs(planes: list[list[list[float]]], width: int):
+    """The keys of a vector, a number a table: one matrix product an Arrow batch, as lambdas over arrays are interpreted element by element. A null vector, or one of another width, has keys 0."""
+
+    def keys(vec: pd.Series) -> pd.Series:
+        import numpy as np
+
+        flat = np.array(planes, np.float64)
+        tables, bits, _ = flat.shape
+        rows = np.zeros((len(vec), width))
+        for i, v in enumerate(vec):
+            if v is not None and len(v) == width:
+                rows[i] = v
+        signs = (rows @ flat.reshape(tables * bits, width).T > 0).reshape(len(vec), tables, bits)
+        return pd.Series(list((signs * (1 << np.arange(bits)[::-1])).sum(axis=2).astype(np.int32)))
+
+    return F.pandas_udf(keys, "array<int>")
+
+
 class VectorIndex:
     """Approximate cosine lookup by signs of random projections (H5): each of TABLES tables keys a vector by BITS signs; a lookup meets, in each table, the rows whose key differs from the query's in NEAR signs at
     most, and ranks what it meets by exact cosine. Every row is indexed; `exact` scans instead. On the test vectors, whose nearest ten are hardly nearer than others (cosine 0.33), recall is 0.97 and
@@ -115,16 +136,20 @@ class VectorIndex:
 
         rng = random.Random(11)
         self.planes = [[[rng.gauss(0, 1) for _ in range(width)] for _ in range(self.BITS)] for _ in range(self.TABLES)]
-        dot = lambda plane: F.aggregate(F.zip_with(F.col(vec), F.array(*[F.lit(x) for x in plane]), lambda p, q: p.cast("double") * q), F.lit(0.0), lambda s, v: s + v)
-        keys = [reduce(lambda a, b: a + b, [F.when(dot(p) > 0, 1 << i).otherwise(0) for i, p in enumerate(table)]) for table in self.planes]
-        self.rows = df.select(F.col(key).alias("doc"), F.col(vec).alias("vec"), F.array(*keys).alias("keys"))
+        self.rows = df.select(F.col(key).alias("doc"), F.col(vec).alias("vec"), _signs(self.planes, width)(F.col(vec)).alias("keys"))
+
+    def written(self, path: str) -> VectorIndex:
+        """The same index, its rows read from where they are written."""
+        self.rows.write.mode("overwrite").parquet(path)
+        self.rows = self.rows.sparkSession.read.parquet(path)
+        return self
 
     def search(self, query: list[float], k: int, exact: bool = False) -> DataFrame:
         rows = self.rows
         if not exact:
             meets = F.lit(False)
             for t, table in enumerate(self.planes):
-                own = sum(1 << i for i, plane in enumerate(table) if sum(a * b for a, b in zip(plane, query, strict=True)) > 0)
+                own = reduce(lambda s, plane: s * 2 + (sum(a * b for a, b in zip(plane, query, strict=True)) > 0), table, 0)
                 meets = meets | (F.bit_count(F.col("keys")[t].bitwiseXOR(F.lit(own))) <= self.NEAR)
             rows = rows.filter(meets)
         return cosine_top_k(rows, "doc", "vec", query, k)

@@ -291,8 +291,8 @@ def violation_unwind(spark, sf):
     return audit.violations(d, ["doc_id"], ["quality", "toxic"]).select(F.explode("properties").alias("property")).groupBy("property").agg(F.count(F.lit(1)).alias("n"))
 
 
-def _indexes(spark, sf) -> search.Indexes:
-    """The registry of this session's indexes over a data directory, in the shared folder."""
+def _indexes(spark, sf, everything: bool = True) -> search.Indexes:
+    """The registry of this session's indexes over a data directory, in the shared folder; each index is built when first asked for."""
     held = spark.sparkContext.__dict__.setdefault("_evigraph_indexes", {})
     if sf not in held:
         import uuid
@@ -305,6 +305,7 @@ def _indexes(spark, sf) -> search.Indexes:
             folder = spark.sparkContext.getCheckpointDir()
         held[sf] = search.Indexes(spark, f"{folder.rstrip('/')}/evigraph-indexes-{uuid.uuid4().hex}")
         held[sf].build_text("Document", "text", t(spark, sf, "documents"), "doc_id")
+    if everything and not held[sf].vectors:
         held[sf].build_text("Part", "p_name", t(spark, sf, "part"), "p_partkey")
         held[sf].build_vectors("Part", "p_name", t(spark, sf, "part"), "p_partkey")
     return held[sf]
@@ -318,7 +319,7 @@ SELECT doc_id AS doc, round(ln(1 + (n - da + 0.5) / (da + 0.5)) * a * 2.2 / (a +
 FROM c, s WHERE a > 0 OR b > 0""")
 def index_lookup(spark, sf):
     """The same lookup from postings that were written once: only the files of the query's terms are read."""
-    return _indexes(spark, sf).search_text("Document", "text", "work license").select("doc", F.round("score", 6).alias("score"))
+    return _indexes(spark, sf, everything=False).search_text("Document", "text", "work license").select("doc", F.round("score", 6).alias("score"))
 
 
 @query("index_registry", "SELECT 'text' AS kind, 'Document' AS label, 'text' AS property, count(text) AS indexed FROM documents UNION ALL SELECT 'text', 'Part', 'p_name', count(p_name) FROM part UNION ALL SELECT 'vector', 'Part', 'p_name', count(p_name) FROM part")
