@@ -244,3 +244,13 @@ def test_read_only_and_banner(spark, tmp_path):
     assert [tuple(r) for r in readers.banner_csv(spark, str(tmp_path / "b.csv")).collect()] == [("#1", "a"), ("2", "b")]
     (tmp_path / "c.csv").write_text("id,name\n#1,a\n")
     assert [tuple(r) for r in readers.banner_csv(spark, str(tmp_path / "c.csv"), limit=1).collect()] == [("#1", "a")]
+
+
+def test_vector_keys_of_null_and_ragged_vectors(spark):
+    rows = spark.createDataFrame([(1, [1.0, 2.0, 3.0]), (2, None), (3, [1.0]), (4, [-1.0, -2.0, -3.0])], "k int, v array<double>")
+    index = search.VectorIndex(rows, "k", "v", 3)
+    keys = {r["doc"]: list(r["keys"]) for r in index.rows.collect()}
+    full = (1 << index.BITS) - 1
+    assert keys[2] == keys[3] == [0] * index.TABLES
+    assert [a ^ b for a, b in zip(keys[1], keys[4], strict=True)] == [full] * index.TABLES  # opposite vectors differ in every sign
+    assert index.search([1.0, 2.0, 3.0], 1).first()["doc"] == 1
