@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontaminate, exact_dedup, language_id, lm_score, near_dedup, packing, resharding, secret_scan, sql, token_counts, toxicity
+from . import decontaminate, divergence, exact_dedup, hard_negatives, language_id, line_quality, lm_score, near_dedup, packing, resharding, secret_scan, sql, token_counts, toxicity
 
 
 def _docs(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -51,5 +51,17 @@ def op10_resharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return resharding.reshard(_docs(spark, sf_dir))
 
 
-QUERIES = {f.__name__: f for f in (op1_secret_scan, op2_toxicity, op3_exact_dedup, op4_language_id, op5_decontaminate, op6_lm_score, op7_near_dedup, op8_token_counts, op9_packing, op10_resharding)}
-ORACLE_SQL = {"op1_secret_scan": sql.SECRET_SCAN, "op3_exact_dedup": sql.EXACT_DEDUP}
+def op11_line_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_quality.line_quality(_docs(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
+
+
+def op12_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.divergence(_docs(spark, sf_dir))
+
+
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hard_negatives.hard_negatives(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
+
+
+QUERIES = {f.__name__: f for f in (op1_secret_scan, op2_toxicity, op3_exact_dedup, op4_language_id, op5_decontaminate, op6_lm_score, op7_near_dedup, op8_token_counts, op9_packing, op10_resharding, op11_line_quality, op12_divergence, op13_hard_negatives)}
+ORACLE_SQL = {"op1_secret_scan": sql.SECRET_SCAN, "op3_exact_dedup": sql.EXACT_DEDUP, "op12_divergence": sql.DIVERGENCE, "op13_hard_negatives": sql.HARD_NEGATIVES}
