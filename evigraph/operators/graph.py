@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import re
 import tempfile
+import uuid
 from dataclasses import dataclass, field
 from functools import reduce
 
@@ -11,17 +12,31 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
-def cut(df: DataFrame) -> DataFrame:
-    """The rows written once, so that later turns start from them: checkpoint() in the folder that spark.checkpoint.dir names. Only where it is unset and the master is local, a local one is set."""
-    sc = df.sparkSession.sparkContext
+def checkpoint_dir(spark) -> str:
+    """The folder that spark.checkpoint.dir names. Only where it is unset and the master is local, a local one is set."""
+    sc = spark.sparkContext
     if not sc.getCheckpointDir():
-        found = df.sparkSession.conf.get("spark.checkpoint.dir", None)
+        found = spark.conf.get("spark.checkpoint.dir", None)
         if not found and (not sc.master.startswith("local") or sc.master.startswith("local-cluster")):
             raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         sc.setCheckpointDir(found or "file://" + tempfile.mkdtemp(prefix="evigraph-"))
+    return spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
+
+
+def cut(df: DataFrame) -> DataFrame:
+    """The rows written once, so that later turns start from them: checkpoint() in the shared folder."""
+    checkpoint_dir(df.sparkSession)
     return df.checkpoint()
 
 
+def shared_folder(spark, name: str) -> str:
+    """A new folder of this session in the shared one; it is deleted when the driver ends."""
+    sc, path = spark.sparkContext, f"{checkpoint_dir(spark).rstrip('/')}/evigraph-{name}-{uuid.uuid4().hex}"
+    folder = sc._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(sc._jsc.hadoopConfiguration()).deleteOnExit(folder)
+    return path
+
+
 @dataclass
 class Graph:
     """nodes: label -> frame with an id; edges: type -> frame with src, dst; ends: type -> (source label, target label)."""

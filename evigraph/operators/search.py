@@ -2,13 +2,12 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
-import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-K1, B = 1.2, 0.75
+from .postings import K1, B, BlockPostings
+from .vectors import InvertedFile, cosine
+
 WIDTH = 256
 
 
@@ -52,41 +51,35 @@ class IndexMissing(LookupError):
 
 
 class Indexes:
-    """A registry of text and vector indexes over node properties (H1, H5, H9). An index is written once, postings by a hash of their term, so that a lookup reads the files of its terms only."""
-
-    PARTS = 64
+    """A registry of text and vector indexes over node properties (H1, H5, H9): blocks of postings and inverted files, each written once."""
 
     def __init__(self, spark, path: str):
         self.spark, self.path = spark, path
-        self.texts: dict[tuple[str, str], dict] = {}
-        self.vectors: dict[tuple[str, str], VectorIndex] = {}
+        self.texts: dict[tuple[str, str], BlockPostings] = {}
+        self.vectors: dict[tuple[str, str], InvertedFile] = {}
 
     def build_text(self, label: str, prop: str, df: DataFrame, key: str) -> dict:
         """Write the postings of a property; rows without text are skipped. What is returned: indexed, terms, skipped."""
-        where = f"{self.path}/text-{label}-{prop}"
-        part = F.pmod(F.xxhash64("term"), F.lit(self.PARTS)).cast("int")
-        postings(df, key, prop).withColumn("part", part).repartition("part").sortWithinPartitions("part", "term", "doc").write.mode("overwrite").partitionBy("part").parquet(where)
-        sizes = df.agg(F.count(F.lit(1)).alias("rows"), F.count(prop).alias("n"), F.avg(F.size(tokens(F.col(prop)))).alias("avgdl")).first()
-        terms = self.spark.read.parquet(where).agg(F.count_distinct("term")).first()[0]
-        self.texts[label, prop] = {"path": where, "n": sizes["n"], "avgdl": sizes["avgdl"], "indexed": sizes["n"], "terms": terms, "skipped": sizes["rows"] - sizes["n"]}
-        return {k: self.texts[label, prop][k] for k in ("indexed", "terms", "skipped")}
+        made = BlockPostings.build(df, key, prop, f"{self.path}/text-{label}-{prop}")
+        self.texts[label, prop] = made
+        return {"indexed": made.n, "terms": made.terms(), "skipped": df.count() - made.n}
 
     def search_text(self, label: str, prop: str, query: str, top_k: int | None = None) -> DataFrame:
         """(doc, score) from the postings of the query's terms; a property without an index raises."""
         if (label, prop) not in self.texts:
             raise IndexMissing(f"{label}.{prop} has no text index")
-        about, terms = self.texts[label, prop], query_terms(query)
-        parts = [r[0] for r in self.spark.createDataFrame([(t,) for t in terms], "term string").select(F.pmod(F.xxhash64("term"), F.lit(self.PARTS)).cast("int")).collect()]  # a row a query term
-        hits = self.spark.read.parquet(about["path"]).filter(F.col("part").isin(parts) & F.col("term").isin(terms)).select("doc", "dl", "term", "tf")
-        got = _scored(hits, self.spark.createDataFrame([(about["n"], about["avgdl"])], "n long, avgdl double"))
-        return got if top_k is None else got.orderBy(F.desc("score"), "doc").limit(top_k)
+        held, terms = self.texts[label, prop], query_terms(query)
+        return held.search(terms) if top_k is None else held.top(terms, top_k)
 
     def build_vectors(self, label: str, prop: str, df: DataFrame, key: str, model: str = "chargram") -> dict:
-        """Write the vectors of a property and their keys, so that a lookup neither embeds nor projects again."""
-        where = f"{self.path}/vector-{label}-{prop}"
-        made = embedder(model)(df.filter(F.col(prop).isNotNull()), key, prop)
-        self.vectors[label, prop] = VectorIndex(made, "doc", "vec", WIDTH).written(where)
-        return {"indexed": self.vectors[label, prop].rows.count(), "dim": WIDTH}
+        """Embed a property and index its vectors, so that a lookup neither embeds nor reads them all again."""
+        return self.add_vectors(label, prop, embedder(model)(df.filter(F.col(prop).isNotNull()), key, prop), "doc", "vec")
+
+    def add_vectors(self, label: str, prop: str, df: DataFrame, key: str, vec: str) -> dict:
+        """Index vectors that are there already."""
+        made = InvertedFile.build(df, key, vec, f"{self.path}/vector-{label}-{prop}")
+        self.vectors[label, prop] = made
+        return {"indexed": made.size, "dim": made.width}
 
     def search_vectors(self, label: str, prop: str, vec: list[float], k: int, exact: bool = True) -> DataFrame:
         if (label, prop) not in self.vectors:
@@ -95,7 +88,7 @@ class Indexes:
 
     def listed(self) -> DataFrame:
         """(kind, label, property, indexed) of all indexes."""
-        rows = [("text", a, b, int(x["indexed"])) for (a, b), x in self.texts.items()] + [("vector", a, b, v.rows.count()) for (a, b), v in self.vectors.items()]
+        rows = [("text", a, b, x.n) for (a, b), x in self.texts.items()] + [("vector", a, b, v.size) for (a, b), v in self.vectors.items()]
         return self.spark.createDataFrame(rows, "kind string, label string, property string, indexed long")
 
 
@@ -106,55 +99,6 @@ def embedder(model: str, width: int = WIDTH):
     return chargram_vectors
 
 
-def _signs(planes: list[list[list[float]]], width: int):
-    """The keys of a vector, a number a table: one matrix product an Arrow batch, as lambdas over arrays are interpreted element by element. A null vector, or one of another width, has keys 0."""
-
-    def keys(vec: pd.Series) -> pd.Series:
-        import numpy as np
-
-        flat = np.array(planes, np.float64)
-        tables, bits, _ = flat.shape
-        rows = np.zeros((len(vec), width))
-        for i, v in enumerate(vec):
-            if v is not None and len(v) == width:
-                rows[i] = v
-        signs = (rows @ flat.reshape(tables * bits, width).T > 0).reshape(len(vec), tables, bits)
-        return pd.Series(list((signs * (1 << np.arange(bits)[::-1])).sum(axis=2).astype(np.int32)))
-
-    return F.pandas_udf(keys, "array<int>")
-
-
-class VectorIndex:
-    """Approximate cosine lookup by signs of random projections (H5): each of TABLES tables keys a vector by BITS signs; a lookup meets, in each table, the rows whose key differs from the query's in NEAR signs at
-    most, and ranks what it meets by exact cosine. Every row is indexed; `exact` scans instead. On the test vectors, whose nearest ten are hardly nearer than others (cosine 0.33), recall is 0.97 and
-    six rows in ten are ranked; a test holds recall at 0.9."""
-
-    TABLES, BITS, NEAR = 16, 10, 2
-
-    def __init__(self, df: DataFrame, key: str, vec: str, width: int):
-        import random
-
-        rng = random.Random(11)
-        self.planes = [[[rng.gauss(0, 1) for _ in range(width)] for _ in range(self.BITS)] for _ in range(self.TABLES)]
-        self.rows = df.select(F.col(key).alias("doc"), F.col(vec).alias("vec"), _signs(self.planes, width)(F.col(vec)).alias("keys"))
-
-    def written(self, path: str) -> VectorIndex:
-        """The same index, its rows read from where they are written."""
-        self.rows.write.mode("overwrite").parquet(path)
-        self.rows = self.rows.sparkSession.read.parquet(path)
-        return self
-
-    def search(self, query: list[float], k: int, exact: bool = False) -> DataFrame:
-        rows = self.rows
-        if not exact:
-            meets = F.lit(False)
-            for t, table in enumerate(self.planes):
-                own = reduce(lambda s, plane: s * 2 + (sum(a * b for a, b in zip(plane, query, strict=True)) > 0), table, 0)
-                meets = meets | (F.bit_count(F.col("keys")[t].bitwiseXOR(F.lit(own))) <= self.NEAR)
-            rows = rows.filter(meets)
-        return cosine_top_k(rows, "doc", "vec", query, k)
-
-
 def chargram_vectors(df: DataFrame, key: str, text: str) -> DataFrame:
     """(doc, vec): 256 slots of signed, damped counts of 3-, 4- and 5-grams, of length 1; all JVM functions. No gram: all zero."""
     norm = F.concat(F.lit(" "), F.trim(F.regexp_replace(F.lower(F.col(text)), r"[^\p{L}\p{N}]+", " ")), F.lit(" "))
@@ -169,11 +113,6 @@ def chargram_vectors(df: DataFrame, key: str, text: str) -> DataFrame:
     return df.select(F.col(key).alias("doc")).join(maps, "doc", "left").select("doc", F.when(F.col("m").isNull(), zero).otherwise(dense).alias("vec"))
 
 
-def cosine(a: Column, b: Column) -> Column:
-    dot = lambda x, y: F.aggregate(F.zip_with(x, y, lambda p, q: p.cast("double") * q.cast("double")), F.lit(0.0), lambda s, v: s + v)
-    return dot(a, b) / F.sqrt(dot(a, a) * dot(b, b))
-
-
 def cosine_top_k(df: DataFrame, key: str, vec: str, query: list[float], k: int) -> DataFrame:
     """Exact: one scan, top k."""
     q = F.array(*[F.lit(float(x)) for x in query])
@@ -195,13 +134,16 @@ def route(lexical: DataFrame, fallback) -> DataFrame:
     return fallback() if lexical.isEmpty() else lexical
 
 
-def find(df: DataFrame, key: str, text: str, query: str, k: int, keep: Column | None = None) -> DataFrame:
-    """(doc, score, route) of the best k: lexical hits first, on a miss the nearest character-gram vectors of the whole name; `keep` filters candidates by rank or placeholder (H8)."""
+def find(df: DataFrame, key: str, text: str, query: str, k: int, keep: Column | None = None, vectors: InvertedFile | None = None) -> DataFrame:
+    """(doc, score, route) of the best k: lexical hits first, on a miss the nearest character-gram vectors of the whole name; `keep` filters candidates by rank or placeholder (H8). With an index of
+    the names' vectors a miss embeds the query alone; without one, or where candidates are filtered, it embeds them all."""
     rows = df if keep is None else df.filter(keep)
     lexical = bm25(rows, key, text, query)
 
     def nearest():
         asked = chargram_vectors(df.sparkSession.createDataFrame([(0, query)], "k int, t string"), "k", "t").first()["vec"]
+        if vectors is not None and keep is None:
+            return vectors.search(list(asked), k, exact=True).withColumn("route", F.lit("vector"))
         return cosine_top_k(chargram_vectors(rows, key, text), "doc", "vec", asked, k).withColumn("route", F.lit("vector"))
 
     return route(lexical.orderBy(F.desc("score"), "doc").limit(k).withColumn("route", F.lit("lexical")), nearest)

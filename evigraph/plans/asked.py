@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..operators import audit, search
-from ..operators.graph import ask, labels_on, shortest_path
+from ..operators.graph import ask, labels_on, shared_folder, shortest_path
 from .model import graph, reports, t
 from .registry import query
 
@@ -291,26 +291,22 @@ def violation_unwind(spark, sf):
     return audit.violations(d, ["doc_id"], ["quality", "toxic"]).select(F.explode("properties").alias("property")).groupBy("property").agg(F.count(F.lit(1)).alias("n"))
 
 
-def _indexes(spark, sf, everything: bool = True) -> search.Indexes:
-    """The registry of this session's indexes over a data directory, in the shared folder; each index is built when first asked for."""
+def _registry(spark, sf) -> search.Indexes:
+    """The registry of this session's indexes over a data directory, in the shared folder."""
     held = spark.sparkContext.__dict__.setdefault("_evigraph_indexes", {})
     if sf not in held:
-        import uuid
-
-        folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-        if not folder:
-            from ..operators.graph import cut
-
-            cut(spark.range(1))  # sets a local folder where the master is local, else raises
-            folder = spark.sparkContext.getCheckpointDir()
-        held[sf] = search.Indexes(spark, f"{folder.rstrip('/')}/evigraph-indexes-{uuid.uuid4().hex}")
-        held[sf].build_text("Document", "text", t(spark, sf, "documents"), "doc_id")
-    if everything and not held[sf].vectors:
-        held[sf].build_text("Part", "p_name", t(spark, sf, "part"), "p_partkey")
-        held[sf].build_vectors("Part", "p_name", t(spark, sf, "part"), "p_partkey")
+        held[sf] = search.Indexes(spark, shared_folder(spark, "indexes"))
     return held[sf]
 
 
+def _documents(spark, sf) -> search.Indexes:
+    """The registry with the postings of the documents, built when first asked for."""
+    held = _registry(spark, sf)
+    if ("Document", "text") not in held.texts:
+        held.build_text("Document", "text", t(spark, sf, "documents"), "doc_id")
+    return held
+
+
 @query("text_index_lookup", """
 WITH d AS (SELECT doc_id, list_filter(regexp_split_to_array(lower(text), '[^a-z0-9]+'), lambda x: x <> '') AS w FROM documents WHERE text IS NOT NULL),
      c AS (SELECT doc_id, len(w) AS dl, len(list_filter(w, lambda x: x = 'license')) AS a, len(list_filter(w, lambda x: x = 'work')) AS b FROM d),
@@ -319,17 +315,49 @@ SELECT doc_id AS doc, round(ln(1 + (n - da + 0.5) / (da + 0.5)) * a * 2.2 / (a +
 FROM c, s WHERE a > 0 OR b > 0""")
 def index_lookup(spark, sf):
     """The same lookup from postings that were written once: only the files of the query's terms are read."""
-    return _indexes(spark, sf, everything=False).search_text("Document", "text", "work license").select("doc", F.round("score", 6).alias("score"))
+    return _documents(spark, sf).search_text("Document", "text", "work license").select("doc", F.round("score", 6).alias("score"))
+
+
+@query("text_topk_blocks", """
+WITH d AS (SELECT doc_id, list_filter(regexp_split_to_array(lower(text), '[^a-z0-9]+'), lambda x: x <> '') AS w FROM documents WHERE text IS NOT NULL),
+     c AS (SELECT doc_id, len(w) AS dl, len(list_filter(w, lambda x: x = 'the')) AS a, len(list_filter(w, lambda x: x = 'license')) AS b FROM d),
+     s AS (SELECT count(*) AS n, avg(dl) AS avgdl, count(*) FILTER (WHERE a > 0) AS da, count(*) FILTER (WHERE b > 0) AS db FROM c)
+SELECT doc_id AS doc, round(ln(1 + (n - da + 0.5) / (da + 0.5)) * a * 2.2 / (a + 1.2 * (0.25 + 0.75 * dl / avgdl)) + ln(1 + (n - db + 0.5) / (db + 0.5)) * b * 2.2 / (b + 1.2 * (0.25 + 0.75 * dl / avgdl)), 6)::DOUBLE AS score
+FROM c, s WHERE a > 0 OR b > 0 ORDER BY ln(1 + (n - da + 0.5) / (da + 0.5)) * a * 2.2 / (a + 1.2 * (0.25 + 0.75 * dl / avgdl)) + ln(1 + (n - db + 0.5) / (db + 0.5)) * b * 2.2 / (b + 1.2 * (0.25 + 0.75 * dl / avgdl)) DESC, doc LIMIT 20""")
+def topk_blocks(spark, sf):
+    """The first 20 of a rare and a very common word, as the full ranking has them: blocks whose bound lies under the twentieth score are not scored."""
+    return _documents(spark, sf).search_text("Document", "text", "the license", 20).select("doc", F.round("score", 6).alias("score"))
 
 
 @query("index_registry", "SELECT 'text' AS kind, 'Document' AS label, 'text' AS property, count(text) AS indexed FROM documents UNION ALL SELECT 'text', 'Part', 'p_name', count(p_name) FROM part UNION ALL SELECT 'vector', 'Part', 'p_name', count(p_name) FROM part")
 def index_registry(spark, sf):
-    return _indexes(spark, sf).listed()
+    held = _documents(spark, sf)
+    if ("Part", "p_name") not in held.vectors:
+        held.build_text("Part", "p_name", t(spark, sf, "part"), "p_partkey")
+        held.build_vectors("Part", "p_name", t(spark, sf, "part"), "p_partkey")
+    return held.listed().filter("label != 'Embedding'")
 
 
 @query("vec_approx_topk")
 def approx(spark, sf):
-    """Approximate neighbours of one embedding; a test holds their recall against the exact scan."""
-    e = t(spark, sf, "embeddings")
-    q = [float(x) for x in e.filter("vec_id = 0").select("embedding").first()[0]]
-    return search.VectorIndex(e, "vec_id", "embedding", len(q)).search(q, 10).withColumn("score", F.round("score", 6))
+    """Approximate neighbours of one embedding by the inverted file; a test holds their recall against the exact scan."""
+    index, q = _vectors(spark, sf)
+    return index.search(q, 10).withColumn("score", F.round("score", 6))
+
+
+def _vectors(spark, sf):
+    """The inverted file of the embeddings, built when first asked for, and the first embedding."""
+    held, e = _registry(spark, sf), t(spark, sf, "embeddings")
+    if ("Embedding", "embedding") not in held.vectors:
+        held.add_vectors("Embedding", "embedding", e, "vec_id", "embedding")
+    return held.vectors["Embedding", "embedding"], [float(x) for x in e.filter("vec_id = 0").select("embedding").first()[0]]
+
+
+@query("vec_cells_topk", """
+WITH q AS (SELECT embedding AS q FROM embeddings WHERE vec_id = 0), s AS (SELECT vec_id AS doc,
+list_sum(list_transform(range(1, len(q) + 1), lambda i: q[i]::DOUBLE * embedding[i]::DOUBLE)) / sqrt(list_sum(list_transform(q, lambda x: x::DOUBLE * x::DOUBLE)) * list_sum(list_transform(embedding, lambda x: x::DOUBLE * x::DOUBLE))) AS score FROM embeddings, q)
+SELECT doc, round(score, 6) AS score FROM s ORDER BY s.score DESC, doc LIMIT 25""")
+def cells(spark, sf):
+    """Exact neighbours by the inverted file: cells that cannot hold a nearer row are not read."""
+    index, q = _vectors(spark, sf)
+    return index.search(q, 25, exact=True).withColumn("score", F.round("score", 6))

@@ -213,25 +213,6 @@ def test_closure_has_no_depth_bound(spark):
     assert closure(chain, most=5).count() == sum(min(5, 70 - i) for i in range(70))
 
 
-def test_vector_index_recall_and_text_index(spark, tmp_path):
-    e = spark.read.parquet("/root/testdata/sf0.001/embeddings.parquet")
-    index = search.VectorIndex(e, "vec_id", "embedding", len(e.first()["embedding"]))
-    hit = total = 0
-    for r in e.filter("vec_id % 20 = 0").orderBy("vec_id").limit(8).collect():
-        near, true = ({x.doc for x in index.search([float(v) for v in r.embedding], 10, exact).collect()} for exact in (False, True))
-        hit, total = hit + len(near & true), total + len(true)
-    assert hit / total >= 0.9
-    held = search.Indexes(spark, str(tmp_path))
-    df = spark.createDataFrame([(1, "red ring"), (2, "Ring ring of fire"), (3, None)], "id long, name string")
-    assert held.build_text("T", "name", df, "id") == {"indexed": 2, "terms": 4, "skipped": 1}
-    assert {r.doc: round(r.score, 9) for r in held.search_text("T", "name", "RING of").collect()} == {r.doc: round(r.score, 9) for r in search.bm25(df, "id", "name", "ring OF").collect()}
-    for wrong in (lambda: held.search_text("T", "other", "x"), lambda: held.search_vectors("T", "name", [0.0], 1)):
-        with pytest.raises(search.IndexMissing):
-            wrong()
-    with pytest.raises(ValueError):
-        search.embedder("other")
-
-
 def test_read_only_and_banner(spark, tmp_path):
     from evigraph.operators.graph import ReadOnlyError, ask, read_only
 
@@ -244,13 +225,3 @@ def test_read_only_and_banner(spark, tmp_path):
     assert [tuple(r) for r in readers.banner_csv(spark, str(tmp_path / "b.csv")).collect()] == [("#1", "a"), ("2", "b")]
     (tmp_path / "c.csv").write_text("id,name\n#1,a\n")
     assert [tuple(r) for r in readers.banner_csv(spark, str(tmp_path / "c.csv"), limit=1).collect()] == [("#1", "a")]
-
-
-def test_vector_keys_of_null_and_ragged_vectors(spark):
-    rows = spark.createDataFrame([(1, [1.0, 2.0, 3.0]), (2, None), (3, [1.0]), (4, [-1.0, -2.0, -3.0])], "k int, v array<double>")
-    index = search.VectorIndex(rows, "k", "v", 3)
-    keys = {r["doc"]: list(r["keys"]) for r in index.rows.collect()}
-    full = (1 << index.BITS) - 1
-    assert keys[2] == keys[3] == [0] * index.TABLES
-    assert [a ^ b for a, b in zip(keys[1], keys[4], strict=True)] == [full] * index.TABLES  # opposite vectors differ in every sign
-    assert index.search([1.0, 2.0, 3.0], 1).first()["doc"] == 1
