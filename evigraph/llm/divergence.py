@@ -140,8 +140,7 @@ def _tile(key, table):
 
 def heavy_sums(heavy: DataFrame, groups: DataFrame) -> DataFrame:
     """(lang, i, j, value) over terms of many groups, by dense tiles. heavy: lang, term, no, p, first."""
-    size = heavy.filter("first").groupBy("lang").agg(F.count(F.lit(1)).alias("lang_terms"))
-    tiled = heavy.join(size, "lang").withColumn("tile", F.pmod(F.xxhash64("term"), F.ceil(F.col("lang_terms") / TILE_TERMS)).cast("int"))
+    tiled = heavy.withColumn("tile", F.pmod(F.xxhash64("term"), F.ceil(F.col("n_terms") / TILE_TERMS)).cast("int"))  # n_terms is in each row: a join on lang would deal a language to a task
     tiles = tiled.filter("first").groupBy("lang", "tile").agg(F.count(F.lit(1)).alias("tile_terms"))
     none = groups.join(tiles, "lang").select("lang", "tile", F.lit(None).cast("string").alias("term"), "no", F.col("absent").alias("p"), "tile_terms", "n_groups")
     rows = tiled.select("lang", "tile", "term", "no", "p", F.lit(0).cast("long").alias("tile_terms"), "n_groups").unionByName(none)
