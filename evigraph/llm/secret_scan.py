@@ -28,16 +28,18 @@ class Rule:
     group: int = 0  # the group whose length counts
     least: int = 1
     base: bool = True
+    plain: str = ""  # the pattern for engines without lookbehind: what stands before the match, then the match as group 1
 
 
 #: Patterns and least lengths (fixed values). A run of hex digits or an access key is maximal, so its least length may stand in the pattern.
+#: A web token begins where no character of a key stands before it, and gives nothing back, so that each run is read no more than three times.
 #: No group is repeated: the engine would recurse a level a repetition, and a long text would exhaust its stack.
 RULES = (
     Rule("assign", 1, r"""(?i:(password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", 2, 6),
     Rule("access", 1, r"AKIA[A-Z0-9]{16,}", 0, 20),
     Rule("hex", 1, r"[0-9a-f]{24,}", 0, 24),
     Rule("pem", 2, r"-----BEGIN (?:[A-Z ]* )?PRIVATE KEY-----", 0, 1, False),
-    Rule("jwt", 1, r"eyJ[A-Za-z0-9_-]{8,}\.eyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}", 0, 1, False),
+    Rule("jwt", 2, r"(?<![A-Za-z0-9_-])eyJ[A-Za-z0-9_-]{8,}+\.eyJ[A-Za-z0-9_-]{8,}+\.[A-Za-z0-9_-]{8,}", 0, 1, False, r"(?:^|[^A-Za-z0-9_-])(eyJ[A-Za-z0-9_-]{8,}\.eyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,})"),
     Rule("forge", 1, r"gh[pousr]_[A-Za-z0-9]{36,}", 0, 1, False),
 )
 

@@ -19,13 +19,14 @@ FROM d WINDOW w AS (PARTITION BY text_sha256 ORDER BY n_points DESC, doc_id)
 
 
 def _rule_sql(rank: int, rule) -> str:
-    quoted = rule.pattern.replace("'", "''")
+    quoted, group = (rule.plain or rule.pattern).replace("'", "''"), 1 if rule.plain else rule.group
+    before, w = ("length(w) - length(g)", "g") if rule.plain else ("0", "w")
     return f"""
-  SELECT doc_id, '{rule.kind}' AS kind, {rank} AS rank, {rule.base} AS base, w, g,
-         list_sum(list_transform(p[1:i], lambda x: length(x)))::BIGINT + coalesce(list_sum(list_transform(m[1:i - 1], lambda x: length(x))), 0)::BIGINT AS first
+  SELECT doc_id, '{rule.kind}' AS kind, {rank} AS rank, {rule.base} AS base, {w} AS w, g,
+         {before} + list_sum(list_transform(p[1:i], lambda x: length(x)))::BIGINT + coalesce(list_sum(list_transform(m[1:i - 1], lambda x: length(x))), 0)::BIGINT AS first
   FROM (SELECT doc_id, p, m, unnest(range(1, len(m) + 1)) AS i, unnest(m) AS w, unnest(gs) AS g
         FROM (SELECT doc_id, regexp_split_to_array(text, '{quoted}') AS p,
-                     regexp_extract_all(text, '{quoted}') AS m, regexp_extract_all(text, '{quoted}', {rule.group}) AS gs FROM t))
+                     regexp_extract_all(text, '{quoted}') AS m, regexp_extract_all(text, '{quoted}', {group}) AS gs FROM t))
   WHERE length(g) >= {rule.least}"""
 
 

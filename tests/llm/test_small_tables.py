@@ -77,6 +77,23 @@ def test_secret_scan(docs, spark):
         assert got[i].n_assign == sum(x[1] == 0 for x in spans)
 
 
+def test_secret_scan_of_long_key_like_texts(spark):
+    """A million characters in which a web token could begin everywhere, and base64 of lines, each in seconds; tokens are found at their places."""
+    import base64
+    import time
+
+    token = "eyJhbGciOiJIUzI1NiJ9.eyJzdWIiOiIxMjM0In0.c2lnbmF0dXJlLXg"
+    lines = base64.b64encode(b'{"sub": "1", "name": "x"}\n' * 30_000).decode()
+    texts = ["eyJ" * 333_334, "eyJ-" * 250_000, lines, f"a {token} b.{token},{token}", f"x{token}", f"{token}.{token}"]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    began = time.time()
+    got = {r.doc_id: [x for x in r.spans.split(",") if x.startswith("jwt")] for r in secret_scan.secret_scan(df).collect()}
+    assert time.time() - began < 90
+    pattern = re.compile(r"(?<![A-Za-z0-9_-])eyJ[A-Za-z0-9_-]{8,}\.eyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}")
+    assert got == {i: [f"jwt:{m.start()}:{m.end()}" for m in pattern.finditer(t)] for i, t in enumerate(texts[3:], 3)} | {0: [], 1: [], 2: []}
+    assert len(got[3]) == 3 and not got[4]
+
+
 def test_ledger_is_incremental(docs):
     first = secret_scan.update_ledger(docs, None).cache()
     assert secret_scan.update_ledger(docs, first).count() == 0
