@@ -7,7 +7,8 @@ import json
 import os
 import sys
 
-from .operators import audit, build as building
+from .operators import audit, procedures
+from .operators import build as building
 from .operators.graph import ReadOnlyError, ask
 
 #: Rows of an answer that are sent at once; more are counted and fetched on demand.
@@ -85,9 +86,10 @@ class Agent:
         {"name": "graph_overview", "description": "Labels and relationship types with their counts", "inputSchema": {"type": "object", "properties": {}}},
     )
 
-    def __init__(self, spark, graph):
+    def __init__(self, spark, graph, rules=(), indexes=None):
         self.spark, self.graph = spark, graph
         building.views(graph)
+        procedures.register(spark, graph, list(rules), indexes)
 
     def call(self, name: str, args: dict) -> dict:
         if name == "graph_overview":

@@ -169,3 +169,9 @@ def timing(seconds: list[float], once: bool = False) -> dict[str, float | str]:
 def holds(claimed: dict[str, object], measured: dict[str, object]) -> list[str]:
     """Claims in prose that the queries' answers do not bear out."""
     return [f"{k}: claimed {v!r}, measured {measured.get(k)!r}" for k, v in claimed.items() if measured.get(k) != v]
+
+
+def claims_held(claims: DataFrame, measured: DataFrame, key: str, told: str, value: str) -> DataFrame:
+    """claims (key, told, ...) with the measured value and whether it bears the claim out; nothing measured holds only a claim of nothing."""
+    got = claims.join(measured.select(key, F.col(value).alias("measured")), key, "left")
+    return got.withColumn("holds", F.col(told).eqNullSafe(F.col("measured")))

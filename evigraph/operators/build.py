@@ -9,10 +9,12 @@ from collections.abc import Callable
 from dataclasses import dataclass, field
 from functools import reduce
 
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import audit, schema, tables
+from . import audit, schema, storage, tables
 from .graph import Graph, cut
 
 
@@ -94,7 +96,7 @@ def load(document: dict, frames: Frames) -> Graph:
 
 
 def build(spark: SparkSession, raw: str, sources: list[Source], document: dict, rules: list[audit.Rule] = (), out: str | None = None, opted: tuple[str, ...] = (), scope: str = "cited") -> BuildResult:
-    """Run the sources in an order that their needs allow; one whose input is missing or malformed is skipped with the reason. A licence-gated source runs only if opted in. Without
+    """Run the sources in an order that their needs allow; one whose input is missing or malformed, or that fails late, is skipped with the reason, and what it wrote is taken back. A licence-gated source runs only if opted in. Without
     taxa there is no graph. An audit rule of severity error that is violated stops the build before anything is written."""
     from ..sources.readers import MissingInput
 
@@ -105,10 +107,14 @@ def build(spark: SparkSession, raw: str, sources: list[Source], document: dict,
         if s.gated and name not in opted:
             skipped[name] = f"licence {s.licence}: not opted in"
             continue
+        before = dict(frames.held)
         try:
-            s.prep(spark, raw, frames)
+            s.prep(spark, raw, frames)  # every table is written here, so a malformed row fails here
         except MissingInput as e:
-            skipped[name] = str(e)
+            skipped[name], frames.held = str(e), before
+            continue
+        except (PySparkException, Py4JJavaError, ValueError, KeyError) as e:  # a source that fails late is left out whole; the others go on
+            skipped[name], frames.held = f"failed: {type(e).__name__}: {str(e).strip().splitlines()[0][:300] if str(e).strip() else ''}", before
             continue
         loaded.append(name)
     if frames.rows("taxon") is None:
@@ -133,15 +139,10 @@ def build(spark: SparkSession, raw: str, sources: list[Source], document: dict,
 
 
 def save(result: BuildResult, out: str) -> None:
-    """Parquet by label and relationship, and build.json beside it: the sources, what was skipped and why, and rows by table (B2)."""
+    """Clustered Parquet by label and relationship, and build.json beside it: the sources, what was skipped and why, and rows by table (B2)."""
     g, spark = result.graph, result.frames.spark
-    for label, df in g.nodes.items():
-        df.write.mode("overwrite").parquet(f"{out}/nodes/{label}")
-    for kind, df in g.edges.items():
-        df.write.mode("overwrite").parquet(f"{out}/edges/{kind}")
-    about = {
-        "loaded": result.loaded, "skipped": result.skipped, "rows": {n: result.frames.rows(n).count() for n in result.frames.names()}, "ends": {k: list(v) for k, v in g.ends.items()},
-        "labels": sorted(g.nodes), "above": g.above, "engine": spark.version,
+    about = storage.save_clustered(g, out) | {
+        "loaded": result.loaded, "skipped": result.skipped, "rows": {n: result.frames.rows(n).count() for n in result.frames.names()}, "labels": sorted(g.nodes), "engine": spark.version,
     }
     spark.createDataFrame([(json.dumps(about, sort_keys=True),)], "value string").coalesce(1).write.mode("overwrite").text(f"{out}/build.json")
 
@@ -149,12 +150,7 @@ def save(result: BuildResult, out: str) -> None:
 def opened(spark: SparkSession, out: str) -> tuple[Graph, dict]:
     """A saved graph and what its build.json says."""
     about = json.loads(spark.read.text(f"{out}/build.json", wholetext=True).first()[0])
-    g = Graph(above=about["above"])
-    for label in about["labels"]:
-        g.nodes[label] = spark.read.parquet(f"{out}/nodes/{label}")
-    for kind, ends in about["ends"].items():
-        g.edges[kind], g.ends[kind] = spark.read.parquet(f"{out}/edges/{kind}"), tuple(ends)
-    return g, about
+    return storage.open_clustered(spark, out, about), about
 
 
 def views(g: Graph) -> list[str]:

@@ -88,7 +88,7 @@ def reported_taxa(df: DataFrame, key: str, names: str, ids: str) -> DataFrame:
     last = lambda c: F.trim(F.element_at(F.split(c, r"\|"), -1))
     name = last(F.col("z.n"))
     rank = lookup(F.substring(name, 1, 3), RANK_MARKS)
-    bare = F.when(rank.isNotNull(), F.substring(name, 4, 1000)).otherwise(name)
+    bare = F.when(rank.isNotNull(), F.substr(name, F.lit(4))).otherwise(name)
     return rows.select(key, "at", bare.alias("name"), rank.alias("reported_rank"), last(F.col("z.i")).try_cast("bigint").alias("tax_id"))
 
 

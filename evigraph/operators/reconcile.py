@@ -8,7 +8,8 @@ import sys
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .graph import closure, cut
+from . import trees
+from .graph import cut
 
 #: Name classes that may resolve a mention (fixed values).
 NAME_CLASSES = ("scientific name", "synonym", "equivalent name", "genbank synonym", "includes")
@@ -88,10 +89,9 @@ def stripped_index(names: DataFrame) -> DataFrame:
 
 
 def merged_map(merged: DataFrame) -> DataFrame:
-    """(old_id, new_id) followed to the end; a cycle leads nowhere."""
-    paths = closure(merged.select(F.col("old_id").alias("child"), F.col("new_id").alias("parent")))
-    ends = paths.join(merged.select(F.col("old_id").alias("ancestor")), "ancestor", "left_anti")
-    return ends.groupBy(F.col("node").alias("old_id")).agg(F.min("ancestor").alias("new_id"))
+    """(old_id, new_id) followed to the end; a cycle leads nowhere. Of several new ids of an old one the least counts."""
+    once = merged.groupBy(F.col("old_id").alias("child")).agg(F.min("new_id").alias("parent"))
+    return trees.ends(once).filter("node != root").select(F.col("node").alias("old_id"), F.col("root").alias("new_id"))
 
 
 def rank_depth(rank: Column) -> Column:
@@ -116,33 +116,30 @@ def promotions(nodes: DataFrame, ceiling: str = "species") -> DataFrame:
     """(tax_id, promoted_id): the nearest ancestor that is not below the ceiling, for every taxon below it. A rank that cannot say ('no rank', 'clade') is
     below if its nearest decided ancestor is at or below the ceiling. Computed once for the whole tree (tax_id, parent_id, rank)."""
     rank = F.col("rank")
-    placed = nodes.select("tax_id", below_ceiling(rank, ceiling).alias("below"), at_or_below(rank, ceiling).alias("under"), rank_depth(rank).alias("d"))
-    up = closure(nodes.select(F.col("tax_id").alias("child"), F.col("parent_id").alias("parent")))
-    lines = up.join(placed.select(F.col("tax_id").alias("ancestor"), F.col("below").alias("a_below"), F.col("under").alias("a_under")), "ancestor")
-    summary = lines.groupBy("node").agg(
-        F.min_by("ancestor", F.when(F.col("a_below") == F.lit(False), F.col("depth"))).alias("promoted_id"),
-        F.min_by("a_under", F.when(F.col("a_under").isNotNull(), F.col("depth"))).alias("nearest"),
-    )
-    own = placed.join(summary, placed["tax_id"] == summary["node"], "left")
+    placed = nodes.select("tax_id", "parent_id", below_ceiling(rank, ceiling).alias("below"), at_or_below(rank, ceiling).alias("under"))
+    facts = placed.select(F.col("tax_id").alias("node"), F.when(F.col("below") == F.lit(False), F.col("tax_id")).alias("target"), "under")
+    above = trees.nearest(placed.select(F.col("tax_id").alias("child"), F.col("parent_id").alias("parent")), facts, ["target", "under"])
+    own = placed.join(above.select(F.col("node").alias("tax_id"), "target", F.col("under").alias("nearest")), "tax_id", "left")
     below = F.coalesce("below", "nearest", F.lit(False))
-    return own.select("tax_id", F.when(below & F.col("promoted_id").isNotNull(), F.col("promoted_id")).otherwise(F.col("tax_id")).alias("promoted_id"))
+    return own.select("tax_id", F.when(below & F.col("target").isNotNull(), F.col("target")).otherwise(F.col("tax_id")).alias("promoted_id"))
 
 
-def prepare(names: DataFrame, nodes: DataFrame, merged: DataFrame, deleted: DataFrame, ceiling: str | None = "species") -> dict[str, DataFrame]:
-    """What every resolution against one taxonomy looks up, written once: names, bare names, old ids, deleted ids, ranks and promotions."""
+def prepare(names: DataFrame, nodes: DataFrame, merged: DataFrame, deleted: DataFrame, ceiling: str | None = "species", written: bool = True) -> dict[str, DataFrame]:
+    """What every resolution against one taxonomy looks up, written once unless it is used once: names, bare names, old ids, deleted ids, ranks and promotions."""
+    keep = cut if written else (lambda df: df)
     up = promotions(nodes, ceiling) if ceiling else nodes.select("tax_id", F.col("tax_id").alias("promoted_id"))
     return {
-        "exact": cut(name_index(names).select("key", F.col("ids").alias("e_ids"), F.col("spelling").alias("e_name"), F.col("scientific").alias("e_sci"))),
-        "bare": cut(stripped_index(names).select("key", F.col("ids").alias("s_ids"), F.col("spelling").alias("s_name"))),
-        "merged": cut(merged_map(merged).withColumnRenamed("old_id", "start")),
-        "deleted": cut(deleted.select(F.col("tax_id").alias("live"), F.lit(True).alias("is_deleted"))),
-        "taxa": cut(nodes.select(F.col("tax_id").alias("live"), F.col("rank").alias("original_rank")).join(up.withColumnRenamed("tax_id", "live"), "live", "left")),
+        "exact": keep(name_index(names).select("key", F.col("ids").alias("e_ids"), F.col("spelling").alias("e_name"), F.col("scientific").alias("e_sci"))),
+        "bare": keep(stripped_index(names).select("key", F.col("ids").alias("s_ids"), F.col("spelling").alias("s_name"))),
+        "merged": keep(merged_map(merged).withColumnRenamed("old_id", "start")),
+        "deleted": keep(deleted.select(F.col("tax_id").alias("live"), F.lit(True).alias("is_deleted"))),
+        "taxa": keep(nodes.select(F.col("tax_id").alias("live"), F.col("rank").alias("original_rank")).join(up.withColumnRenamed("tax_id", "live"), "live", "left")),
     }
 
 
 def resolve(mentions: DataFrame, names: DataFrame, nodes: DataFrame, merged: DataFrame, deleted: DataFrame, ceiling: str | None = "species") -> DataFrame:
     """resolve_with over a taxonomy that is used once."""
-    return resolve_with(mentions, prepare(names, nodes, merged, deleted, ceiling))
+    return resolve_with(mentions, prepare(names, nodes, merged, deleted, ceiling, written=False))
 
 
 def resolve_with(mentions: DataFrame, index: dict[str, DataFrame]) -> DataFrame:
@@ -176,17 +173,16 @@ def resolve_with(mentions: DataFrame, index: dict[str, DataFrame]) -> DataFrame:
 
 
 def scope(nodes: DataFrame, cited: DataFrame, roots: list[int]) -> DataFrame:
-    """Ids of the descendants of the roots and of the cited taxa, with all their ancestors."""
-    up = closure(nodes.select(F.col("tax_id").alias("child"), F.col("parent_id").alias("parent")))
-    under = up.filter(F.col("ancestor").isin(roots)).select(F.col("node").alias("tax_id"))
-    kept = under.unionByName(nodes.filter(F.col("tax_id").isin(roots)).select("tax_id")).unionByName(cited.select("tax_id").join(nodes.select("tax_id"), "tax_id", "left_semi")).distinct()
-    above = up.join(kept.select(F.col("tax_id").alias("node")), "node", "left_semi").select(F.col("ancestor").alias("tax_id"))
-    return kept.unionByName(above).distinct()
+    """Ids of the descendants of the roots and of the cited taxa, with all their ancestors: what lies under a root by a range of numbers, what lies above by a sum over what is below."""
+    ids = nodes.select("tax_id")
+    chosen = ids.filter(F.col("tax_id").isin(roots)).unionByName(cited.select("tax_id").join(ids, "tax_id", "left_semi"))
+    labels = trees.labelled(nodes.select(F.col("tax_id").alias("child"), F.col("parent_id").alias("parent")), chosen.select(F.col("tax_id").alias("node"), F.lit(1).alias("n")))
+    return trees.under(labels, roots).select("node").unionByName(labels.filter("marked > 0").select("node")).distinct().withColumnRenamed("node", "tax_id")
 
 
-def one_under(candidates: DataFrame, up: DataFrame, roots: list[int]) -> DataFrame:
-    """(key, tax_id): keys of which exactly one candidate (key, tax_id) stands under the roots."""
-    good = candidates.join(up.filter(F.col("ancestor").isin(roots)).select(F.col("node").alias("tax_id")).distinct(), "tax_id", "left_semi")
+def one_under(candidates: DataFrame, labels: DataFrame, roots: list[int]) -> DataFrame:
+    """(key, tax_id): keys of which exactly one candidate (key, tax_id) stands under the roots. labels: trees.labelled of the taxonomy."""
+    good = candidates.join(trees.under(labels, roots, itself=False).select(F.col("node").alias("tax_id")), "tax_id", "left_semi")
     return good.groupBy("key").agg(F.count_distinct("tax_id").alias("n"), F.min("tax_id").alias("tax_id")).filter("n = 1").select("key", "tax_id")
 
 
@@ -245,15 +241,50 @@ def disagreement(a: DataFrame, b: DataFrame, key: str, value: str) -> DataFrame:
     return j.select(key, kind.alias("kind")).filter("kind is not null")
 
 
-def two_key_first_wins(df: DataFrame, order: str, first: str, second: str) -> DataFrame:
-    """Rows kept if no earlier kept row has the same `first` or `second`. Each turn keeps the earliest undecided row of both its keys and drops what those hold, so
-    chains end in as many turns as they are long."""
-    kept, left = None, df
+#: A rest of so many rows of three values is read in turn by one task.
+SMALL_REST = 50_000
+
+
+def _read_in_turn(rows: DataFrame) -> DataFrame:
+    """The kept rows of a small rest (o, a, b)."""
+
+    def run(batches):
+        import pyarrow as pa
+
+        first, second = set(), set()
+        for batch in batches:
+            good = []
+            for a, b in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist(), strict=True):
+                good.append((a is None or a not in first) and (b is None or b not in second))
+                if good[-1]:
+                    first.add(a)
+                    second.add(b)
+            yield batch.filter(pa.array(good, pa.bool_()))
+
+    return rows.coalesce(1).sortWithinPartitions("o").mapInArrow(run, rows.schema)
+
+
+def two_key_first_wins(df: DataFrame, order: str, first: str, second: str, small: int = SMALL_REST) -> DataFrame:
+    """Rows kept if no earlier kept row has the same `first` or `second`, as a reader in turn would keep them; a null key conflicts with nothing. `order` is unique.
+
+    A turn looks at the two earliest undecided rows of each key. A row that is the earliest of both its keys is kept. A row with a single earlier rival is kept if the rival is not: such rows form chains, whose ends
+    and lengths are found by doubling, so a chain of any length is decided in one turn. What shares a key with a kept row goes; rows whose rivals are still open wait for the next turn. When at most `small` rows are
+    left, one task reads them in turn."""
+    left, kept = cut(df.select(F.col(order).alias("o"), F.col(first).alias("a"), F.col(second).alias("b"))), None
     while True:
-        lead = left.withColumn("_a", F.min(order).over(Window.partitionBy(first))).withColumn("_b", F.min(order).over(Window.partitionBy(second)))
-        lead = lead.withColumn("_a", F.when(F.col(first).isNull(), F.col(order)).otherwise(F.col("_a"))).withColumn("_b", F.when(F.col(second).isNull(), F.col(order)).otherwise(F.col("_b")))
-        now = cut(lead.filter((F.col("_a") == F.col(order)) & (F.col("_b") == F.col(order))).drop("_a", "_b"))
+        if left.count() <= small:
+            last = _read_in_turn(left)
+            kept = last if kept is None else kept.unionByName(last)
+            return df.join(kept.select(F.col("o").alias(order)), order, "left_semi").select(*df.columns)
+        rows = left
+        for c in ("a", "b"):
+            early = left.filter(F.col(c).isNotNull()).select(c, "o").withColumn("r", F.row_number().over(Window.partitionBy(c).orderBy("o"))).filter("r <= 2")  # two rows a key and task are shuffled
+            rows = rows.join(early.groupBy(c).agg(F.min("o").alias(f"{c}1"), F.max("o").alias(f"{c}2")), c, "left")
+        rows = rows.select("o", *[(F.col(c).isNull() | (F.col("o") == F.col(f"{c}1"))).alias(f"{c}_free") for c in "ab"], *[F.when(F.col("o") == F.col(f"{c}2"), F.col(f"{c}1")).alias(f"{c}_rival") for c in "ab"])
+        rival = F.when(F.col("a_free") & ~F.col("b_free"), F.col("b_rival")).when(~F.col("a_free") & F.col("b_free"), F.col("a_rival")).when(~F.col("a_free") & ~F.col("b_free") & (F.col("a_rival") == F.col("b_rival")), F.col("a_rival"))
+        rows = cut(rows.select(F.col("o").alias("node"), rival.alias("up"), (F.col("a_free") & F.col("b_free")).alias("kept"), F.when(rival.isNull(), 0).otherwise(1).alias("far")))
+        chains = trees.folded(rows, {"kept": lambda near, far: far, "far": lambda near, far: near + far})
+        now = cut(left.join(chains.filter("kept and far % 2 = 0").select(F.col("node").alias("o")), "o", "left_semi"))
         kept = now if kept is None else kept.unionByName(now)
-        left = cut(left.join(now.select(order), order, "left_anti").join(now.select(first), first, "left_anti").join(now.select(second), second, "left_anti"))
-        if left.isEmpty():
-            return kept
+        left = left.join(now.select("o"), "o", "left_anti").join(now.select("a").filter("a is not null"), "a", "left_anti").join(now.select("b").filter("b is not null"), "b", "left_anti")
+        left = cut(left.select("o", "a", "b"))

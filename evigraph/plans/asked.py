@@ -4,8 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..operators import audit, search
-from ..operators.graph import ask, labels_on, shared_folder, shortest_path
+from ..operators import audit, procedures, search
+from ..operators.graph import Graph, ask, labels_on, shared_folder, shortest_path
 from .model import graph, reports, t
 from .registry import query
 
@@ -361,3 +361,41 @@ def cells(spark, sf):
     """Exact neighbours by the inverted file: cells that cannot hold a nearer row are not read."""
     index, q = _vectors(spark, sf)
     return index.search(q, 25, exact=True).withColumn("score", F.round("score", 6))
+
+
+def _procedures(spark, sf) -> None:
+    """The session's procedures over documents as edges from source to language, and over the documents' postings."""
+    held = _documents(spark, sf)
+    e = t(spark, sf, "documents").select("doc_id", "source", "lang").join(t(spark, sf, "labels"), "doc_id", "left")
+    g = Graph().add_edges("LABELLED", e.select("doc_id", F.coalesce("source", F.lit("")).alias("s"), F.coalesce("lang", F.lit("")).alias("l"), "quality", "toxic"), "s", "l", "Source", "Language")
+    procedures.register(spark, g, [audit.Rule("LABELLED", ("quality", "toxic"))], held)
+
+
+@query("proc_audit", """
+SELECT 'LABELLED.required_properties' AS rule, count(*) FILTER (WHERE quality IS NULL OR toxic IS NULL) AS violations, count(*) AS total, round(100.0::DOUBLE * count(*) FILTER (WHERE quality IS NULL OR toxic IS NULL) / count(*), 6) AS pct
+FROM documents LEFT JOIN labels USING (doc_id)""")
+def proc_audit(spark, sf):
+    """The audit as a relation of a statement, by severity."""
+    _procedures(spark, sf)
+    return ask(spark, "SELECT rule, violations, total, pct FROM ontology_audit(level => :level)", {"level": "warn"})
+
+
+@query("proc_violations", """
+SELECT coalesce(source, '') AS source, count(*) AS n, max(coalesce(lang, '')) AS last FROM documents LEFT JOIN labels USING (doc_id) WHERE toxic IS NULL GROUP BY 1""")
+def proc_violations(spark, sf):
+    """Edges that lack a property, grouped in the same statement."""
+    _procedures(spark, sf)
+    return ask(spark, "SELECT source, count(*) AS n, max(target) AS last FROM edge_property_violation(kind => 'LABELLED', missing => 'toxic') GROUP BY source")
+
+
+@query("proc_text_search", """
+WITH d AS (SELECT doc_id, source, list_filter(regexp_split_to_array(lower(text), '[^a-z0-9]+'), lambda x: x <> '') AS w FROM documents WHERE text IS NOT NULL),
+     c AS (SELECT doc_id, source, len(w) AS dl, len(list_filter(w, lambda x: x = 'license')) AS a, len(list_filter(w, lambda x: x = 'of')) AS b FROM d),
+     s AS (SELECT count(*) AS n, avg(dl) AS avgdl, count(*) FILTER (WHERE a > 0) AS da, count(*) FILTER (WHERE b > 0) AS db FROM c),
+     r AS (SELECT doc_id, source, ln(1 + (n - da + 0.5) / (da + 0.5)) * a * 2.2 / (a + 1.2 * (0.25 + 0.75 * dl / avgdl)) + ln(1 + (n - db + 0.5) / (db + 0.5)) * b * 2.2 / (b + 1.2 * (0.25 + 0.75 * dl / avgdl)) AS score FROM c, s WHERE a > 0 OR b > 0)
+SELECT doc_id, source, round(score, 6) AS score FROM r ORDER BY r.score DESC, doc_id::VARCHAR LIMIT 15""")
+def proc_text_search(spark, sf):
+    """A ranked lookup joined with the documents it finds."""
+    _procedures(spark, sf)
+    t(spark, sf, "documents").createOrReplaceTempView("evigraph_documents")
+    return ask(spark, "SELECT d.doc_id, d.source, round(f.score, 6) AS score FROM text_search(kind => 'Document', prop => 'text', q => :q, k => 15) f JOIN evigraph_documents d ON d.doc_id = CAST(f.doc AS BIGINT)", {"q": "Of, license!"})

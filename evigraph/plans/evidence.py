@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..operators import audit, search
-from ..operators.graph import shortest_path
-from .model import graph, reports, t
+from ..operators.graph import nodes_of, path_between, relationships_of
+from .model import graph, reports, saved_graph, t
 from .registry import query
 
 HITS = list(range(1, 41))
@@ -71,7 +71,7 @@ def d4b(spark, sf):
 
 @query("d5_listing", "SELECT l_partkey AS part_id, p_name, l_quantity, l_orderkey FROM lineitem JOIN part ON l_partkey = p_partkey WHERE l_suppkey = 1")
 def d5(spark, sf):
-    g = graph(spark, sf)
+    g = saved_graph(spark, sf)
     rows = g.hop(g.nodes["Supplier"].filter("id = 1").select("id"), "SUPPLIES", "id", "part_id")
     return rows.join(g.nodes["Part"].select(F.col("id").alias("part_id"), "p_name"), "part_id").select("part_id", "p_name", F.col("SUPPLIES_l_quantity").alias("l_quantity"), F.col("SUPPLIES_l_orderkey").alias("l_orderkey"))
 
@@ -80,7 +80,7 @@ def d5(spark, sf):
 SELECT s_suppkey AS supplier_id, s_name, count(*) AS n_reports, count(DISTINCT l_orderkey) AS n_orders FROM lineitem JOIN supplier ON l_suppkey = s_suppkey
 WHERE l_partkey = 1 GROUP BY 1, 2""")
 def d5b(spark, sf):
-    g = graph(spark, sf)
+    g = saved_graph(spark, sf)
     rows = g.hop(g.nodes["Part"].filter("id = 1").select("id"), "SUPPLIES", "id", "supplier_id", back=True)
     rows = rows.join(g.nodes["Supplier"].select(F.col("id").alias("supplier_id"), "s_name"), "supplier_id")
     return rows.groupBy("supplier_id", "s_name").agg(F.count(F.lit(1)).alias("n_reports"), F.count_distinct("SUPPLIES_l_orderkey").alias("n_orders"))
@@ -208,7 +208,7 @@ def d12b(spark, sf):
 SELECT l_partkey AS part_id, s_suppkey AS supplier_id, n_name AS nation, r_name AS region, l_orderkey AS order_id
 FROM lineitem JOIN supplier ON l_suppkey = s_suppkey JOIN nation ON s_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey WHERE l_partkey <= 20""")
 def d13(spark, sf):
-    g = graph(spark, sf)
+    g = saved_graph(spark, sf)
     rows = g.hop(g.nodes["Part"].filter("id <= 20").select(F.col("id").alias("part_id")), "SUPPLIES", "part_id", "supplier_id", back=True)
     rows = g.hop(g.hop(rows, "SUPPLIER_IN", "supplier_id", "nation_id"), "NATION_IN", "nation_id", "region_id")
     n, r = g.nodes["Nation"].select(F.col("id").alias("nation_id"), F.col("n_name").alias("nation")), g.nodes["Region"].select(F.col("id").alias("region_id"), F.col("r_name").alias("region"))
@@ -266,12 +266,32 @@ u AS (SELECT a, b FROM e UNION SELECT b, a FROM e),
 w AS (SELECT 'c1' AS node, 0 AS hops, ['c1'] AS path UNION ALL SELECT b, hops + 1, list_append(path, b) FROM w JOIN u ON a = node WHERE hops < 4 AND NOT list_contains(path, b) AND (b NOT LIKE 'c%') AND (b NOT LIKE 's%' OR b = (SELECT a FROM goal)))
 SELECT hops, array_to_string(min(path), '>') AS path FROM w WHERE node = (SELECT a FROM goal) GROUP BY hops ORDER BY hops LIMIT 1""")
 def d16(spark, sf):
-    link = lambda df, a, p, b, q: df.select(F.concat(F.lit(p), a).alias("src"), F.concat(F.lit(q), b).alias("dst"))
-    e = link(t(spark, sf, "customer"), "c_custkey", "c", "c_nationkey", "n").unionByName(link(t(spark, sf, "supplier"), "s_suppkey", "s", "s_nationkey", "n")).unionByName(link(t(spark, sf, "nation"), "n_nationkey", "n", "n_regionkey", "r"))
+    return _path(spark, sf).select("hops", F.array_join(nodes_of("p"), ">").alias("path"))
+
+
+def _path(spark, sf):
+    """A shortest path from the first customer to the first supplier of its region, with its edges."""
+    link = lambda df, a, p, b, q, kind: df.select(F.concat(F.lit(p), a).alias("src"), F.concat(F.lit(q), b).alias("dst"), F.concat(F.lit(p), a).alias("edge_id"), F.lit(kind).alias("type"))
+    e = link(t(spark, sf, "customer"), "c_custkey", "c", "c_nationkey", "n", "CUSTOMER_IN").unionByName(link(t(spark, sf, "supplier"), "s_suppkey", "s", "s_nationkey", "n", "SUPPLIER_IN"))
+    e = e.unionByName(link(t(spark, sf, "nation"), "n_nationkey", "n", "n_regionkey", "r", "NATION_IN"))
     n = t(spark, sf, "nation").select("n_nationkey", "n_regionkey")
     home = t(spark, sf, "customer").filter("c_custkey = 1").join(n, F.col("c_nationkey") == F.col("n_nationkey")).select("n_regionkey")
     near = t(spark, sf, "supplier").join(n.join(home, "n_regionkey", "left_semi"), F.col("s_nationkey") == F.col("n_nationkey")).agg(F.min("s_suppkey")).first()[0]
-    return shortest_path(e, "c1", f"s{near}", 4).select("hops", F.array_join("path", ">").alias("path"))
+    return path_between(e, "c1", f"s{near}", 4)
+
+
+@query("d16_path_value", """
+WITH RECURSIVE goal AS (SELECT 's' || min(s_suppkey) AS a FROM supplier JOIN nation s ON s_nationkey = s.n_nationkey JOIN nation c ON c.n_regionkey = s.n_regionkey JOIN customer ON c_nationkey = c.n_nationkey WHERE c_custkey = 1),
+e AS (SELECT 'c' || c_custkey AS a, 'n' || c_nationkey AS b, 'CUSTOMER_IN:c' || c_custkey AS e FROM customer UNION SELECT 's' || s_suppkey, 'n' || s_nationkey, 'SUPPLIER_IN:s' || s_suppkey FROM supplier UNION SELECT 'n' || n_nationkey, 'r' || n_regionkey, 'NATION_IN:n' || n_nationkey FROM nation),
+u AS (SELECT a, b, e FROM e UNION SELECT b, a, e FROM e),
+w AS (SELECT 'c1' AS node, 0 AS hops, ['c1'] AS path, []::VARCHAR[] AS rels UNION ALL SELECT b, hops + 1, list_append(path, b), list_append(rels, e) FROM w JOIN u ON a = node WHERE hops < 4 AND NOT list_contains(path, b) AND (b NOT LIKE 'c%') AND (b NOT LIKE 's%' OR b = (SELECT a FROM goal))),
+p AS (SELECT * FROM w WHERE node = (SELECT a FROM goal) ORDER BY hops, path LIMIT 1)
+SELECT unnest(range(0, hops)) AS at, unnest(path[1:hops]) AS near, unnest(path[2:]) AS far, unnest(rels) AS edge FROM p""")
+def d16_value(spark, sf):
+    """The same path as a value, taken apart: its nodes and its relationships in order."""
+    n, r = nodes_of("p"), relationships_of("p")
+    steps = _path(spark, sf).select(F.posexplode(F.arrays_zip(F.slice(n, F.lit(1), F.size(n) - 1).alias("near"), F.slice(n, F.lit(2), F.size(n) - 1).alias("far"), r.alias("rel"))).alias("at", "x"))
+    return steps.select(F.col("at").cast("long").alias("at"), "x.near", "x.far", F.concat_ws(":", "x.rel.type", "x.rel.edge_id").alias("edge"))
 
 
 @query("d16_evidence_path", """

@@ -5,9 +5,9 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..operators import audit, classify, reconcile, search, tables
-from ..operators.graph import closure, variable_length
+from ..operators.graph import closure, nodes_of, relationships_of, variable_length, walks
 from .evidence import labelled
-from .model import graph, reports, t
+from .model import graph, reports, saved_graph, t
 from .registry import query
 
 
@@ -29,6 +29,18 @@ def var_length(spark, sf):
     return got.select(F.substring("start", 2, 20).cast("long").alias("start"), "node", "hops")
 
 
+@query("path_values", """
+SELECT s_suppkey AS start, h::INT AS hops, 's' || s_suppkey || '>n' || n_nationkey || CASE h WHEN 2 THEN '>r' || n_regionkey ELSE '' END AS nodes,
+'SUPPLIER_IN:s' || s_suppkey || CASE h WHEN 2 THEN '>NATION_IN:n' || n_nationkey ELSE '' END AS relationships FROM supplier JOIN nation ON s_nationkey = n_nationkey, (VALUES (1), (2)) v(h)""")
+def path_values(spark, sf):
+    """Walks of one or two hops as values: nodes(p) and relationships(p) of each."""
+    link = lambda df, a, p, b, q, kind: df.select(F.concat(F.lit(p), a).alias("src"), F.concat(F.lit(q), b).alias("dst"), F.concat(F.lit(p), a).alias("edge_id"), F.lit(kind).alias("type"))
+    s = link(t(spark, sf, "supplier"), "s_suppkey", "s", "s_nationkey", "n", "SUPPLIER_IN")
+    got = walks(s.unionByName(link(t(spark, sf, "nation"), "n_nationkey", "n", "n_regionkey", "r", "NATION_IN")), s.select(F.col("src").alias("id")), 1, 2)
+    edges = F.array_join(F.transform(relationships_of("p"), lambda r: F.concat_ws(":", r["type"], r["edge_id"])), ">")
+    return got.select(F.substring("start", 2, 20).cast("long").alias("start"), "hops", F.array_join(nodes_of("p"), ">").alias("nodes"), edges.alias("relationships"))
+
+
 @query("t_typed_counts", """
 SELECT 'node' AS what, 'Customer' AS name, count(*) AS n FROM customer UNION ALL SELECT 'node', 'Supplier', count(*) FROM supplier UNION ALL SELECT 'node', 'Part', count(*) FROM part UNION ALL SELECT 'node', 'Order', count(*) FROM orders
 UNION ALL SELECT 'node', 'Nation', count(*) FROM nation UNION ALL SELECT 'node', 'Region', count(*) FROM region UNION ALL SELECT 'edge', 'NATION_IN', count(*) FROM nation UNION ALL SELECT 'edge', 'CUSTOMER_IN', count(*) FROM customer
@@ -47,7 +59,7 @@ def prefix(spark, sf):
 SELECT 'SUPPLIER_IN' AS type, 'Nation' AS label, s_nationkey::VARCHAR AS node, count(*) AS n FROM supplier WHERE s_suppkey = 5 GROUP BY ALL
 UNION ALL SELECT 'SUPPLIES', 'Part', l_partkey::VARCHAR, count(*) FROM lineitem WHERE l_suppkey = 5 GROUP BY ALL""")
 def neighbourhood(spark, sf):
-    e = graph(spark, sf).slim_edges(["SUPPLIER_IN", "SUPPLIES"], undirected=True, at=("Supplier", 5))
+    e = saved_graph(spark, sf).slim_edges(["SUPPLIER_IN", "SUPPLIES"], undirected=True, at=("Supplier", 5))
     return e.groupBy("type", F.col("dst_label").alias("label"), F.col("dst").alias("node")).agg(F.count(F.lit(1)).alias("n"))
 
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..operators import policies, reconcile, rules, tables
+from ..operators import policies, reconcile, rules, tables, trees
 from .model import reports, t
 from .registry import query
 
@@ -76,9 +76,9 @@ def scope(spark, sf):
 @query("rec_one_under", "SELECT n_nationkey % 20 AS key, max(100 + n_nationkey) AS tax_id FROM nation WHERE n_regionkey = 0 GROUP BY 1 HAVING count(*) = 1")
 def one_under(spark, sf):
     nodes = taxonomy(spark, sf)[0]
-    up = reconcile.closure(nodes.select(F.col("tax_id").alias("child"), F.col("parent_id").alias("parent")))
+    labels = trees.labelled(nodes.select(F.col("tax_id").alias("child"), F.col("parent_id").alias("parent")))
     c = t(spark, sf, "nation").select((F.col("n_nationkey") % 20).alias("key"), (F.col("n_nationkey") + 100).cast("long").alias("tax_id"))
-    return reconcile.one_under(c, up, [1])
+    return reconcile.one_under(c, labels, [1])
 
 
 @query("rec_taxon_rows", """

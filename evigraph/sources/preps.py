@@ -7,7 +7,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators import classify, policies, reconcile, rules
+from ..operators import classify, policies, reconcile, rules, trees
 from ..operators.build import Frames, Source
 from ..operators.graph import cut
 from . import readers
@@ -185,12 +185,10 @@ def gutmdisorder(spark: SparkSession, raw: str, frames: Frames) -> None:
 
 def hmdb(spark: SparkSession, raw: str, frames: Frames) -> None:
     (path,) = present(spark, raw, "hmdb/hmdb_metabolites.xml")
-    tree = readers.term_tree_type()
-    shape = f"""accession string, secondary_accessions struct<accession:array<string>>, name string, status string, chebi_id string, kegg_id string, inchikey string, chemical_formula string,
-    ontology struct<root:array<{tree}>>, biological_properties struct<biospecimen_locations:struct<biospecimen:array<string>>>"""
+    shape = """accession string, secondary_accessions struct<accession:array<string>>, name string, status string, chebi_id string, kegg_id string, inchikey string, chemical_formula string,
+    ontology string, biological_properties struct<biospecimen_locations:struct<biospecimen:array<string>>>"""
     rows = readers.xml_records(spark, path, "metabolite", " ".join(shape.split()))
-    paths = F.flatten(F.transform(F.filter(F.coalesce("ontology.root", F.array().cast(f"array<{tree}>")), lambda r: r["term"] == SOURCE[0]), lambda r: readers.term_paths(r)))
-    rows = rows.withColumn("paths", paths).withColumn("specimens", F.coalesce("biological_properties.biospecimen_locations.biospecimen", F.array().cast("array<string>")))
+    rows = rows.withColumn("paths", F.filter(readers.tree_paths(F.col("ontology")), lambda p: p[0] == SOURCE[0])).withColumn("specimens", F.coalesce("biological_properties.biospecimen_locations.biospecimen", F.array().cast("array<string>")))
     rows = rows.withColumn("rules", classify.rules_met({"microbial-origin": rules.has_origin(F.col("paths"), MICROBE), "feces": F.array_contains("specimens", "Feces")})).filter(F.size("rules") > 0)
     key = F.when(F.trim("chebi_id") != "", F.concat(F.lit("CHEBI:"), F.trim("chebi_id"))).otherwise(F.concat(F.lit("HMDB:"), "accession"))
     rows = rows.withColumn("metabolite_id", F.coalesce(key, F.concat(F.lit("HMDB:"), "accession"))).withColumn("evidence_level", rules.status_level(F.col("status")))
@@ -203,9 +201,9 @@ def hmdb(spark: SparkSession, raw: str, frames: Frames) -> None:
     claims = rows.select("metabolite_id", "evidence_level", "accession", F.explode(rules.terms_below(F.col("paths"), MICROBE)).alias("path")).withColumn("name", F.element_at("path", -1)).withColumn("given_id", F.lit(None).cast("bigint"))
     got = resolved(spark, raw, claims, None)
     dump = taxa(spark, raw)
-    up = reconcile.closure(dump["nodes"].select(F.col("tax_id").alias("child"), F.col("parent_id").alias("parent")))
+    labels = trees.labelled(dump["nodes"].select(F.col("tax_id").alias("child"), F.col("parent_id").alias("parent")))
     asked = got.filter("status = 'ambiguous'").select(F.col("name").alias("key"), F.explode("candidates").alias("tax_id")).distinct()
-    one = reconcile.one_under(asked, up, ROOTS).select(F.col("key").alias("name"), F.col("tax_id").alias("only"))
+    one = reconcile.one_under(asked, labels, ROOTS).select(F.col("key").alias("name"), F.col("tax_id").alias("only"))
     got = got.join(one, "name", "left").withColumn("tax_id", F.coalesce("tax_id", "only")).drop("original_rank").join(dump["nodes"].select("tax_id", F.col("rank").alias("original_rank")), "tax_id", "left")
     good, lost = split(got)
     good, broad = policies.under_ceiling(good, "original_rank", "family")

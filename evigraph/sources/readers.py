@@ -19,12 +19,17 @@ class MalformedInput(MissingInput):
     """The input is there but not what it should be: the source is skipped with the reason."""
 
 
+def unreproduced(got: DataFrame, told: DataFrame, key: str, column: str) -> DataFrame:
+    """(key, got, told) of every key whose number is not the one the source tells, or that only one of them has."""
+    both = got.select(key, F.col(column).alias("got")).join(told.select(key, F.col(column).alias("told")), key, "full_outer")
+    return both.filter(~F.col("got").eqNullSafe(F.col("told"))).select(key, "got", "told")
+
+
 def reproduces(got: DataFrame, told: DataFrame, key: str, column: str) -> DataFrame:
-    """got, if it has for every key the number that the source tells (a sheet's own count, a headline); else the source is malformed (E6). Both are summaries of a few rows."""
-    both = got.select(key, F.col(column).alias("_got")).join(told.select(key, F.col(column).alias("_told")), key, "full_outer").filter(~F.col("_got").eqNullSafe(F.col("_told")))
-    bad = both.orderBy(key).limit(5).collect()
+    """got, if it has for every key the number that the source tells (a sheet's own count, a headline); else the source is malformed."""
+    bad = unreproduced(got, told, key, column).orderBy(key).limit(5).collect()
     if bad:
-        raise MalformedInput("; ".join(f"{r[key]}: {r['_got']}, told {r['_told']}" for r in bad))
+        raise MalformedInput("; ".join(f"{r[key]}: {r['got']}, told {r['told']}" for r in bad))
     return got
 
 
@@ -104,21 +109,37 @@ def taxdump(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
     }
 
 
-#: Levels a nested term tree is read to in one record; deeper trees are refused, not cut.
-TREE_DEPTH = 12
-
-
-def term_tree_type(depth: int = TREE_DEPTH) -> str:
-    """The type of a term and its descendants, as nested arrays."""
-    return f"struct<term:string,level:string{',descendants:struct<descendant:array<' + term_tree_type(depth - 1) + '>>' if depth else ',descendants:string'}>"
+def tree_paths(xml: Column) -> Column:
+    """array<array<string>>: every root-to-node path of the term trees in a raw element, a node before what is below it (A11). Trees of any depth: the element is read as text, tag by tag, with a stack of open nodes. A
+    node's term stands before its descendants; a node without a term gives no path of its own; null gives none."""
 
+    def paths(texts):
+        import re
 
-def term_paths(tree: Column, depth: int = TREE_DEPTH) -> Column:
-    """array<array<string>>: every root-to-node path of a term tree, a node before what is below it."""
-    if not depth:
-        return F.when(tree["descendants"].isNotNull(), F.raise_error(F.lit("a term tree is deeper than it is read")).cast("array<array<string>>")).otherwise(F.array(F.array(tree["term"])))
-    below = F.flatten(F.transform(F.coalesce(tree["descendants"]["descendant"], F.array().cast(f"array<{term_tree_type(depth - 1)}>")), lambda d: term_paths(d, depth - 1)))
-    return F.when(tree.isNotNull(), F.concat(F.array(F.array(tree["term"])), F.transform(below, lambda p: F.concat(F.array(tree["term"]), p))))
+        import pandas as pd
+
+        tags = re.compile(r"<(/?)(root|term|descendant)(?:\s[^<>]*?)?(/?)>")
+        out = []
+        for text in texts:
+            found, stack, done = [], [], 0
+            for m in tags.finditer(text or ""):
+                closes, name, empty = m.groups()
+                if m.start() < done or empty:
+                    continue
+                if name != "term":
+                    if not closes:
+                        stack.append(None)
+                    elif stack:
+                        stack.pop()
+                elif not closes and stack and stack[-1] is None:
+                    done = text.find("</term>", m.end())
+                    done = len(text) if done < 0 else done
+                    stack[-1] = text[m.end() : done]
+                    found.append([x for x in stack if x is not None])
+            out.append(found)
+        return pd.Series(out)
+
+    return F.pandas_udf(paths, "array<array<string>>")(xml)
 
 
 def flagged_columns(df: DataFrame, key: str, header: dict[str, str], kind: str) -> DataFrame:

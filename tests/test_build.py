@@ -170,6 +170,9 @@ def test_agent(spark, result):
     assert json.loads(got["result"]["content"][0]["text"]) == {"rows": [{"id": 562}]}
     long = json.loads(say("tools/call", name="sql_query", arguments={"sql": "SELECT explode(sequence(1, 40)) AS x"})["result"]["content"][0]["text"])
     assert len(long["rows"]) == 15 and long["total"] == 40 and long["more"]["arguments"]["offset"] == 15
+    agent = api.Agent(spark, result.graph, [audit.Rule("ASSOCIATED_WITH", ("direction",))])
+    asked = json.loads(say("tools/call", name="sql_query", arguments={"sql": "SELECT rule, total FROM ontology_audit(level => 'warn')"})["result"]["content"][0]["text"])
+    assert asked["rows"] == [{"rule": "ASSOCIATED_WITH.required_properties", "total": result.graph.edges["ASSOCIATED_WITH"].count()}]
     assert "only one statement" in say("tools/call", name="sql_query", arguments={"sql": "DROP VIEW node_Taxon"})["error"]["message"]
     assert say("nothing")["error"]["code"] == -32601 and agent.answer(json.dumps({"method": "x"})) is None
     over = json.loads(say("tools/call", name="graph_overview", arguments={})["result"]["content"][0]["text"])
@@ -186,6 +189,20 @@ def test_missing_and_malformed_inputs_are_skips(spark, tmp_path, data):
         build.build(spark, f"{data}/raw", [s for s in preps.SOURCES if s.name in ("masi", "taxonomy")], preps.DOCUMENT, strict)
 
 
+def test_a_source_that_fails_late_is_taken_back(spark, data):
+    """Rows that cannot be read surface when a table is written: the source goes with all it wrote, the others stay."""
+
+    def late(spark, raw, frames):
+        frames.put("taxon", spark.createDataFrame([("999",)], "tax_id string"), ["tax_id"])
+        frames.put("extra", spark.createDataFrame([("1",)], "x string"))
+        frames.put("extra", spark.range(3).select(F.raise_error(F.lit("a malformed row")).cast("string").alias("x")))
+
+    taxonomy = next(s for s in preps.SOURCES if s.name == "taxonomy")
+    got = build.build(spark, f"{data}/raw", [taxonomy, build.Source("late", (), ("taxonomy",), late)], preps.DOCUMENT)
+    assert got.loaded == ["taxonomy"] and "malformed row" in got.skipped["late"]
+    assert "extra" not in got.frames.names() and "999" not in {r["tax_id"] for r in got.frames.rows("taxon").collect()}
+
+
 def test_status_and_command_line(data, tmp_path):
     found = api.prepare(data)
     assert found["hmdb"]["state"] == "present" and found["taxonomy"]["state"] == "present"
@@ -209,13 +226,15 @@ def test_schema_helpers():
 
 
 def test_term_paths_and_flags(spark):
-    leaf = lambda t: {"term": t, "level": "1", "descendants": None}
-    one = {"term": "a", "level": "0", "descendants": {"descendant": [{"term": "b", "level": "1", "descendants": {"descendant": [{"term": "c", "level": "2", "descendants": "deep"}]}}]}}
-    df = spark.createDataFrame([(one,)], f"t {readers.term_tree_type(2)}").select(readers.term_paths(F.col("t"), 2).alias("p"))
-    with pytest.raises(Exception, match="deeper"):
-        df.collect()
-    ok = {"term": "a", "level": "0", "descendants": {"descendant": [{"term": "b", "level": "1", "descendants": {"descendant": [leaf("c")]}}, {"term": "d", "level": "1", "descendants": None}]}}
-    assert spark.createDataFrame([(ok,)], f"t {readers.term_tree_type(2)}").select(readers.term_paths(F.col("t"), 2).alias("p")).first()[0] == [["a"], ["a", "b"], ["a", "b", "c"], ["a", "d"]]
+    node = lambda t, *below: f"<descendant><term>{t}</term><level>1</level>" + (f"<descendants>{''.join(below)}</descendants>" if below else "<descendants/>") + "</descendant>"
+    inner = node("d40")
+    for i in range(39, 0, -1):
+        inner = node(f"d{i}", inner, node(f"s{i}"))
+    whole = f"<root><term>a & b < c</term><descendants>{node('b', node('c'))}{node('d')}</descendants></root><root><term>r</term><descendants>{inner}</descendants></root><root><term/></root>"
+    got = spark.createDataFrame([(whole,), (None,), ("",)], "x string").select(readers.tree_paths(F.col("x")).alias("p")).collect()
+    first = got[0][0]
+    assert first[:4] == [["a & b < c"], ["a & b < c", "b"], ["a & b < c", "b", "c"], ["a & b < c", "d"]] and got[1][0] == got[2][0] == []
+    assert first[4:][:41] == [["r", *[f"d{k}" for k in range(1, i + 1)]] for i in range(41)] and ["r", *[f"d{k}" for k in range(1, 39)], "s39"] in first and len(first) == 4 + 1 + 40 + 39
     genes = spark.createDataFrame([("g1", "1", "0", "1"), ("g2", "0", "0", "1")], "gene string, A string, B string, M string")
     got = readers.flagged_columns(genes, "gene", {"A": "Parent drug", "B": "Parent drug", "M": "mass"}, "Parent drug")
     assert {r["gene"]: r["labels"] for r in got.collect()} == {"g1": ["A"], "g2": []}

@@ -7,7 +7,7 @@ import zlib
 import pytest
 from pyspark.sql import functions as F
 
-from evigraph.operators import audit, classify, reconcile, schema, search, tables
+from evigraph.operators import audit, classify, reconcile, schema, search, tables, trees
 from evigraph.operators.graph import Graph, closure, shortest_path, variable_length
 from evigraph.sources import readers
 
@@ -59,7 +59,7 @@ def test_promotion_scope_and_roots(spark, taxonomy):
     assert up[12] == 11 and up[13] == 11 and up[15] == 11 and up[14] == 14 and up[10] == 10
     cited = spark.createDataFrame([(21,)], "tax_id long")
     assert {r.tax_id for r in reconcile.scope(nodes, cited, [10]).collect()} == {10, 11, 12, 13, 15, 9, 2, 1, 21, 20}
-    lines = closure(nodes.select(F.col("tax_id").alias("child"), F.col("parent_id").alias("parent")))
+    lines = trees.labelled(nodes.select(F.col("tax_id").alias("child"), F.col("parent_id").alias("parent")))
     both = spark.createDataFrame([("twin", 10), ("twin", 21), ("amb", 11), ("amb", 10)], "key string, tax_id long")
     assert [tuple(r) for r in reconcile.one_under(both, lines, [2]).collect()] == [("twin", 10)]
 
