@@ -3,7 +3,7 @@
 A lexical step maps the words of a clause to symbols: insult, threat, target, negation, reporting verb, other, and marks its end. Four transducers are composed into
 one machine that rewrites insults and threats by what stands around them in the clause: negated, reported, aimed at a target before or after (that one writes with a
 delay of its reach), or plain. The machine's arcs carry the weight of what they write; a clause's weight is the sum along its path and a document's score the logistic function of the
-bias and its clauses' weights. Weights are bound so that one untargeted match stays under the threshold in any text, while one that is aimed at somebody, or several, may pass it.
+bias and its clauses' weights. Weights are bound so that one word aimed at nobody, however often it is said, stays under the threshold in any text, while one that is aimed at somebody, or several different ones, may pass it.
 
 The insult lexicon grows from labelled rows and the weights are fitted to them, by default over at most SAMPLE labelled rows (a documented bound of the
 training sample, in order of a hash of their ids); labels, language, source and id are no inputs of a score. Whole texts are scored in one pass
@@ -32,20 +32,21 @@ STEM_LETTERS, STEM_SHARE = (4, 5, 6), 0.95
 #: Seed words (fixed values).
 INSULTS = "bastard clown creep cretin disgusting dumb dumbass fool idiot idiotic idiots imbecile jerk loser losers moron moronic morons pathetic pig scum scumbag stupid trash ugly vermin worthless idiota estúpido imbécil dummkopf trottel abschaum crétin connard".split()
 THREATS = "beat burn destroy hang hurt kill murder punish shoot slap stab strangle".split()
-TARGETS = "you your yourself u he him she her they them their this that these those people du dich ihr sie dieser diese dieses tu vous il elle ils ce cet cette tú usted él ella ellos este esta".split()
+TARGETS = "you your yourself u he him she her they them their people du dich ihr sie tu vous il elle ils tú usted él ella ellos".split()
 NEGATIONS = "not no never nobody neither nor isn't aren't wasn't don't doesn't didn't won't nicht kein keine nie pas jamais nunca".split()
 REPORTS = "said says saying called calls calling wrote writes quoted quotes reported claimed claims according sagte sagt schrieb dit disait écrit dijo dice escribió".split()
 
 SYMBOLS = "ihygqo"  # insult, threat, target, negation, report, other
 #: What a match may become: negated, reported, aimed, plain; for insults and for threats.
 KINDS = ("aimed", "plain", "reported", "negated", "threat", "idle_threat")
+AIMED_KINDS = ("aimed", "threat")
 #: Weights before any label is seen; a fit is drawn towards them.
 PRIOR = {"bias": -4.5, "aimed": 5.8, "plain": 3.0, "reported": 0.6, "negated": 0.3, "threat": 5.6, "idle_threat": 0.4}
 FEATURES = ("bias", *KINDS)
 #: The most that one match which is not aimed may reach with the bias (a score of 0.6), and how many of a kind a text counts when weights are fitted.
 ALONE, MOST_COUNTED = 0.4, 3
-#: The least that one match aimed at somebody reaches with the bias (a score of 0.73).
-AT_SOMEBODY = 1.0
+#: What one match aimed at somebody is thought to reach with the bias (a score of 0.77) before labels say otherwise.
+AT_SOMEBODY = 1.2
 WORD = re.compile(r"[^\W\d_]+(?:'[^\W\d_]+)?")
 CLAUSE_END = re.compile(r"[.!?;\n]")
 
@@ -145,26 +146,31 @@ class Grammar:
             out.append("i" if symbol == "o" and self.stem and self.stem.match(w) else symbol)
         return "".join(out) + END * GAP
 
-    def clause(self, words: list[str]) -> tuple[Counter, float]:
-        """What the matches of one clause become, and the clause's weight."""
+    def clause(self, words: list[str], said: set[tuple[str, str]] | None = None) -> tuple[Counter, float]:
+        """What the matches of one clause become, and the clause's weight. With `said`, a word that is aimed at nobody counts once in a text: it holds those that were."""
         state, found, weight = 0, Counter(), 0.0
-        for symbol in self.line(words):
+        for at, symbol in enumerate(self.line(words), -GAP):  # the machine writes a word's symbol GAP words later
             state, kind, w = self.arcs[state, symbol]
-            if kind:
-                found[kind] += 1
-                weight += w
+            if not kind:
+                continue
+            if said is not None and kind not in AIMED_KINDS:
+                if (kind, words[at]) in said:
+                    continue
+                said.add((kind, words[at]))
+            found[kind] += 1
+            weight += w
         return found, weight
 
     def read(self, text: str) -> tuple[Counter, float]:
         """Rewritten matches of all clauses and their weight; clauses without a match are not read further."""
-        low, found, done, weight = text.lower(), Counter(), -1, 0.0
+        low, found, done, weight, said = text.lower(), Counter(), -1, 0.0, set()
         for m in self.match.finditer(low):
             if m.start() < done:
                 continue
             start = max(low.rfind(c, 0, m.start()) for c in ".!?;\n") + 1
             end = CLAUSE_END.search(low, m.end())
             done = end.start() if end else len(low)
-            own, w = self.clause(WORD.findall(low, start, done))
+            own, w = self.clause(WORD.findall(low, start, done), said)
             found += own
             weight += w
         return found, weight
@@ -218,17 +224,18 @@ def learn_insults(rows: list[tuple[str, int]]) -> tuple[list[str], list[str]]:
 
 
 def fit_weights(x, y, steps: int = 60):
-    """Logistic regression drawn towards PRIOR, by damped Newton steps. Match weights stay at or above zero, a single match that is not aimed at anybody stays at
-    or below ALONE, one that is reaches AT_SOMEBODY."""
+    """Logistic regression drawn towards PRIOR, by damped Newton steps. Match weights stay at or above zero and a single match that is not aimed at anybody at or below ALONE; one that is aimed is drawn to
+    AT_SOMEBODY above the bias."""
     import numpy as np
 
     x, y = np.asarray(x, float).reshape(len(y), len(FEATURES)), np.asarray(y, float)
     prior = np.array([PRIOR[f] for f in FEATURES])
     pull = np.array([10.0, *[4.0] * len(KINDS)])
     idle = [FEATURES.index(k) for k in ("plain", "reported", "negated", "idle_threat")]
-    aimed = [FEATURES.index(k) for k in ("aimed", "threat")]
+    aimed = [FEATURES.index(k) for k in AIMED_KINDS]
     w = prior.copy()
     for _ in range(steps):
+        prior[aimed] = AT_SOMEBODY - w[0]
         p = 1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))
         grad = x.T @ (p - y) + pull * (w - prior)
         hess = (x * (p * (1 - p))[:, None]).T @ x + np.diag(pull + 1e-6)
@@ -236,7 +243,6 @@ def fit_weights(x, y, steps: int = 60):
         w = w - step
         w[1:] = np.maximum(w[1:], 0)
         w[idle] = np.minimum(w[idle], ALONE - w[0])
-        w[aimed] = np.maximum(w[aimed], AT_SOMEBODY - w[0])
         if np.abs(step).max() < 1e-6:
             break
     return dict(zip(FEATURES, w.tolist(), strict=True))

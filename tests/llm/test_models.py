@@ -93,6 +93,60 @@ def test_toxicity(spark, docs, rows):
     assert toxicity.toxicity(docs, none).count() == len(rows)
 
 
+HARMLESS = ("The pig ate. The pig slept.", "These pig farms", "These tomatoes and that trash bag", "This clown act was fun.", "They burn wood in that stove.", "The clown said it. A clown! Clown, clown.")
+AIMED = ("You are a pig.", "you stupid idiot", "I will kill you", "They are such losers", "what an idiot he is")
+
+
+def second_score(text, grammar):
+    """A plain scorer: for every listed word look around it in its clause, by the words of the grammar's rules and no machine."""
+    import re
+
+    weight, once = 0.0, set()
+    for clause in re.split(r"[.!?;\n]", text.lower()):
+        words = toxicity.WORD.findall(clause)
+        sign = [grammar.symbol.get(w, "o") for w in words]
+        for i, s in enumerate(sign):
+            if s not in "ih":
+                continue
+            opened = [j for j in range(max(0, i - 3), i)]
+            if any(sign[j] == "g" for j in opened):
+                kind = "negated"
+            elif "q" in sign[:i]:
+                kind = "reported"
+            elif s == "i" and any(sign[j] == "y" for j in opened):
+                kind = "aimed"
+            elif "y" in sign[i + 1 : i + 4]:
+                kind = "aimed" if s == "i" else "threat"
+            else:
+                kind = "plain" if s == "i" else "idle_threat"
+            if kind in ("aimed", "threat") or (kind, words[i]) not in once:
+                once.add((kind, words[i]))
+                weight += grammar.weights[kind]
+    return grammar.score(weight)
+
+
+def test_harmless_and_aimed_texts_and_a_second_scorer():
+    rng = random.Random(4)
+    texts = [f"you {w} there" for w in ("idiot", "moron", "clown")] * 12 + ["idiot and moron and scum"] * 10
+    clean = [invented(rng, "en", 30) for _ in range(200)] + ["the clown act"] * 4
+    fitted = toxicity.fit_weights([toxicity.features(toxicity.Grammar(toxicity.INSULTS, [], toxicity.PRIOR).matches(t)) for t in texts + clean], [1] * len(texts) + [0] * len(clean))
+    for weights in (toxicity.PRIOR | {"aimed": toxicity.AT_SOMEBODY - toxicity.PRIOR["bias"], "threat": toxicity.AT_SOMEBODY - toxicity.PRIOR["bias"]}, fitted):
+        g = toxicity.Grammar(toxicity.INSULTS, [], weights)
+        assert all(g.score(g.read(t)[1]) < toxicity.THRESHOLD for t in HARMLESS)
+        assert all(g.score(g.read(t)[1]) >= toxicity.THRESHOLD for t in AIMED)
+        some = [*toxicity.INSULTS[:4], *toxicity.THREATS[:3], *toxicity.TARGETS[:4], *toxicity.NEGATIONS[:3], *toxicity.REPORTS[:3], "house", "tree", "stone", ".", "!"]
+        for _ in range(400):
+            t = " ".join(rng.choices(some, k=rng.randint(1, 25)))
+            assert math.isclose(g.score(g.read(t)[1]), second_score(t, g), abs_tol=1e-9), t
+
+
+def test_labels_override_what_is_thought_of_aimed_words():
+    """Where aimed words stand in clean texts alone, their weight falls under the threshold: there is no floor."""
+    aimed = [toxicity.features(Counter(aimed=1))] * 300
+    w = toxicity.fit_weights(aimed + [toxicity.features(Counter())] * 300, [0] * 600)
+    assert w["bias"] + w["aimed"] < 0.8
+
+
 def test_grammar():
     g = toxicity.Grammar(toxicity.INSULTS, ["lowe"], toxicity.PRIOR)
     assert g.matches("You idiot.") == Counter(aimed=1)
