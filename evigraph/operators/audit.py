@@ -31,14 +31,32 @@ def _bad_type(c: str, kind: str) -> Column:
     return F.col(c).isNotNull() & F.col(c).cast("string").try_cast(kind).isNull()
 
 
+def _checks(rule: Rule) -> list[tuple[str, Column]]:
+    """(name, test of a broken row) of a rule's checks."""
+    broken = reduce(lambda a, b: a | b, [_missing(c) for c in rule.required])
+    return [(f"{rule.name}.required_properties", broken)] + [(f"{rule.name}.type_{c}", _bad_type(c, k)) for c, k in rule.types]
+
+
+def measures(rules: list[Rule]) -> dict[str, Column]:
+    """The rows, and the violations of each check, as aggregates that can be taken while rows are written (I1, I2); exempt rows and groups need audit()."""
+    return {"rows": F.count(F.lit(1)), **{name: F.sum(F.when(test, 1).otherwise(0)).cast("long") for r in rules for name, test in _checks(r)}}
+
+
+def measured_audit(spark, rules: list[Rule], taken: dict[str, dict]) -> DataFrame | None:
+    """The report audit() gives, from what was measured (name of the relation -> measures); none without a population."""
+    rows = []
+    for r in rules:
+        own = taken.get(r.name.split(".")[0], {})
+        if own.get("rows"):
+            rows += [(name, r.severity, own[name], 0, own["rows"], round(100.0 * own[name] / own["rows"], 6)) for name, _ in _checks(r)]
+    return spark.createDataFrame(rows, "rule string, severity string, violations long, exempted long, total long, pct double") if rows else None
+
+
 def audit(df: DataFrame, rule: Rule, by: list[str] | None = None, exempt: Column | None = None) -> DataFrame:
     """(rule, severity, violations, exempted, total, pct): a row that misses several required fields counts once, one that is exempt as exempted; groups come from the data, so none is empty."""
     free = F.coalesce(exempt, F.lit(False)) if exempt is not None else F.lit(False)
-    broken = reduce(lambda a, b: a | b, [_missing(c) for c in rule.required])
-    checks = [(f"{rule.name}.required_properties", broken)]
-    checks += [(f"{rule.name}.type_{c}", _bad_type(c, k)) for c, k in rule.types]
     parts = []
-    for name, test in checks:
+    for name, test in _checks(rule):
         counts = [F.sum(F.when(x, 1).otherwise(0)).cast("long").alias(n) for x, n in ((test & ~free, "violations"), (test & free, "exempted"))]
         got = df.groupBy(*(by or [])).agg(*counts, F.count(F.lit(1)).alias("total")).filter("total > 0")
         pct = F.round(F.col("violations") * F.lit(100.0) / F.col("total"), 6)

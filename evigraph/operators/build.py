@@ -68,8 +68,9 @@ class BuildResult:
     frames: Frames | None = field(default=None, repr=False)
 
 
-def load(document: dict, frames: Frames) -> Graph:
-    """Nodes and edges of a document from typed frames; types whose tables are absent are left out. Endpoints that no node has become stub nodes with nothing but an id."""
+def load(document: dict, frames: Frames, rules: list[audit.Rule] = ()) -> Graph:
+    """Nodes and edges of a document from typed frames; types whose tables are absent are left out. Endpoints that no node has become stub nodes with nothing but an id. Rows are counted and held against the rules
+    for their relation in the pass that writes them."""
     kept = schema.prune(document, frames.names())
     types, g = schema.declared_types(kept), Graph()
 
@@ -84,14 +85,15 @@ def load(document: dict, frames: Frames) -> Graph:
             g.add_edges(kind, rows(spec), spec["src"], spec["dst"], spec["source"], spec["target"])
     ends: dict[str, list[DataFrame]] = {}
     for kind, (source, target) in g.ends.items():
-        g.edges[kind] = cut(g.edges[kind])
+        own = [r for r in rules if r.name.split(".")[0] == kind]
+        g.edges[kind] = cut(g.edges[kind], audit.measures(own), g.measured.setdefault(("edge", kind), {}))
         for end, label in (("src", source), ("dst", target)):
             ends.setdefault(label, []).append(g.edges[kind].select(F.col(end).cast(g.nodes[label].schema["id"].dataType).alias("id")))
     for label, df in g.nodes.items():  # all ends of a label at once: a turn for each type would double the plan each time
         if label in ends:
             lost = reduce(DataFrame.unionByName, ends[label]).distinct().join(df.select("id"), "id", "left_anti")
             df = df.unionByName(lost, allowMissingColumns=True)
-        g.nodes[label] = cut(df)
+        g.nodes[label] = cut(df, audit.measures([]), g.measured.setdefault(("node", label), {}))
     return g
 
 
@@ -119,19 +121,17 @@ def build(spark: SparkSession, raw: str, sources: list[Source], document: dict,
         loaded.append(name)
     if frames.rows("taxon") is None:
         return BuildResult(None, {}, loaded, skipped, None, False, frames)
-    g = load(document, frames)
-    held = [r for r in schema.pruned_rules(list(rules), g.edges, g.nodes)]
-    checks = [audit.audit(g.edges[r.name.split(".")[0]], r) for r in held if r.name.split(".")[0] in g.edges]
-    report = {"counts": g.counts()}
-    if checks:
-        every = checks[0]
-        for c in checks[1:]:
-            every = every.unionByName(c)
-        report["audit"] = audit.gate(cut(every))
+    g = load(document, frames, list(rules))
+    held = [r for r in schema.pruned_rules(list(rules), g.edges, g.nodes) if r.name.split(".")[0] in g.edges]
+    counts = [(what, name, x["rows"]) for (what, name), x in g.measured.items() if x["rows"]]
+    report = {"counts": spark.createDataFrame(counts, "what string, name string, n long")}
+    checked = audit.measured_audit(spark, held, {name: x for (what, name), x in g.measured.items() if what == "edge"})
+    if checked is not None:
+        report["audit"] = audit.gate(checked)
     declared = {k: g.edges.get(k) for k in document.get("edges", {})}
     if any(e is not None for e in declared.values()):
         known = {k: e if e is None or {"primary_source", "source_record_id"} <= set(e.columns) else e.select(*[F.col(c) if c in e.columns else F.lit(None).cast("string").alias(c) for c in ("primary_source", "source_record_id")]) for k, e in declared.items()}
-        report["expansion"] = audit.expansions(known, "primary_source", "source_record_id", {k: e.count() for k, e in known.items() if e is not None})
+        report["expansion"] = audit.expansions(known, "primary_source", "source_record_id", {k: g.measured["edge", k]["rows"] for k, e in known.items() if e is not None})
     result = BuildResult(g, report, loaded, skipped, out, loaded == ["taxonomy"], frames)
     if out:
         save(result, out)

@@ -8,7 +8,7 @@ import uuid
 from dataclasses import dataclass, field
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
 
@@ -23,14 +23,20 @@ def checkpoint_dir(spark) -> str:
     return spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
 
 
-def cut(df: DataFrame) -> DataFrame:
-    """The rows written once to the shared folder and read back, so that later turns start from them and know their size. A column without a type becomes text."""
+def cut(df: DataFrame, measures: dict[str, Column] | None = None, into: dict | None = None) -> DataFrame:
+    """The rows written once to the shared folder and read back, so that later turns start from them and know their size. A column without a type becomes text. measures: aggregates that are taken of the rows
+    while they are written and put `into` a mapping, so that no other pass is needed for them."""
     sc = df.sparkSession.sparkContext
     if not getattr(sc, "_evigraph_cuts", None):
         sc._evigraph_cuts = shared_folder(df.sparkSession, "cuts")
     df = df.withColumns({c: F.col(f"`{c}`").cast("string") for c, kind in df.dtypes if kind == "void"})
     path = f"{sc._evigraph_cuts}/{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    if measures:
+        seen = Observation()
+        df.observe(seen, *[c.alias(k) for k, c in measures.items()]).write.parquet(path)
+        into |= seen.get
+    else:
+        df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
@@ -51,6 +57,7 @@ class Graph:
     ends: dict[str, tuple[str, str]] = field(default_factory=dict)
     above: dict[str, list[str]] = field(default_factory=dict)
     by_target: dict[str, DataFrame] = field(default_factory=dict)
+    measured: dict[tuple[str, str], dict] = field(default_factory=dict, repr=False)  # ("node" or "edge", name) -> what was measured when its rows were written
 
     def add_nodes(self, label: str, df: DataFrame, key: str, parents: tuple[str, ...] = ()) -> Graph:
         self.nodes[label] = df.withColumnRenamed(key, "id")

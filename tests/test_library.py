@@ -145,6 +145,22 @@ def test_audit_gate(spark):
     assert audit.audit(df.limit(0), audit.Rule("R", ("p",))).count() == 0
 
 
+def test_measures_taken_in_the_write(spark):
+    """One pass writes the rows and gives the report that audit() takes from them."""
+    from evigraph.operators.graph import cut
+
+    df = spark.createDataFrame([(1, "a", "5", None), (2, None, "x", None), (3, "c", None, None)], "id int, p string, q string, z void")
+    rules = [audit.Rule("R", ("p", "q"), "warn", (("q", "bigint"),)), audit.Rule("R.more", ("z",), "error")]
+    taken = {}
+    got = cut(df, audit.measures(rules), taken)
+    assert got.count() == taken["rows"] == 3 and dict(got.dtypes)["z"] == "string"
+    want = audit.audit(df, rules[0]).unionByName(audit.audit(df, rules[1]))
+    assert sorted(map(tuple, audit.measured_audit(spark, rules, {"R": taken}).collect())) == sorted(map(tuple, want.collect()))
+    none = {}
+    cut(df.limit(0), audit.measures(rules), none)
+    assert audit.measured_audit(spark, rules, {"R": none}) is None
+
+
 def test_schema():
     a = {"nodes": {"T": {"table": "t", "properties": {"x": "int"}}}, "list": [1], "_note": "a"}
     b = {"nodes": {"T": {"properties": {"y": "list"}}, "U": {"table": "u"}}, "list": [2, 1]}
