@@ -89,7 +89,7 @@ class BlockPostings:
             F.floor(F.col("cell") / SLICES).cast("int").alias("part"), "term", "range", F.size("p").alias("n"), F.array_max(F.transform("p", lambda x: x["tf"])).alias("tf_most"), F.array_min(F.transform("p", lambda x: x["dl"])).alias("dl_least"),
             F.transform("p", lambda x: x["doc"]).alias("docs"), F.transform("p", lambda x: x["tf"]).alias("tfs"), F.transform("p", lambda x: x["dl"]).alias("dls"),
         )
-        blocks.sortWithinPartitions("part", "term", "range").write.mode("overwrite").option("compression", "zstd").partitionBy("part").parquet(f"{path}/blocks")
+        blocks.sortWithinPartitions("part", "term", "range").write.mode("overwrite").partitionBy("part").parquet(f"{path}/blocks")
         made = BlockPostings(df.sparkSession, path, 0, 0.0, ", ".join(f"{c} {kind}" for c, kind in blocks.dtypes))
         total = F.sum(F.aggregate("dls", F.lit(0).cast("long"), lambda s, x: s + x))
         held = made._of([""]).agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n"), F.coalesce(total, F.lit(0)).alias("t")).first()
