@@ -211,7 +211,7 @@ def test_hard_negatives(spark, seed):
     rows = [(i, [rng.gauss(0.1, 0.4) for _ in range(6)], rng.randrange(3)) for i in range(0, 900)]
     rows += [(i, [0.5, 0.25, -0.5, 0.125, 0.0, 1.0], i % 2) for i in range(1000, 1300)]  # ties
     rows += [(1400, [0.5] * 6, 1), (1400, [0.5] * 6, 1), (1400, [0.5, 0.25, 0.5, 0.25, 0.5, 0.25], 1), (1401, [0.5] * 6, 1)]  # repeated rows, an id of two vectors
-    rows += [(2000, None, 1), (2100, [0.1] * 6, None), (2200, [0.1, None, 0, 0, 0, 0], 1), (2300, [float("nan")] * 6, 1), (2400, [float("inf")] * 6, 1), (None, [0.1] * 6, 1), (2500, [1e30] * 6, 1), (-100, [0.3] * 6, 0)]
+    rows += [(2000, None, 1), (2100, [0.1] * 6, None), (2200, [0.1, None, 0.0, 0.0, 0.0, 0.0], 1), (2300, [float("nan")] * 6, 1), (2400, [float("inf")] * 6, 1), (None, [0.1] * 6, 1), (2500, [1e30] * 6, 1), (-100, [0.3] * 6, 0)]
     rows += [(3000, [], 1), (3001, [], 1), (3002, [], 2), (4000, [0.2, 0.1], 1), (4001, [0.2, 0.1], 1), (4002, [0.1, 0.1], 2)]  # other lengths; a positive score of 0
     df = spark.createDataFrame([(*r, 5, 0.5) for r in rows], "vec_id long, embedding array<float>, label int, key int, score double").repartition(4)
     as_read = [(r.vec_id, r.embedding, r.label) for r in df.collect()]
