@@ -19,8 +19,9 @@ from pyspark.sql import functions as F
 from ..session import ship
 
 K1, B = 1.2, 0.75
-#: Folders of the postings, tasks that may share one, documents aimed at in a range, steps of the length to a power of two, ranges scored for the first threshold.
+#: Folders of the postings, tasks that share one at least (more where a task would get over SLICE_RANGES ranges of a length), documents aimed at in a range, steps of the length to a power of two, ranges scored for the first threshold.
 PARTS, SLICES, RANGE_DOCS, LENGTH_STEPS, FIRST = 16, 16, 128, 3, 8
+SLICE_RANGES = 64
 #: Like lengths share a range in about so many groups, so a range of one group is no larger than so many times RANGE_DOCS.
 GROUPS = 8
 
@@ -80,13 +81,14 @@ class BlockPostings:
         kind = rows.schema["doc"].dataType.simpleString()
         found = rows.mapInArrow(_counted, f"doc {kind}, dl int, term string, tf int")
         place = F.floor(F.log2(F.col("dl") + 1.0) * LENGTH_STEPS) * ranges + F.pmod(F.xxhash64("doc"), F.lit(ranges))
-        # one shuffle, of narrow rows: a folder's postings go to SLICES tasks by their range, so a term of all documents is dealt over these; the range follows again from the row
-        cell = part_of("term") * SLICES + F.pmod(place, F.lit(SLICES)).cast("int")
+        # one shuffle, of narrow rows: a folder's postings go to SLICES tasks or more by their range, so a term of all documents is dealt over these; the range follows again from the row
+        slices = max(SLICES, math.ceil(ranges / SLICE_RANGES))
+        cell = part_of("term") * slices + F.pmod(place, F.lit(slices)).cast("int")
         dealt = found.select("doc", F.shiftleft(F.col("tf").cast("long"), 32).bitwiseOR(F.col("dl").cast("long")).alias("both"), "term", cell.alias("cell")).repartition("cell")
         dealt = dealt.select("doc", "cell", "term", F.shiftright("both", 32).cast("int").alias("tf"), F.col("both").bitwiseAND(F.lit(0xFFFFFFFF)).cast("int").alias("dl"))
         blocks = dealt.withColumn("range", place).groupBy("cell", "term", "range").agg(F.array_sort(F.collect_list(F.struct("doc", "tf", "dl"))).alias("p"))  # the documents of one range at most
         blocks = blocks.select(
-            F.floor(F.col("cell") / SLICES).cast("int").alias("part"), "term", "range", F.size("p").alias("n"), F.array_max(F.transform("p", lambda x: x["tf"])).alias("tf_most"), F.array_min(F.transform("p", lambda x: x["dl"])).alias("dl_least"),
+            F.floor(F.col("cell") / slices).cast("int").alias("part"), "term", "range", F.size("p").alias("n"), F.array_max(F.transform("p", lambda x: x["tf"])).alias("tf_most"), F.array_min(F.transform("p", lambda x: x["dl"])).alias("dl_least"),
             F.transform("p", lambda x: x["doc"]).alias("docs"), F.transform("p", lambda x: x["tf"]).alias("tfs"), F.transform("p", lambda x: x["dl"]).alias("dls"),
         )
         blocks.sortWithinPartitions("part", "term", "range").write.mode("overwrite").partitionBy("part").parquet(f"{path}/blocks")

@@ -85,7 +85,7 @@ def plain_bm25(rows, terms):
     return out
 
 
-def test_block_postings(spark, tmp_path):
+def test_block_postings(spark, tmp_path, monkeypatch):
     rng = random.Random(2)
     vocabulary = [f"w{i}" for i in range(400)]
     rows = [(i, " ".join(vocabulary[min(399, int(rng.expovariate(0.02)))] for _ in range(rng.choice([3, 10, 40, 200])))) for i in range(4000)]
@@ -103,6 +103,11 @@ def test_block_postings(spark, tmp_path):
         read, held = index.read_of(terms, 10)
         assert 0 < read < held * least, (terms, read, held)
     assert index.search(["none"]).count() == 0 and index.top([], 3).count() == 0 and index.read_of(["none"], 3) == (0, 0)
+    from evigraph.operators import postings
+
+    monkeypatch.setattr(postings, "SLICE_RANGES", 1)  # more tasks a folder
+    again = BlockPostings.build(df, "id", "name", str(tmp_path / "r"), range_docs=8)
+    assert again.top(["w0", "w350"], 20).collect() == index.top(["w0", "w350"], 20).collect()
     empty = BlockPostings.build(df.limit(0), "id", "name", str(tmp_path / "q"))
     assert empty.n == 0 and empty.top(["w0"], 3).count() == 0
 
