@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..session import ship
 from .postings import K1, B, BlockPostings
 from .vectors import InvertedFile, cosine
 
@@ -99,18 +100,34 @@ def embedder(model: str, width: int = WIDTH):
     return chargram_vectors
 
 
+def _gram_vectors():
+    """A pandas UDF of normal texts: their vectors, row by row."""
+
+    def vectors(text):
+        import zlib
+
+        import numpy as np
+        import pandas as pd
+
+        out = np.zeros((len(text), WIDTH))
+        for i, t in enumerate(text):
+            t = t or ""
+            h = np.fromiter((zlib.crc32(t[k : k + n].encode("utf-8", "replace")) for n in (3, 4, 5) for k in range(len(t) - n + 1)), np.int64)
+            out[i] = np.bincount(h % WIDTH, weights=np.where(h & 65536, 1.0, -1.0), minlength=WIDTH)
+        out = np.where(out == 0, 0.0, np.sign(out) * (1 + np.log(np.maximum(np.abs(out), 1))))
+        size = np.sqrt((out * out).sum(axis=1, keepdims=True))
+        return pd.Series(list(out / np.where(size > 0, size, 1)))
+
+    return F.pandas_udf(vectors, "array<double>")
+
+
 def chargram_vectors(df: DataFrame, key: str, text: str) -> DataFrame:
-    """(doc, vec): 256 slots of signed, damped counts of 3-, 4- and 5-grams, of length 1; all JVM functions. No gram: all zero."""
-    norm = F.concat(F.lit(" "), F.trim(F.regexp_replace(F.lower(F.col(text)), r"[^\p{L}\p{N}]+", " ")), F.lit(" "))
-    rows = df.select(F.col(key).alias("doc"), norm.alias("t"))
-    grams = F.flatten(F.array(*[F.when(F.length("t") >= n, F.transform(F.sequence(F.lit(1), F.length("t") - n + 1), (lambda n: lambda i: F.substring(F.col("t"), i, F.lit(n)))(n))).otherwise(F.array().cast("array<string>")) for n in (3, 4, 5)]))
-    slots = rows.select("doc", F.explode(grams).alias("g")).withColumn("h", F.crc32("g"))
-    counts = slots.groupBy("doc", (F.col("h") % WIDTH).alias("slot")).agg(F.sum(F.when(F.col("h").bitwiseAND(65536) != 0, 1).otherwise(-1)).alias("c"))
-    damped = counts.filter("c != 0").withColumn("v", F.signum("c") * (1 + F.log(F.abs("c"))))
-    maps = damped.groupBy("doc").agg(F.map_from_entries(F.collect_list(F.struct("slot", "v"))).alias("m"), F.sqrt(F.sum(F.col("v") * F.col("v"))).alias("norm"))
-    dense = F.transform(F.sequence(F.lit(0), F.lit(WIDTH - 1)), lambda i: F.coalesce(F.try_element_at("m", i.cast("long")) / F.col("norm"), F.lit(0.0)))
-    zero = F.array_repeat(F.lit(0.0), WIDTH)
-    return df.select(F.col(key).alias("doc")).join(maps, "doc", "left").select("doc", F.when(F.col("m").isNull(), zero).otherwise(dense).alias("vec"))
+    """(doc, vec) of each row: 256 slots of signed, damped counts of 3-, 4- and 5-grams, of length 1. No gram: all zero. Names lie tight on disk, so a few splits hold very many: the narrow rows are dealt anew, the wide ones
+    are neither shuffled nor joined."""
+    ship(df.sparkSession)
+    rows = df.select(F.col(key).alias("doc"), F.col(text).alias("t")).repartition("doc")
+    norm = F.concat(F.lit(" "), F.trim(F.regexp_replace(F.lower("t"), r"[^\p{L}\p{N}]+", " ")), F.lit(" "))
+    return rows.select("doc", _gram_vectors()(norm).alias("vec"))
 
 
 def cosine_top_k(df: DataFrame, key: str, vec: str, query: list[float], k: int) -> DataFrame:

@@ -132,6 +132,17 @@ def probe_share(sample, c, k: int = 10, target: float = TARGET) -> float:
     return float(share[min(len(share) - 1, math.ceil(target * len(share)) - 1)])
 
 
+def _sampled(given: DataFrame, n: int, sample: int) -> list:
+    """The vectors of the first `sample` rows by a hash of their key. Only rows under a hash that about twice as many lie under are ordered, so that all tasks together hand the driver that many, not `sample` each."""
+    usable, share = given.filter("vec is not null"), min(1.0, 2 * sample / max(1, n))
+    while True:
+        under = usable if share >= 1 else usable.filter(F.xxhash64("doc") <= F.lit(int(share * 2**64) - 2**63))
+        taken = under.orderBy(F.xxhash64("doc"), "doc").limit(sample).collect()
+        if share >= 1 or len(taken) == sample:
+            return [r["vec"] for r in taken]
+        share = min(1.0, 8 * share)
+
+
 class InvertedFile:
     """An index of vectors at a path: open it with opened(), build it with build()."""
 
@@ -153,8 +164,7 @@ class InvertedFile:
         ship(spark)
         given = df.select(F.col(key).alias("doc"), F.col(vec).alias("vec"))
         n = given.count()
-        # the sample goes to the driver: `sample` vectors at most
-        taken = [r["vec"] for r in given.filter("vec is not null").orderBy(F.xxhash64("doc"), "doc").limit(sample).collect()]
+        taken = _sampled(given, n, sample)
         sizes = [len(v) for v in taken]
         width = max(set(sizes), key=lambda w: (sizes.count(w), w)) if sizes else 1
         own = np.empty(len(taken), object)

@@ -130,3 +130,18 @@ def test_registry(spark, tmp_path):
             wrong()
     with pytest.raises(ValueError):
         search.embedder("other")
+
+
+def test_vectors_are_neither_joined_nor_gathered(spark):
+    """A join's build side and a sample from each task both grew in the driver with the names."""
+    from pyspark.sql import functions as F
+
+    from evigraph.operators import vectors
+
+    names = spark.range(5000).selectExpr("id", "concat('name ', id) as name")
+    made = search.chargram_vectors(names, "id", "name")
+    assert "Join" not in made._jdf.queryExecution().executedPlan().toString()
+    given = names.selectExpr("id as doc", "if(id % 10 < 8, null, array(double(id))) as vec")  # few are usable: more is read
+    for sample in (7, 700, 3000):
+        want = given.filter("vec is not null").orderBy(F.xxhash64("doc"), "doc").limit(sample).collect()
+        assert vectors._sampled(given, 5000, sample) == [r["vec"] for r in want]
