@@ -157,8 +157,9 @@ def owner_replace(spark, sf):
 
 @query("tbl_sum_dup", "SELECT l_partkey, sum(l_linenumber)::BIGINT AS l_linenumber, arg_min(l_returnflag, (l_orderkey, l_linenumber)) AS l_returnflag FROM lineitem GROUP BY 1")
 def sum_dup(spark, sf):
-    rows = t(spark, sf, "lineitem").select("l_partkey", "l_orderkey", F.col("l_linenumber").alias("seq"), F.col("l_linenumber").cast("string").alias("l_linenumber"), "l_returnflag")
-    return tables.sum_on_duplicate(rows, ["l_partkey"], ["l_linenumber"], ["l_orderkey", "seq"]).select("l_partkey", "l_linenumber", "l_returnflag")
+    # lines of one order and number are told apart by their place in the file
+    rows = t(spark, sf, "lineitem").select("l_partkey", "l_orderkey", F.col("_metadata.row_index").alias("at"), F.col("l_linenumber").alias("seq"), F.col("l_linenumber").cast("string").alias("l_linenumber"), "l_returnflag")
+    return tables.sum_on_duplicate(rows, ["l_partkey"], ["l_linenumber"], ["l_orderkey", "seq", "at"]).select("l_partkey", "l_linenumber", "l_returnflag")
 
 
 @query("tbl_full_dedupe", "SELECT DISTINCT event_type::VARCHAR AS event_type, user_id::VARCHAR AS user_id FROM events")
