@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import functions as F
 
 from ..operators import audit, procedures, search
@@ -227,11 +229,21 @@ def contains(spark, sf):
     return ask(spark, "SELECT p_partkey AS id, p_name AS name, p_size AS status FROM evigraph_part WHERE contains(lower(p_name), lower(:name)) ORDER BY name, id LIMIT 10", {"name": "RING"})
 
 
+#: Customers to a deal of cross_property.
+DEALT = 200_000
+
+
 @query("cross_property", "SELECT s_suppkey, c_custkey FROM supplier JOIN customer ON s_nationkey = c_nationkey WHERE s_acctbal > c_acctbal * 20")
 def cross_property(spark, sf):
-    """Properties of two nodes of one match are compared after the equi-join."""
-    c = t(spark, sf, "customer").select("c_custkey", "c_nationkey", "c_acctbal")
-    return t(spark, sf, "supplier").join(c, F.col("s_nationkey") == F.col("c_nationkey")).filter("s_acctbal > c_acctbal * 20").select("s_suppkey", "c_custkey")
+    """Properties of two nodes of one match are compared after the equi-join (G34). The result grows with the product of both tables, so a nation's customers are dealt over more tasks as they grow, each with all its suppliers;
+    a customer that no supplier of its nation exceeds goes first."""
+    c, s = t(spark, sf, "customer").select("c_custkey", "c_nationkey", "c_acctbal"), t(spark, sf, "supplier")
+    deals = max(1, math.ceil(c.count() / DEALT))
+    most = s.groupBy(F.col("s_nationkey").alias("c_nationkey")).agg(F.max("s_acctbal").alias("most"))
+    c = c.join(most, "c_nationkey").filter("most > c_acctbal * 20").withColumn("deal", F.pmod(F.xxhash64("c_custkey"), F.lit(deals)))
+    s = s.withColumn("deal", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(deals - 1).cast("long"))))
+    same = (F.col("s_nationkey") == F.col("c_nationkey")) & (s["deal"] == c["deal"])
+    return s.hint("merge").join(c, same).filter("s_acctbal > c_acctbal * 20").select("s_suppkey", "c_custkey")
 
 
 @query("path_labels", "SELECT c_custkey AS customer_id, 'Customer>Nation>Region' AS labels, c_nationkey || '>' || n_regionkey AS ids FROM customer JOIN nation ON c_nationkey = n_nationkey")
