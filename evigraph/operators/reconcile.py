@@ -191,8 +191,10 @@ def route_join(asked: DataFrame, key: str, variants: str, index: DataFrame) -> D
     the others' hits stay in `also`; none: route 'minted'."""
     named = "route" in asked.schema[variants].dataType.elementType.names
     tried = asked.select(key, F.explode_outer(variants).alias("v")).select(key, "v.pos", "v.kind", "v.value", F.col("v.route" if named else "v.kind").alias("named"))
-    hits = tried.join(index, ["kind", "value"])
-    best = hits.groupBy(key).agg(F.min(F.struct("pos", "named", "target")).alias("m"), F.array_sort(F.collect_set("target")).alias("every"))
+    # a row a spelling, however many targets claim it: a variant meets one row, and hits are no more than variants
+    once = index.filter("target is not null").groupBy("kind", "value").agg(F.min("target").alias("target"), F.collect_set("target").alias("targets"))
+    hits = tried.join(once, ["kind", "value"])
+    best = hits.groupBy(key).agg(F.min(F.struct("pos", "named", "target")).alias("m"), F.array_sort(F.array_distinct(F.flatten(F.collect_set("targets")))).alias("every"))
     out = asked.select(key).join(best, key, "left")
     also = F.array_except("every", F.array("m.target"))
     return out.select(key, F.col("m.target").alias("target"), F.coalesce("m.named", F.lit("minted")).alias("route"), also.alias("also"))

@@ -174,7 +174,7 @@ SELECT p_partkey, CASE WHEN p_size % 4 = 0 THEN NULL ELSE p_brand END AS brand,
 CASE WHEN p_size % 2 = 0 THEN p_size END::BIGINT AS whole, '1|2|' || p_partkey AS ids, 'HMDB' || lpad(p_partkey::VARCHAR, 7, '0') AS hmdb, p_partkey AS cid, 'Brand' || p_size AS after FROM part WHERE p_partkey > 2""")
 def normalisers(spark, sf):
     p = t(spark, sf, "part").filter("p_partkey > 2")
-    size = F.col("p_size").cast("double")
+    size, key = F.col("p_size").cast("double"), F.col("p_partkey").cast("string")
     return p.select(
         "p_partkey",
         classify.null_words(F.when(F.col("p_size") % 4 == 0, " NA ").otherwise(F.col("p_brand")), "NA", "NULL", "n.a.").alias("brand"),
@@ -182,7 +182,7 @@ def normalisers(spark, sf):
         classify.doi(F.concat(F.lit("https://doi.org/10.1000/ABC"), F.col("p_partkey"))).alias("doi"),
         classify.whole_index(F.when(F.col("p_size") % 2 == 0, size + 1e-9).otherwise(size + 0.4)).alias("whole"),
         F.array_join(rules.merged_ids(F.lit("1; 2|"), F.concat(F.lit("2, "), F.col("p_partkey"))), "|").alias("ids"),
-        rules.hmdb_accession(F.concat(F.lit("HMDB"), F.lpad(F.col("p_partkey").cast("string"), 5, "0"))).alias("hmdb"),
+        rules.hmdb_accession(F.concat(F.lit("HMDB"), F.lpad(key, F.greatest(F.lit(5), F.least(F.lit(7), F.length(key))), F.lit("0")))).alias("hmdb"),  # old accessions have five digits, padding would cut longer keys
         rules.pubchem_cid(F.concat(F.lit("CID1"), F.lpad(F.col("p_partkey").cast("string"), 8, "0"))).alias("cid"),
         classify.after_prefix(F.concat(F.lit("x:Brand"), F.col("p_size"))).alias("after"),
     )
@@ -255,10 +255,12 @@ def drug_routes(spark, sf):
     three = F.col("c_custkey") % 3
     name = F.when(three == 0, F.concat(F.lit("Drug "), F.col("c_custkey") % 50)).when(three == 2, F.concat(F.lit("Drug "), F.col("c_custkey"), F.lit(" sodium salt"))).otherwise("no such name")
     code = F.when(three == 1, F.concat(F.lit("QJ01GB90 A10BA"), F.lpad((F.col("c_custkey") % 50 + 50).cast("string"), 2, "0"), F.lit(" L01BB"))).otherwise("-")
-    asked = t(spark, sf, "customer").select(F.col("c_custkey").alias("k"), rules.catalogue_variants(name, code).alias("v"))
+    # few splits hold very many customers: the narrow rows are dealt anew before their variants are made
+    asked = t(spark, sf, "customer").select("c_custkey").repartition("c_custkey").select(F.col("c_custkey").alias("k"), rules.catalogue_variants(name, code).alias("v"))
     s = t(spark, sf, "supplier")
+    code = F.lpad(F.col("s_suppkey").cast("string"), F.greatest(F.lit(2), F.length(F.col("s_suppkey").cast("string"))), F.lit("0"))  # never cut, so that a code is one supplier's
     index = s.select(F.lit("name").alias("kind"), F.lower(F.concat(F.lit("Drug "), F.col("s_suppkey"))).alias("value"), F.col("s_suppkey").alias("target"))
-    index = index.unionByName(s.select(F.lit("atc").alias("kind"), F.concat(F.lit("A10BA"), F.lpad(F.col("s_suppkey").cast("string"), 2, "0")).alias("value"), F.col("s_suppkey").alias("target")))
+    index = index.unionByName(s.select(F.lit("atc").alias("kind"), F.concat(F.lit("A10BA"), code).alias("value"), F.col("s_suppkey").alias("target")))
     return reconcile.route_join(asked, "k", "v", index).select("k", "route", F.col("target").alias("drug"))
 
 
