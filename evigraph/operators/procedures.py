@@ -17,6 +17,9 @@ AUDIT = "rule string, severity string, violations long, exempted long, total lon
 VIOLATIONS = "type string, source string, target string, property string, properties string"
 BLOCKS = "label string, property string, n_docs long, avgdl double, part int, term string, n int, docs array<string>, tfs array<int>, dls array<int>"
 
+SHARES = 256
+ASKED = f"SELECT term, CAST(pmod(xxhash64(term), {PARTS}) AS INT) AS part FROM (SELECT explode(array_distinct(filter(split(lower(text_search.q), '[^a-z0-9]+'), t -> t != ''))) AS term)"
+
 FUNCTIONS = {
     "ontology_audit": """(level STRING DEFAULT 'all') RETURNS TABLE (rule STRING, severity STRING, violations BIGINT, exempted BIGINT, total BIGINT, pct DOUBLE)
         RETURN SELECT rule, severity, violations, exempted, total, pct FROM evigraph_audit WHERE ontology_audit.level = 'all' OR severity = ontology_audit.level""",
@@ -24,13 +27,17 @@ FUNCTIONS = {
         RETURN SELECT type, source, target, property, properties FROM evigraph_violations
         WHERE (edge_property_violation.kind = 'all' OR type = edge_property_violation.kind)
           AND (edge_property_violation.missing = 'any' OR array_contains(split(properties, '[|]'), edge_property_violation.missing))""",
+    # the documents of a term are counted from the heads of its blocks, so its postings stay where they are read; the first k of each of SHARES hold the first k of all
     "text_search": f"""(kind STRING, prop STRING, q STRING, k INT DEFAULT 10) RETURNS TABLE (doc STRING, score DOUBLE)
         RETURN SELECT doc, score FROM (SELECT doc, score, row_number() OVER (ORDER BY score DESC, doc) AS place FROM (
+          SELECT doc, score, row_number() OVER (PARTITION BY pmod(xxhash64(doc), {SHARES}) ORDER BY score DESC, doc) AS near FROM (
             SELECT p.docs AS doc, sum(ln(1 + (n_docs - df + 0.5D) / (df + 0.5D)) * p.tfs * {K1 + 1}D / (p.tfs + {K1}D * ({1 - B}D + {B}D * p.dls / avgdl))) AS score
-            FROM (SELECT b.*, sum(b.n) OVER (PARTITION BY b.term) AS df FROM evigraph_blocks b
-                  JOIN (SELECT term, CAST(pmod(xxhash64(term), {PARTS}) AS INT) AS part FROM (SELECT explode(array_distinct(filter(split(lower(text_search.q), '[^a-z0-9]+'), t -> t != ''))) AS term)) a ON b.term = a.term AND b.part = a.part
+            FROM (SELECT b.*, f.df FROM evigraph_blocks b JOIN (
+                    SELECT h.term, h.part, sum(h.n) AS df FROM evigraph_blocks h JOIN ({ASKED}) a ON h.term = a.term AND h.part = a.part
+                    WHERE h.label = text_search.kind AND h.property = text_search.prop GROUP BY h.term, h.part) f ON b.term = f.term AND b.part = f.part
+                  JOIN ({ASKED}) c ON b.term = c.term AND b.part = c.part
                   WHERE b.label = text_search.kind AND b.property = text_search.prop)
-            LATERAL VIEW explode(arrays_zip(docs, tfs, dls)) AS p GROUP BY p.docs)) WHERE place <= text_search.k""",
+            LATERAL VIEW explode(arrays_zip(docs, tfs, dls)) AS p GROUP BY p.docs)) WHERE near <= text_search.k) WHERE place <= text_search.k""",
 }
 
 
