@@ -31,14 +31,15 @@ def _written(df: DataFrame, path: str, key: str, buckets: int) -> dict:
     return {"columns": [list(x) for x in df.dtypes], "key": key, "buckets": buckets}
 
 
-def save_clustered(g: Graph, out: str, buckets: int = BUCKETS) -> dict:
-    """Write a graph's nodes and both copies of its edges; what is returned opens it."""
+def save_clustered(g: Graph, out: str, buckets: int = BUCKETS, by_target: bool = True) -> dict:
+    """Write a graph's nodes and both copies of its edges, or that by source alone; what is returned opens it."""
     about = {"nodes": {}, "edges": {}, "by_target": {}, "ends": {k: list(v) for k, v in g.ends.items()}, "above": g.above}
     for label, df in g.nodes.items():
         about["nodes"][label] = _written(df, f"{out}/nodes/{label}", "id", buckets)
     for kind, df in g.edges.items():
         about["edges"][kind] = _written(df, f"{out}/edges/{kind}", "src", buckets)
-        about["by_target"][kind] = _written(df, f"{out}/edges_by_target/{kind}", "dst", buckets)
+        if by_target:
+            about["by_target"][kind] = _written(df, f"{out}/edges_by_target/{kind}", "dst", buckets)
     return about
 
 

@@ -71,7 +71,7 @@ def d4b(spark, sf):
 
 @query("d5_listing", "SELECT l_partkey AS part_id, p_name, l_quantity, l_orderkey FROM lineitem JOIN part ON l_partkey = p_partkey WHERE l_suppkey = 1")
 def d5(spark, sf):
-    g = saved_graph(spark, sf)
+    g = saved_graph(spark, sf, ("SUPPLIES",), by_target=False)
     rows = g.hop(g.nodes["Supplier"].filter("id = 1").select("id"), "SUPPLIES", "id", "part_id")
     return rows.join(g.nodes["Part"].select(F.col("id").alias("part_id"), "p_name"), "part_id").select("part_id", "p_name", F.col("SUPPLIES_l_quantity").alias("l_quantity"), F.col("SUPPLIES_l_orderkey").alias("l_orderkey"))
 

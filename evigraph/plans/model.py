@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import DataFrame, SparkSession
 
 from ..operators import storage
@@ -37,13 +39,22 @@ def graph(spark: SparkSession, sf_dir: str) -> Graph:
 SAVED = ("NATION_IN", "SUPPLIER_IN", "SUPPLIES")
 
 
-def saved_graph(spark: SparkSession, sf_dir: str) -> Graph:
-    """The graph as a build saves it, clustered by id and by both ends of its edges; written to the shared folder when a session first asks for it."""
+#: Edges to a bucket of the saved graph, so that a task sorts no more as they grow.
+BUCKET_EDGES = 2_000_000
+
+
+def saved_graph(spark: SparkSession, sf_dir: str, kinds: tuple[str, ...] = SAVED, by_target: bool = True) -> Graph:
+    """The graph as a build saves it, clustered by id and by both ends of its edges; written to the shared folder when a session first asks for it. A query that passes some types forwards asks for these alone, and takes the
+    whole where that is written."""
     held = spark.sparkContext.__dict__.setdefault("_evigraph_saved", {})
-    if sf_dir not in held:
+    key = (sf_dir, SAVED, True)
+    if key not in held:
+        key = (sf_dir, kinds, by_target)
+    if key not in held:
         g = graph(spark, sf_dir)
-        labels = {x for kind in SAVED for x in g.ends[kind]}
-        small = Graph({k: df for k, df in g.nodes.items() if k in labels}, {k: g.edges[k] for k in SAVED}, {k: g.ends[k] for k in SAVED})
+        labels = {x for kind in kinds for x in g.ends[kind]}
+        small = Graph({k: df for k, df in g.nodes.items() if k in labels}, {k: g.edges[k] for k in kinds}, {k: g.ends[k] for k in kinds})
+        buckets = max([storage.BUCKETS, *[math.ceil(e.count() / BUCKET_EDGES) for e in small.edges.values()]])
         out = shared_folder(spark, "graph")
-        held[sf_dir] = storage.open_clustered(spark, out, storage.save_clustered(small, out))
-    return held[sf_dir]
+        held[key] = storage.open_clustered(spark, out, storage.save_clustered(small, out, buckets, by_target))
+    return held[key]
