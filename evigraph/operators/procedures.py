@@ -18,7 +18,7 @@ VIOLATIONS = "type string, source string, target string, property string, proper
 BLOCKS = "label string, property string, n_docs long, avgdl double, part int, term string, n int, docs array<string>, tfs array<int>, dls array<int>"
 
 SHARES = 256
-ASKED = f"SELECT term, CAST(pmod(xxhash64(term), {PARTS}) AS INT) AS part FROM (SELECT explode(array_distinct(filter(split(lower(text_search.q), '[^a-z0-9]+'), t -> t != ''))) AS term)"
+ASKED = f"SELECT term, CAST(pmod(crc32(CAST(term AS BINARY)), {PARTS}) AS INT) AS part FROM (SELECT explode(array_distinct(filter(split(lower(text_search.q), '[^a-z0-9]+'), t -> t != ''))) AS term)"
 
 FUNCTIONS = {
     "ontology_audit": """(level STRING DEFAULT 'all') RETURNS TABLE (rule STRING, severity STRING, violations BIGINT, exempted BIGINT, total BIGINT, pct DOUBLE)

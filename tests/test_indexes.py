@@ -112,6 +112,42 @@ def test_block_postings(spark, tmp_path, monkeypatch):
     assert empty.n == 0 and empty.top(["w0"], 3).count() == 0
 
 
+def test_blocks_of_rare_and_frequent_terms(spark, tmp_path):
+    """A block for each rare term and range made nearly as many rows as postings, which took most of the build; now its postings in a cell are one block, and lookups still go by ranges."""
+    from pyspark.sql import functions as F
+
+    from evigraph.operators import postings
+
+    rng = random.Random(5)
+    rows = [(f"k{i}", " ".join([f"r{i % 60}", "all", *(f"f{rng.randrange(9)}" for _ in range(rng.choice([1, 6, 30, 150])))])) for i in range(3000)]
+    df = spark.createDataFrame(rows, "id string, name string").repartition(3)
+    index = BlockPostings.build(df, "id", "name", str(tmp_path / "p"), range_docs=2)
+    held = {r.term: r for r in index.blocks.groupBy("term").agg(F.count(F.lit(1)).alias("blocks"), F.sum("n").alias("n"), F.count("range").alias("own"), F.sum(F.size("docs")).alias("docs")).collect()}
+    assert held["r7"].n == held["r7"].docs == 50 and held["r7"].own == 0 and held["r7"].blocks <= postings.SLICES
+    assert held["all"].n == held["all"].docs == 3000 and held["all"].own == held["all"].blocks > 64
+    of = postings.place(F.col("p.docs"), F.col("p.dls"), index.ranges)
+    assert index.blocks.filter("range IS NOT NULL").select("range", F.explode(F.arrays_zip("docs", "dls")).alias("p")).filter(F.col("range") != of).isEmpty()
+    for terms, k in ((["r7"], 5), (["all", "r7"], 10), (["all", "f3", "r1", "r2"], 40), (["all"], 3000)):
+        want = plain_bm25(rows, terms)
+        got = {r.doc: r.score for r in index.search(terms).collect()}
+        assert got.keys() == want.keys() and all(math.isclose(got[i], want[i], rel_tol=1e-9) for i in got)
+        assert [(r.doc, round(r.score, 9)) for r in index.top(terms, k).collect()] == sorted(((i, round(s, 9)) for i, s in got.items()), key=lambda x: (-x[1], x[0]))[:k]
+    read, all_of = index.read_of(["all", "r7"], 10)
+    assert 0 < read < all_of
+
+
+def test_ranges_are_the_same_in_tasks_and_statements(spark):
+    from pyspark.sql import functions as F
+
+    from evigraph.operators import postings
+
+    long = postings.LONGEST
+    dls = np.array([*range(3000), *(int(2 ** (k / 3)) + d for k in range(30, 62) for d in (-2, -1, 0, 1)), long - 2, long - 1, long, 2**31 - 1], np.int32)
+    df = spark.createDataFrame([(i, int(x)) for i, x in enumerate(dls)], "doc long, dl int").withColumn("near", F.pmod(F.xxhash64("doc"), F.lit(7)).cast("int"))
+    got = df.select("dl", "near", postings.place(F.col("doc"), F.col("dl"), 7).alias("r")).collect()
+    assert postings._places(np.array([r.dl for r in got], np.int32), np.array([r.near for r in got]), 7).tolist() == [r.r for r in got]
+
+
 def test_registry(spark, tmp_path):
     held = search.Indexes(spark, str(tmp_path))
     df = spark.createDataFrame([(1, "red ring"), (2, "Ring ring of fire"), (3, None)], "id long, name string")
